@@ -225,7 +225,7 @@ class Params:
         return out
 
 
-def _sql_literal(value) -> str:
+def sql_literal(value) -> str:
     if value is None:
         return "NULL"
     if isinstance(value, bool):
@@ -238,7 +238,7 @@ def _sql_literal(value) -> str:
 def inline_rows_sql(rows, columns: str) -> str:
     """``SELECT`` over an inline ``VALUES`` table, understood by Spark and by the SQL checks."""
     names = [c.strip().split(" ", 1) for c in _split_columns(columns)]
-    body = ", ".join("(" + ", ".join(_sql_literal(v) for v in row) + ")" for row in rows)
+    body = ", ".join("(" + ", ".join(sql_literal(v) for v in row) + ")" for row in rows)
     raw = ", ".join(f"v{i}" for i in range(len(names)))
     casts = ", ".join(
         f"CAST(v{i} AS {_ansi_type(kind)}) AS {name}" for i, (name, kind) in enumerate(names)

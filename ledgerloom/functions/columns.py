@@ -5,19 +5,30 @@ from __future__ import annotations
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
+from ledgerloom.config import sql_literal as _sql_literal
+
 
 def _col(x) -> Column:
     return F.col(x) if isinstance(x, str) else x
 
 
-def bucket(parts: list, salt: str, n: int) -> Column:
-    """Stable draw in ``[0, n)`` from the given key columns and a salt.
+def bucket_sql(keys: list[str], salt: str, n: int) -> str:
+    """SQL text of a stable draw in ``[0, n)`` from key expressions and a salt.
 
     The first 32 bits of an MD5, so any SQL engine can repeat it.
     """
-    keyed = F.concat_ws("|", *[_col(p).cast("string") for p in parts], F.lit(salt))
-    head = F.conv(F.substring(F.md5(keyed), 1, 8), 16, 10).cast("bigint")
-    return head % F.lit(n)
+    parts = ", ".join(f"CAST({k} AS STRING)" for k in keys)
+    return f"CAST(conv(substring(md5(concat_ws('|', {parts}, '{salt}')), 1, 8), 16, 10) AS BIGINT) % {n}"
+
+
+def bucket(keys: list[str], salt: str, n: int) -> Column:
+    return F.expr(bucket_sql(keys, salt, n))
+
+
+def nth(items: list[str], index_sql: str) -> Column:
+    """The item at a 0-based position given as SQL text."""
+    body = ", ".join(_sql_literal(i) for i in items)
+    return F.expr(f"get(array({body}), CAST({index_sql} AS INT))")
 
 
 def strict_greatest(*cols) -> Column:
@@ -63,15 +74,13 @@ def none_if_missing(text) -> Column:
 
 def pick(cases: list[tuple[Column, object]], otherwise=None) -> Column:
     """Ordered CASE: the first true condition wins."""
-    chain = None
-    for cond, value in cases:
-        value = value if isinstance(value, Column) else F.lit(value)
-        chain = F.when(cond, value) if chain is None else chain.when(cond, value)
-    other = otherwise if isinstance(otherwise, Column) else F.lit(otherwise)
-    return chain.otherwise(other)
-
-
-def lookup(key, table: dict, otherwise=None) -> Column:
-    """Small constant mapping as a simple CASE."""
-    key = _col(key)
-    return pick([(key == F.lit(k), v) for k, v in table.items()], otherwise)
+    chain = F.when(*cases[0])
+    for condition, value in cases[1:]:
+        chain = chain.when(condition, value)
+    return chain.otherwise(otherwise)
+
+
+def lookup(key_sql: str, table: dict, otherwise=None) -> Column:
+    """Small constant mapping of a key expression, as a simple CASE."""
+    whens = " ".join(f"WHEN {_sql_literal(k)} THEN {_sql_literal(v)}" for k, v in table.items())
+    return F.expr(f"CASE {key_sql} {whens} ELSE {_sql_literal(otherwise)} END")

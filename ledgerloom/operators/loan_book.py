@@ -15,8 +15,8 @@ from ledgerloom.config import (
     demo_loan_table,
     product_table,
 )
-from ledgerloom.functions.columns import bucket, lookup, padded_id, pick, strict_least
-from ledgerloom.functions.finance import balance_after, instalment, monthly_rate, outstanding
+from ledgerloom.functions.columns import bucket, lookup, nth, padded_id, pick, strict_least
+from ledgerloom.functions.finance import balance_after, instalment, monthly_rate, outstanding, to_money
 from ledgerloom.operators.ranking import global_row_number, running_total_before
 
 # Salts of the independent draws made for each loan, and their ranges.
@@ -253,8 +253,8 @@ def mandate_status(dpd: Column, draw: Column) -> Column:
     )
 
 
-def sponsor_bank(draw: Column) -> Column:
-    return F.get(F.array(*[F.lit(b) for b in SPONSOR_BANKS]), draw.cast("int"))
+def sponsor_bank(draw: str) -> Column:
+    return nth(SPONSOR_BANKS, draw)
 
 
 def build_mandate(loans: DataFrame, p: Params) -> DataFrame:
@@ -271,7 +271,7 @@ def build_mandate(loans: DataFrame, p: Params) -> DataFrame:
             "loan_id",
             "borrower_id",
             F.when(F.col("h_mtype") < 78, "NACH_DEBIT").otherwise("UPI_AUTOPAY").alias("mandate_type"),
-            sponsor_bank(F.col("h_mbank")).alias("sponsor_bank"),
+            sponsor_bank("h_mbank").alias("sponsor_bank"),
             F.date_sub("disbursal_date", 3).alias("registration_date"),
             "mandate_status",
             pick(
@@ -297,7 +297,7 @@ def build_mandate(loans: DataFrame, p: Params) -> DataFrame:
                 F.lit(0),
             ).cast("bigint").alias("consecutive_failures"),
             lookup(
-                status, {"ACTIVE": "NONE", "FAILED_DPD_ZERO": "TECHNICAL", "REVOKED": "INTENT"}, "CAPACITY"
+                "mandate_status", {"ACTIVE": "NONE", "FAILED_DPD_ZERO": "TECHNICAL", "REVOKED": "INTENT"}, "CAPACITY"
             ).alias("failure_attribution"),
             (status == "FAILED_DPD_ZERO").alias("is_early_warning"),
         )
@@ -340,10 +340,10 @@ def amortization(loans: DataFrame) -> DataFrame:
             "installment_number",
             F.add_months("disbursal_date", F.col("installment_number").cast("int")).alias("due_date"),
             F.col("emi_amount_inr").alias("due_amount_inr"),
-            F.col("_interest").cast("decimal(18,4)").alias("interest_component_inr"),
-            F.col("_principal").cast("decimal(18,4)").alias("principal_component_inr"),
-            F.col("_opening").cast("decimal(18,4)").alias("opening_balance_inr"),
-            (F.col("_opening") - F.col("_principal")).cast("decimal(18,4)").alias("closing_balance_inr"),
+            to_money("_interest").alias("interest_component_inr"),
+            to_money("_principal").alias("principal_component_inr"),
+            to_money("_opening").alias("opening_balance_inr"),
+            to_money(F.col("_opening") - F.col("_principal")).alias("closing_balance_inr"),
             (F.col("installment_number") > F.col("months_elapsed")).alias("is_future"),
         )
     )

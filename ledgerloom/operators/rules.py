@@ -9,7 +9,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ledgerloom.config import Params, action_table
-from ledgerloom.functions.columns import bucket, pick, whole_ratio
+from ledgerloom.functions.columns import bucket_sql, nth, pick, whole_ratio
 from ledgerloom.operators.economics import STANCE_COUNTER, STANCE_LET_GO, STANCE_NOT_RATIONAL
 
 # --- fixed values: rule and message texts ---------------------------------------
@@ -178,8 +178,6 @@ def apply_rules(context: DataFrame, rules: list[Rule] = LOAN_RULES) -> DataFrame
     """First matching rule per loan.  One CASE finds the rule number; action and basis are
     read from the rule table by that number."""
     numbered = context.withColumn("rule_no", pick([(r.applies(), i) for i, r in enumerate(rules)]))
-    actions = F.array(*[F.lit(r.action) for r in rules])
-    bases = F.array(*[F.lit(r.basis).cast("string") for r in rules])
     quoted = [i for i, r in enumerate(rules) if r.basis is FROM_ECONOMICS]
     # The customer message follows its own ladder: lateness outranks a failed mandate.
     message = pick(
@@ -193,9 +191,9 @@ def apply_rules(context: DataFrame, rules: list[Rule] = LOAN_RULES) -> DataFrame
     )
     return numbered.withColumns(
         {
-            "action_code": F.get(actions, F.col("rule_no")),
+            "action_code": nth([r.action for r in rules], "rule_no"),
             "rule_basis": F.when(F.col("rule_no").isin(*quoted), F.col("bt_rationale")).otherwise(
-                F.get(bases, F.col("rule_no"))
+                nth([r.basis for r in rules], "rule_no")
             ),
             "borrower_facing_message": message,
         }
@@ -216,10 +214,10 @@ def growth_eligible(state: DataFrame) -> DataFrame:
 
 
 def growth_rules(state: DataFrame) -> DataFrame:
-    draw = bucket(["borrower_id"], "growth_pick", len(GROWTH_ACTIONS))
+    draw = bucket_sql(["borrower_id"], "growth_pick", len(GROWTH_ACTIONS))
     return growth_eligible(state).select(
         "borrower_id",
-        F.get(F.array(*[F.lit(a) for a in GROWTH_ACTIONS]), draw.cast("int")).alias("action_code"),
+        nth(GROWTH_ACTIONS, draw).alias("action_code"),
         F.lit(BASIS_GROWTH).alias("rule_basis"),
         F.lit(MESSAGE_GROWTH).alias("borrower_facing_message"),
         F.col("total_outstanding_inr").alias("outstanding_principal_inr"),

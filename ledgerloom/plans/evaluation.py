@@ -23,11 +23,10 @@ EXPECTED_INTENT = {
 
 
 def labelled(truth: DataFrame, insight: DataFrame) -> DataFrame:
-    label = F.col("ground_truth_label")
     return (
         truth.select("interaction_id", "ground_truth_label")
         .join(insight, "interaction_id")
-        .withColumn("expected_intent", lookup(label, EXPECTED_INTENT))
+        .withColumn("expected_intent", lookup("ground_truth_label", EXPECTED_INTENT))
     )
 
 

@@ -1,4 +1,4 @@
-"""The portfolio as one lazy graph from base tables to recommendations."""
+"""The portfolio from base tables to recommendations."""
 
 from __future__ import annotations
 
@@ -6,11 +6,11 @@ from functools import cached_property
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
-from pyspark.storagelevel import StorageLevel
 
 from ledgerloom.config import Params
 from ledgerloom.operators import actions, customer360, documents, economics, enrichment, loan_book, rules, trajectory
 from ledgerloom.operators.borrower_state import build_borrower_state
+from ledgerloom.session import work_folder
 from ledgerloom.sources import entities
 from ledgerloom.sources.tables import read_base
 
@@ -18,27 +18,27 @@ from ledgerloom.sources.tables import read_base
 class Portfolio:
     """Entity and result tables over one set of base tables.
 
-    Every property is lazy.  Tables that several others read (loans, state, scored loans,
-    scored calls) are marked to be kept on the executors once computed, memory first and
-    then disk; a lost executor costs only the recomputation of its partitions.  Call
-    ``release`` when done.
+    Tables that several others read (loans, state, scored loans, scored calls, staged
+    recommendations) are written once to the shared working folder and read back, as a
+    warehouse would create them.  That keeps plans short, lets later scans read only the
+    columns they use, and a lost executor costs no more than its running tasks.  All other
+    properties are lazy.
     """
 
-    def __init__(self, spark: SparkSession, sf_dir: str, params: Params | None = None):
+    def __init__(self, spark: SparkSession, sf_dir: str, params: Params | None = None, folder: str | None = None):
         self.spark = spark
         self.sf_dir = sf_dir
         self.p = params or Params()
-        self._kept: list[DataFrame] = []
+        self._folder = folder
 
-    def _keep(self, df: DataFrame) -> DataFrame:
-        df = df.persist(StorageLevel.MEMORY_AND_DISK)
-        self._kept.append(df)
-        return df
+    @cached_property
+    def folder(self) -> str:
+        return self._folder or work_folder(self.spark, "portfolio")
 
-    def release(self) -> None:
-        for df in self._kept:
-            df.unpersist()
-        self._kept.clear()
+    def _table(self, df: DataFrame, name: str) -> DataFrame:
+        path = f"{self.folder}/{name}"
+        df.write.mode("overwrite").parquet(path)
+        return self.spark.read.schema(df.schema).parquet(path)
 
     def base(self, name: str) -> DataFrame:
         return read_base(self.spark, self.sf_dir, name)
@@ -62,12 +62,13 @@ class Portfolio:
 
     # --- spine --------------------------------------------------------------
     @cached_property
-    def loans_unkept(self) -> DataFrame:
+    def loans_unwritten(self) -> DataFrame:
+        """The loan book for a query that reads it once."""
         return loan_book.build_loan_account(self.spark, self.borrowers, self.p)
 
     @cached_property
     def loans(self) -> DataFrame:
-        return self._keep(self.loans_unkept)
+        return self._table(self.loans_unwritten, "loan_account")
 
     @cached_property
     def mandates(self) -> DataFrame:
@@ -75,14 +76,13 @@ class Portfolio:
 
     @cached_property
     def state(self) -> DataFrame:
-        return self._keep(
-            build_borrower_state(self.borrowers, self.loans, self.tradelines, self.mandates, self.p)
-        )
+        state = build_borrower_state(self.borrowers, self.loans, self.tradelines, self.mandates, self.p)
+        return self._table(state, "borrower_state")
 
     # --- economics ------------------------------------------------------------
     @cached_property
     def scored_loans(self) -> DataFrame:
-        return self._keep(economics.score_loans(self.spark, self.loans, self.state, self.p))
+        return self._table(economics.score_loans(self.spark, self.loans, self.state, self.p), "scored_loans")
 
     @cached_property
     def loan_economics(self) -> DataFrame:
@@ -103,7 +103,7 @@ class Portfolio:
 
     @cached_property
     def scored_calls(self) -> DataFrame:
-        return self._keep(enrichment.scored_calls(self.calls))
+        return self._table(enrichment.scored_calls(self.calls), "scored_calls")
 
     @cached_property
     def transitions(self) -> DataFrame:
@@ -120,7 +120,7 @@ class Portfolio:
 
     @cached_property
     def staged(self) -> DataFrame:
-        return self._keep(rules.stage_recommendations(self.spark, self.candidates, self.p))
+        return self._table(rules.stage_recommendations(self.spark, self.candidates, self.p), "recommendations")
 
     @cached_property
     def recs(self) -> DataFrame:
@@ -134,7 +134,7 @@ class Portfolio:
     def earlier_staged(self) -> DataFrame:
         """The generation before any call was heard: same rules, no trajectory."""
         before = rules.nba_candidates(self.scored_loans, self.state, self.mandates, None)
-        return rules.stage_recommendations(self.spark, before, self.p)
+        return self._table(rules.stage_recommendations(self.spark, before, self.p), "recommendations_before")
 
     @cached_property
     def earlier_recs(self) -> DataFrame:

@@ -18,7 +18,7 @@ from ledgerloom.config import (
     Params,
     inline_table,
 )
-from ledgerloom.functions.columns import bucket, lookup, padded_id, pick
+from ledgerloom.functions.columns import bucket, bucket_sql, lookup, nth, padded_id, pick
 from ledgerloom.operators.ranking import keyed_sequence
 from ledgerloom.sources.tables import read_base
 
@@ -98,10 +98,6 @@ COMPETITORS = ["Meridian Bank", "Lotus Finance", "Banyan Bank", "Saffron Capital
 CALL_MONTHS = ["January", "February", "March", "April"]
 
 
-def _nth(items: list[str], index: Column) -> Column:
-    return F.get(F.array(*[F.lit(i) for i in items]), index.cast("int"))
-
-
 def borrower_id(customer_key) -> Column:
     return padded_id("BRW", customer_key, 6)
 
@@ -110,7 +106,7 @@ def borrowers(spark: SparkSession, sf_dir: str, p: Params) -> DataFrame:
     customer = read_base(spark, sf_dir, "customer")
     nation = read_base(spark, sf_dir, "nation")
     region = read_base(spark, sf_dir, "region")
-    key = F.col("borrower_id")
+    key = "borrower_id"
     base = (
         customer.join(nation, F.col("c_nationkey") == F.col("n_nationkey"))
         .join(region, F.col("n_regionkey") == F.col("r_regionkey"))
@@ -123,7 +119,7 @@ def borrowers(spark: SparkSession, sf_dir: str, p: Params) -> DataFrame:
     return base.select(
         "borrower_id",
         F.col("c_name").alias("full_name"),
-        _nth(["F", "M"], bucket([key], "gender", 2)).alias("gender"),
+        nth(["F", "M"], bucket_sql([key], "gender", 2)).alias("gender"),
         F.add_months(as_of, (F.col("age") * -12).cast("int")).alias("date_of_birth"),
         "age",
         F.col("c_mktsegment").alias("occupation_type"),
@@ -135,30 +131,30 @@ def borrowers(spark: SparkSession, sf_dir: str, p: Params) -> DataFrame:
         F.col("r_name").alias("region"),
         (F.lit(1) + bucket([key], "tier", 3)).alias("city_tier"),
         (F.lit(100000) + bucket([key], "pin", 900000)).cast("string").alias("pincode"),
-        _nth(LANGUAGES, F.col("r_regionkey")).alias("primary_language"),
+        nth(LANGUAGES, "r_regionkey").alias("primary_language"),
         F.concat(F.lit("XXXXX"), F.lpad(bucket([key], "pan", 10000).cast("string"), 4, "0"), F.lit("X")).alias(
             "pan_masked"
         ),
         (bucket([key], "aadhaar", 100) < 92).alias("aadhaar_linked"),
-        _nth(["FULL", "MINIMUM"], (bucket([key], "kyc", 100) >= 90).cast("int")).alias("kyc_status"),
+        nth(["FULL", "MINIMUM"], f"{bucket_sql([key], 'kyc', 100)} >= 90").alias("kyc_status"),
         "bureau_score",
         band.alias("bureau_score_band"),
         F.date_sub(as_of, (F.lit(90) + bucket([key], "onb", 2000)).cast("int")).alias("onboard_date"),
-        key.isin(*DEMO_BORROWERS).alias("is_demo_case"),
+        F.col(key).isin(*DEMO_BORROWERS).alias("is_demo_case"),
         lookup(key, DEMO_LABELS).alias("demo_case_label"),
     )
 
 
 def tradelines(spark: SparkSession, sf_dir: str, p: Params) -> DataFrame:
-    key = F.col("o_orderkey")
+    key = "o_orderkey"
     amount = F.round("o_totalprice").cast("bigint")
     late = bucket([key], "tdpd", 100)
     return read_base(spark, sf_dir, "orders").select(
-        F.concat(F.lit("TL"), key.cast("string")).alias("tradeline_id"),
+        F.concat(F.lit("TL"), F.col(key).cast("string")).alias("tradeline_id"),
         borrower_id("o_custkey").alias("borrower_id"),
-        F.concat(F.lit("LENDER_"), (key % 12).cast("string")).alias("lender_name"),
-        _nth(LENDER_TYPES, bucket([key], "ltype", 4)).alias("lender_type"),
-        _nth(TRADELINE_PRODUCTS, bucket([key], "lprod", 4)).alias("product_type"),
+        F.concat(F.lit("LENDER_"), (F.col(key) % 12).cast("string")).alias("lender_name"),
+        nth(LENDER_TYPES, bucket_sql([key], "ltype", 4)).alias("lender_type"),
+        nth(TRADELINE_PRODUCTS, bucket_sql([key], "lprod", 4)).alias("product_type"),
         F.lit(False).alias("is_own_book"),
         amount.alias("sanctioned_amount_inr"),
         (F.lit(10) + bucket([key], "lroi", 1500) / F.lit(100)).cast("decimal(27,2)").alias("roi_pct"),
@@ -196,14 +192,14 @@ def calls(spark: SparkSession, sf_dir: str, p: Params) -> DataFrame:
         F.date_trunc("hour", F.col("ts")),
         "ts",
     )
-    key = F.col("interaction_id")
+    key = "interaction_id"
     part = F.lit(1000) + F.lit(500) * bucket([key], "part", 12)
     fills = {
         "{amount}": F.format_number(F.lit(20000) + F.lit(1000) * bucket([key], "amt", 60), 0),
         "{part}": F.format_number(part, 0),
         "{day}": (F.lit(1) + bucket([key], "day", 28)).cast("string"),
-        "{month}": _nth(CALL_MONTHS, bucket([key], "month", 4)),
-        "{bank}": _nth(COMPETITORS, bucket([key], "bank", 4)),
+        "{month}": nth(CALL_MONTHS, bucket_sql([key], "month", 4)),
+        "{bank}": nth(COMPETITORS, bucket_sql([key], "bank", 4)),
         "{rate}": F.concat(
             (F.lit(9) + bucket([key], "rate", 4)).cast("string"), F.lit("."), bucket([key], "frac", 10).cast("string")
         ),
@@ -280,7 +276,7 @@ def text_usage(spark: SparkSession, sf_dir: str) -> DataFrame:
                 [(tag == 0, ""), (tag == 1, F.lit(None).cast("string"))],
                 F.concat(F.lit("batch_"), (F.col("user_id") % 5).cast("string")),
             ).alias("query_tag"),
-            _nth(TEXT_FUNCTIONS, bucket(["event_id"], "fn", 3)).alias("function_name"),
+            nth(TEXT_FUNCTIONS, bucket_sql(["event_id"], "fn", 3)).alias("function_name"),
             F.concat(F.lit("model_"), bucket(["event_id"], "mdl", 2).cast("string")).alias("model_name"),
             (F.lit(50) + bucket(["event_id"], "tok", 900)).alias("tokens"),
             (F.col("value").cast("decimal(12,2)") / F.lit(10000).cast("decimal(5,0)"))
