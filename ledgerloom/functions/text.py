@@ -68,28 +68,37 @@ def _hits(text, pattern: str) -> Column:
     return F.regexp_count(F.lower(_col(text)), F.lit(pattern))
 
 
-def sentiment(text) -> Column:
-    good, bad = _hits(text, POSITIVE_WORDS) > 0, _hits(text, NEGATIVE_WORDS) > 0
-    return F.when(_col(text).isNotNull(), pick(
-        [(good & bad, "mixed"), (good, "positive"), (bad, "negative")], "neutral"
-    ))
+def _has(text, pattern: str) -> Column:
+    return F.lower(_col(text)).rlike(pattern)
 
 
-def intent_scores(text) -> dict[str, Column]:
-    return {label: _hits(text, INTENT_WORDS[label]) for label in INTENTS}
+def sentiment(text) -> Column:
+    """Each word list is tried once: its two answers index the label."""
+    index = _has(text, POSITIVE_WORDS).cast("int") + _has(text, NEGATIVE_WORDS).cast("int") * 2
+    return F.get(F.array(*[F.lit(s) for s in ("neutral", "positive", "negative", "mixed")]), index)
 
 
 def intent(text) -> Column:
-    """Label with most keyword hits; earlier labels win ties, none at all falls back."""
-    scores = intent_scores(text)
-    best = F.greatest(*scores.values())
-    ladder = [(best == 0, FALLBACK_INTENT)] + [(scores[k] == best, k) for k in INTENTS]
-    return F.when(_col(text).isNotNull(), pick(ladder))
+    """Label with most keyword hits; earlier labels win ties, none at all falls back.
+
+    The greatest (hits, priority, label) struct, so every keyword list is counted once.
+    The fallback has no hits but outranks any label that has none either.
+    """
+    entries = [
+        F.struct(
+            _hits(text, INTENT_WORDS[label]).alias("hits"), F.lit(-i).alias("priority"), F.lit(label).alias("label")
+        )
+        for i, label in enumerate(INTENTS)
+    ]
+    fallback = F.struct(
+        F.lit(0).alias("hits"), F.lit(1).alias("priority"), F.lit(FALLBACK_INTENT).alias("label")
+    )
+    return F.when(_col(text).isNotNull(), F.array_max(F.array(*entries, fallback))["label"])
 
 
 def credible_hardship(text) -> Column:
     """A hardship word together with an amount, a date or a duration."""
-    return (_hits(text, HARDSHIP_WORDS) > 0) & (_hits(text, CONCRETE_DETAIL) > 0)
+    return _has(text, HARDSHIP_WORDS) & _has(text, CONCRETE_DETAIL)
 
 
 def _field(text, pattern: str) -> Column:
@@ -117,10 +126,10 @@ def reason_words(text) -> Column:
     return F.array_except(words, F.array(*[F.lit(w) for w in (*REASON_NOISE, "")]))
 
 
-def reasons_differ(first, second) -> Column:
+def reasons_differ(first, second, first_words: Column, second_words: Column) -> Column:
     """TRUE/FALSE for two given reasons, NULL when either is missing."""
-    a, b = reason_words(first), reason_words(second)
-    shared, total = F.size(F.array_intersect(a, b)), F.size(F.array_union(a, b))
+    shared = F.size(F.array_intersect(first_words, second_words))
+    total = F.size(F.array_union(first_words, second_words))
     given = _present(first) & _present(second)
     return F.when(given, shared * SAME_REASON_DEN < total * SAME_REASON_NUM)
 

@@ -35,9 +35,8 @@ LOAN_COLUMNS = [
 ]
 
 
-def loan_count(borrower) -> Column:
-    draw = bucket([borrower], "lc", 100)
-    return pick([(draw < bound, n) for bound, n in LOAN_COUNT_BOUNDS]).cast("bigint")
+def loan_count(draw: str) -> Column:
+    return pick([(F.col(draw) < bound, n) for bound, n in LOAN_COUNT_BOUNDS]).cast("bigint")
 
 
 def explode_loans(borrowers: DataFrame, p: Params) -> DataFrame:
@@ -46,9 +45,8 @@ def explode_loans(borrowers: DataFrame, p: Params) -> DataFrame:
     The number of loans of all earlier borrowers is a two-level running total over the
     borrowers, so no task ever orders the whole loan table.
     """
-    counted = borrowers.select("borrower_id", "bureau_score_band").withColumn(
-        "loan_count", loan_count("borrower_id")
-    )
+    counted = with_draws(borrowers.select("borrower_id", "bureau_score_band"), ["borrower_id"], {"lc": 100})
+    counted = counted.withColumn("loan_count", loan_count("h_lc")).drop("h_lc")
     numbered = running_total_before(
         counted,
         ["borrower_id"],
@@ -114,12 +112,16 @@ def arrears(dpd, emi, clearance) -> Column:
 
 def loan_terms(spark: SparkSession, exploded: DataFrame, p: Params) -> DataFrame:
     """Product, ticket, tenor, price and age of every loan."""
-    drawn = with_draws(exploded, ["borrower_id", "seq"], LOAN_DRAWS).withColumn(
-        "product_code", product_of(F.col("h_prod"), p)
-    )
+    drawn = with_draws(exploded, ["borrower_id", "seq"], LOAN_DRAWS)
+    top = p.product_bounds()[-1][2]
+    if top < LOAN_DRAWS["prod"]:  # weights below 100 leave draws without a product
+        drawn = drawn.filter(F.col("h_prod") < F.lit(top))
+    # Every draw left has its product, so a left join equals an inner one and spares the
+    # null filter that would hash the key a second time.
+    drawn = drawn.withColumn("product_code", product_of(F.col("h_prod"), p))
     span = F.col("ticket_max_inr") - F.col("ticket_min_inr")
     return (
-        drawn.join(product_table(spark, p), "product_code")
+        drawn.join(product_table(spark, p), "product_code", "left")
         .withColumn("score_spread_pct", score_spread("bureau_score_band"))
         .withColumn(
             "sanction_amount_inr",

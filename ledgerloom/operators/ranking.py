@@ -35,7 +35,7 @@ def running_total_before(
     )
     inside = W.partitionBy("_slice").orderBy(*order_by).rowsBetween(W.unboundedPreceding, 0)
     return (
-        sliced.join(offsets, "_slice")
+        sliced.join(offsets, "_slice", "left")  # every slice has its row; left adds no null filter
         .withColumn(out, F.col("_offset") + F.sum("_value").over(inside) - F.col("_value"))
         .drop("_slice", "_value", "_offset")
     )
@@ -75,7 +75,7 @@ def keyed_sequence(
     )
     inside = W.partitionBy(key, "_slice").orderBy(*order_by)
     return (
-        sliced.join(spans, [key, "_slice"])
+        sliced.join(spans, [key, "_slice"], "left")
         .withColumn("seq", F.col("_before") + F.row_number().over(inside))
         .withColumn(
             "previous_time", F.coalesce(F.lag(time_col).over(inside), F.col("_time_before"))

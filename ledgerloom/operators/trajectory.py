@@ -7,7 +7,7 @@ from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
 from ledgerloom.functions.columns import lookup, pick
-from ledgerloom.functions.text import reasons_differ
+from ledgerloom.functions.text import reason_words, reasons_differ
 
 SINGLE_INTERVAL = "N/A - single contact interval"
 TRANSITION_COLUMNS = [
@@ -58,7 +58,8 @@ def describe_pairs(pairs: DataFrame) -> DataFrame:
         )
         .withColumn("ptp_was_made_on_prior_call", F.coalesce(F.col("from_ptp_amount") != "None", F.lit(False)))
         .withColumn("ptp_flagged_missed_on_this_call", F.col("previous_promise_missed_raw").ilike("%yes%"))
-        .withColumn("reason_changed", reasons_differ("from_reason", "to_reason"))
+        .withColumns({"_a": reason_words("from_reason"), "_b": reason_words("to_reason")})
+        .withColumn("reason_changed", reasons_differ("from_reason", "to_reason", F.col("_a"), F.col("_b")))
         .select(*TRANSITION_COLUMNS)
     )
 

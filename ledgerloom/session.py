@@ -11,6 +11,8 @@ SESSION_DEFAULTS = {
     "spark.sql.adaptive.enabled": "true",
     "spark.sql.adaptive.coalescePartitions.enabled": "true",
     "spark.sql.adaptive.skewJoin.enabled": "true",
+    # Text scoring is heavy on the processor and light on bytes: do not merge it into one task.
+    "spark.sql.adaptive.coalescePartitions.minPartitionSize": "128k",
     # Split a hot borrower's rows even where that costs one more exchange.
     "spark.sql.adaptive.forceOptimizeSkewedJoin": "true",
     "spark.sql.session.timeZone": "UTC",

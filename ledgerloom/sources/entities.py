@@ -168,9 +168,11 @@ def tradelines(spark: SparkSession, sf_dir: str, p: Params) -> DataFrame:
     )
 
 
-def persona(borrower) -> Column:
-    draw = bucket([borrower], "persona", 100)
-    return pick([(draw < bound, label) for bound, label in PERSONA_BOUNDS])
+def with_persona(df: DataFrame, out: str) -> DataFrame:
+    """The draw is a column of its own, so its hash is computed once per row."""
+    draw = F.col("_draw")
+    label = pick([(draw < bound, label) for bound, label in PERSONA_BOUNDS])
+    return df.withColumn("_draw", bucket(["borrower_id"], "persona", 100)).withColumn(out, label).drop("_draw")
 
 
 def _call_events(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -209,9 +211,9 @@ def calls(spark: SparkSession, sf_dir: str, p: Params) -> DataFrame:
         text = F.replace(text, F.lit(mark), value)
     templates = inline_table(spark, CALL_TEMPLATES, CALL_TEMPLATE_COLUMNS)
     return (
-        ordered.withColumn("persona", persona("borrower_id"))
+        with_persona(ordered, "persona")
         .withColumn("variant", (F.col("seq") - 1) % 3)
-        .join(templates, ["persona", "variant"])
+        .join(templates, ["persona", "variant"], "left")
         .select(
             "interaction_id",
             "borrower_id",
@@ -233,9 +235,9 @@ def calls(spark: SparkSession, sf_dir: str, p: Params) -> DataFrame:
 
 def ground_truth(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Hidden labels of the calls; only evaluation reads this."""
-    return _call_events(spark, sf_dir).select(
+    return with_persona(_call_events(spark, sf_dir), "ground_truth_label").select(
         "interaction_id",
-        persona("borrower_id").alias("ground_truth_label"),
+        "ground_truth_label",
         F.lit("template").alias("generation_model"),
         F.col("ts").alias("generated_at"),
     )

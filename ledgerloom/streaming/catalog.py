@@ -1 +1,57 @@
+"""The streaming jobs run to the end of the available data, as named queries."""
+
+from __future__ import annotations
+
+from pyspark.sql import DataFrame
+from pyspark.sql import functions as F
+
+from ledgerloom.operators.enrichment import INSIGHT_COLUMNS
+from ledgerloom.plans.portfolio import Portfolio
+from ledgerloom.session import work_folder
+from ledgerloom.streaming import jobs
+
 STREAM_QUERIES = {}
+
+
+def stream_query(fn):
+    STREAM_QUERIES[fn.__name__] = fn
+    return fn
+
+
+def land_calls(pf: Portfolio, base: str, files: int = 4) -> str:
+    """Drop the transcripts into a landing folder in several files, out of call order."""
+    path = f"{base}/landing"
+    pf.calls.repartition(files, F.xxhash64("interaction_id")).write.mode("overwrite").parquet(path)
+    return path
+
+
+def run_enrichment(pf: Portfolio, base: str) -> str:
+    scored = f"{base}/scored"
+    jobs.start_enrichment(
+        pf.spark, land_calls(pf, base), scored, f"{base}/ckpt-enrich", jobs.CATCH_UP, max_files=2
+    ).awaitTermination()
+    return scored
+
+
+@stream_query
+def stream_enrich(pf: Portfolio) -> DataFrame:
+    scored = run_enrichment(pf, work_folder(pf.spark, "enrich"))
+    return jobs.read_scored(pf.spark, scored).select(*INSIGHT_COLUMNS).drop("raw_extract_full")
+
+
+@stream_query
+def stream_transitions(pf: Portfolio) -> DataFrame:
+    base = work_folder(pf.spark, "transitions")
+    scored = run_enrichment(pf, base)
+    out = f"{base}/transitions"
+    jobs.start_transitions(pf.spark, scored, out, f"{base}/ckpt-pairs", jobs.CATCH_UP).awaitTermination()
+    return jobs.read_transitions(pf.spark, out)
+
+
+@stream_query
+def refresh_cycle(pf: Portfolio) -> DataFrame:
+    base = work_folder(pf.spark, "refresh")
+    scored = run_enrichment(pf, base)
+    out = f"{base}/published"
+    jobs.start_refresh(pf, scored, out, f"{base}/ckpt-refresh", jobs.CATCH_UP).awaitTermination()
+    return jobs.current(pf.spark, out, "customer_360")
