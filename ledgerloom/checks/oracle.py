@@ -272,8 +272,9 @@ add("assert_a5", """
 SELECT borrower_id, loan_id, a.action_code AS baseline_action, b.action_code FROM x_rec_before a JOIN x_rec b USING (borrower_id, loan_id) WHERE a.action_code <> b.action_code""")
 _cols = "borrower_id, loan_id, action_code, rule_basis"
 add("determinism", f"""
-SELECT *, 'first' AS found_in FROM (SELECT {_cols} FROM x_rec_before EXCEPT ALL SELECT {_cols} FROM x_rec)
-UNION ALL SELECT *, 'second' AS found_in FROM (SELECT {_cols} FROM x_rec EXCEPT ALL SELECT {_cols} FROM x_rec_before)""")
+SELECT {_cols}, found_in, count(*) AS times
+FROM (SELECT *, 'first' AS found_in FROM (SELECT {_cols} FROM x_rec_before EXCEPT ALL SELECT {_cols} FROM x_rec)
+      UNION ALL SELECT *, 'second' AS found_in FROM (SELECT {_cols} FROM x_rec EXCEPT ALL SELECT {_cols} FROM x_rec_before)) GROUP BY ALL""")
 
 
 def _contract(table: str, source: str, key: str, required: list[str], enums: dict[str, list[str]]) -> list[str]:

@@ -78,18 +78,35 @@ def call_transitions(scored: DataFrame, only_ids: DataFrame | None = None) -> Da
     return describe_pairs(arriving.unionByName(followed).dropDuplicates(["from_interaction_id", "to_interaction_id"]))
 
 
-def lag_pairs(scored: DataFrame) -> DataFrame:
+def lag_pairs(scored: DataFrame, slice_size: int = 1024) -> DataFrame:
     """Pairs by position instead of by number; equal to ``call_transitions`` while numbers
-    have no gaps.  One window per borrower, for books whose calls per borrower are few."""
-    order = W.partitionBy("borrower_id").orderBy("transcript_sequence_number")
+    have no gaps.
+
+    The calls of a borrower are cut into slices of the sequence, so that a borrower with
+    very many calls is not one task; the last call of a slice is handed to the next one.
+    """
+    seq = F.col("transcript_sequence_number")
+    sliced = scored.select(
+        "borrower_id", "interaction_id", "sentiment", "transcript_sequence_number"
+    ).withColumn("_slice", F.floor(seq / slice_size))
+    last = sliced.groupBy("borrower_id", "_slice").agg(
+        F.max_by(F.struct("interaction_id", "sentiment"), "transcript_sequence_number").alias("_last")
+    )
+    along = W.partitionBy("borrower_id").orderBy("_slice")
+    handed = last.select("borrower_id", "_slice", F.lag("_last").over(along).alias("_handed"))
+    inside = W.partitionBy("borrower_id", "_slice").orderBy("transcript_sequence_number")
+    before = F.coalesce(F.lag(F.struct("interaction_id", "sentiment")).over(inside), F.col("_handed"))
     return (
-        scored.select(
+        sliced.join(handed, ["borrower_id", "_slice"], "left")
+        .withColumn("_before", before)
+        .filter(F.col("_before").isNotNull())
+        .select(
             "borrower_id",
-            F.lag("interaction_id").over(order).alias("from_interaction_id"),
+            F.col("_before.interaction_id").alias("from_interaction_id"),
             F.col("interaction_id").alias("to_interaction_id"),
-            F.lag("sentiment").over(order).alias("from_sentiment"),
+            F.col("_before.sentiment").alias("from_sentiment"),
             F.col("sentiment").alias("to_sentiment"),
-        ).filter(F.col("from_interaction_id").isNotNull())
+        )
     )
 
 

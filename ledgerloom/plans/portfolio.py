@@ -18,9 +18,9 @@ from ledgerloom.sources.tables import read_base
 class Portfolio:
     """Entity and result tables over one set of base tables.
 
-    Tables that several others read (loans, state, scored loans, scored calls, staged
-    recommendations) are written once to the shared working folder and read back, as a
-    warehouse would create them.  That keeps plans short, lets later scans read only the
+    Tables that several others read (loans, mandates, state, scored loans, scored calls,
+    trajectory, staged recommendations) are written once to the shared working folder and
+    read back, as a warehouse would create them.  That keeps plans short, lets later scans read only the
     columns they use, and a lost executor costs no more than its running tasks.  All other
     properties are lazy.
     """
@@ -72,7 +72,7 @@ class Portfolio:
 
     @cached_property
     def mandates(self) -> DataFrame:
-        return loan_book.build_mandate(self.loans, self.p)
+        return self._table(loan_book.build_mandate(self.loans, self.p), "mandate")
 
     @cached_property
     def state(self) -> DataFrame:
@@ -111,7 +111,8 @@ class Portfolio:
 
     @cached_property
     def trajectory(self) -> DataFrame:
-        return trajectory.trajectory_summary(self.scored_calls, self.transitions)
+        summary = trajectory.trajectory_summary(self.scored_calls, self.transitions)
+        return self._table(summary, "trajectory")
 
     # --- recommendations ----------------------------------------------------------
     @cached_property

@@ -89,11 +89,18 @@ def standing_assertions(
 
 
 def run_difference(first: DataFrame, second: DataFrame) -> DataFrame:
-    """Rows found in only one of two runs, NULLs compared as equal."""
+    """Rows one run has more often than the other, NULLs compared as equal.
+
+    Both runs are counted against each other in one aggregation, which needs a single
+    shuffle and combines on the map side.
+    """
     cols = ["borrower_id", "loan_id", "action_code", "rule_basis"]
-    a, b = first.select(*cols), second.select(*cols)
-    only_a = a.exceptAll(b).withColumn("found_in", F.lit("first"))
-    return only_a.unionByName(b.exceptAll(a).withColumn("found_in", F.lit("second")))
+    one = F.lit(1).cast("bigint")
+    both = first.select(*cols, one.alias("_n")).unionByName(second.select(*cols, (-one).alias("_n")))
+    surplus = both.groupBy(*cols).agg(F.sum("_n").alias("_n")).filter(F.col("_n") != 0)
+    return surplus.select(
+        *cols, F.when(F.col("_n") > 0, "first").otherwise("second").alias("found_in"), F.abs("_n").alias("times")
+    )
 
 
 def contract(df: DataFrame, table: str, key: list[str], required: list[str], enums: dict[str, list[str]]) -> DataFrame:
