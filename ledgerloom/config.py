@@ -202,8 +202,8 @@ class Params:
     budget_usd: D = D("400.00")
     credit_quota: D = D("50")
     quota_pcts: tuple = (50, 75, 90, 95, 100)
-    # How many leading id characters name one slice of the two-level rank; ids
-    # sharing that prefix are numbered by one task, so keep it to some millions.
+    # Leading id characters that name a slice of the two-level rank where no table of
+    # even slices was written; ids sharing the prefix are numbered by one task.
     rank_prefix: int = 6
 
     def econ(self, key: str) -> D:

@@ -17,7 +17,7 @@ from ledgerloom.config import (
 )
 from ledgerloom.functions.columns import bucket, lookup, nth, padded_id, pick, strict_least
 from ledgerloom.functions.finance import balance_after, instalment, monthly_rate, outstanding, to_money
-from ledgerloom.operators.ranking import global_row_number, running_total_before
+from ledgerloom.operators.ranking import global_row_number, running_total_before, slice_of
 
 # Salts of the independent draws made for each loan, and their ranges.
 LOAN_DRAWS = {
@@ -45,12 +45,13 @@ def explode_loans(borrowers: DataFrame, p: Params) -> DataFrame:
     The number of loans of all earlier borrowers is a two-level running total over the
     borrowers, so no task ever orders the whole loan table.
     """
-    counted = with_draws(borrowers.select("borrower_id", "bureau_score_band"), ["borrower_id"], {"lc": 100})
+    narrow = [c for c in ("borrower_id", "bureau_score_band", "_slice") if c in borrowers.columns]
+    counted = with_draws(borrowers.select(*narrow), ["borrower_id"], {"lc": 100})
     counted = counted.withColumn("loan_count", loan_count("h_lc")).drop("h_lc")
     numbered = running_total_before(
         counted,
         ["borrower_id"],
-        F.substring("borrower_id", 1, p.rank_prefix),
+        slice_of(counted, "borrower_id", p.rank_prefix),
         F.col("loan_count"),
         "_loans_before",
     )
@@ -259,14 +260,26 @@ def sponsor_bank(draw: str) -> Column:
     return nth(SPONSOR_BANKS, draw)
 
 
-def build_mandate(loans: DataFrame, p: Params) -> DataFrame:
-    """Debit mandates of the loans that have one; demo borrowers get a fixed, clean one."""
+def mandated_loans(loans: DataFrame) -> DataFrame:
+    """What a mandate takes from its loan, for all loans but the demo borrowers'."""
+    return loans.filter(F.col("has_nach_mandate") & ~F.col("borrower_id").isin(*DEMO_BORROWERS)).select(
+        "loan_id", "borrower_id", "current_dpd", "disbursal_date"
+    )
+
+
+def build_mandate(loans: DataFrame, p: Params, mandated: DataFrame | None = None) -> DataFrame:
+    """Debit mandates of the loans that have one; demo borrowers get a fixed, clean one.
+
+    ``mandated`` may bring the same loans already cut into slices for the numbering.
+    """
     is_demo = F.col("borrower_id").isin(*DEMO_BORROWERS)
-    drawn = with_draws(loans.filter(F.col("has_nach_mandate") & ~is_demo), ["loan_id"], MANDATE_DRAWS)
+    numbered = global_row_number(
+        mandated_loans(loans) if mandated is None else mandated, "loan_id", "_no", p.rank_prefix
+    )
     status = F.col("mandate_status")
     reason = F.col("h_mrsn")
     generated = (
-        global_row_number(drawn, "loan_id", "_no", p.rank_prefix)
+        with_draws(numbered, ["loan_id"], MANDATE_DRAWS)
         .withColumn("mandate_status", mandate_status(F.col("current_dpd"), F.col("h_mstat")))
         .select(
             padded_id("MND", "_no", 7).alias("mandate_id"),

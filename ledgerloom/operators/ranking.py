@@ -3,8 +3,8 @@
 The rows are cut into slices that follow the ordering.  A partial aggregate gives
 each slice's total (one small row per slice), a running sum over those rows gives
 each slice's offset, and the fine-grained window runs inside a slice.  Large keys
-are spread over as many tasks as they have slices, and nothing is sampled, so a
-recomputed task always yields the same numbers.
+are spread over as many tasks as they have slices, and slices are fixed by a written table
+or by the key itself, so a recomputed task always yields the same numbers.
 """
 
 from __future__ import annotations
@@ -14,6 +14,22 @@ from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
 
+def cut_by_range(df: DataFrame, order_by: str) -> DataFrame:
+    """Add ``_slice``: the number of the range the row's key falls into.
+
+    Spark samples the bounds, so slices are even whatever the keys look like, and adaptive
+    execution merges small neighbours.  Another run may choose other bounds: write the
+    result once and build both the totals and the ranks on the written table.
+    """
+    return df.repartitionByRange(order_by).withColumn("_slice", F.spark_partition_id().cast("bigint"))
+
+
+def slice_of(df: DataFrame, key: str, prefix: int) -> Column:
+    """The slice written by ``cut_by_range`` or else the first characters of the key, which
+    string order respects and which need no written table."""
+    return F.col("_slice") if "_slice" in df.columns else F.substring(key, 1, prefix)
+
+
 def running_total_before(
     df: DataFrame,
     order_by: list[str],
@@ -42,13 +58,8 @@ def running_total_before(
 
 
 def global_row_number(df: DataFrame, order_by: str, out: str, prefix: int) -> DataFrame:
-    """1-based position along a unique string key, counted slice by slice.
-
-    A slice is the first ``prefix`` characters of the key, which string order respects.
-    """
-    ranked = running_total_before(
-        df, [order_by], F.substring(F.col(order_by), 1, prefix), F.lit(1), "_before"
-    )
+    """1-based position along a unique string key, counted slice by slice."""
+    ranked = running_total_before(df, [order_by], slice_of(df, order_by, prefix), F.lit(1), "_before")
     return ranked.withColumn(out, F.col("_before") + 1).drop("_before")
 
 

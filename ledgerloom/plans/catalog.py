@@ -95,7 +95,7 @@ def contact_window(pf):
 # --- loan book -------------------------------------------------------------------------
 @query
 def loan_explode(pf):
-    return loan_book.explode_loans(pf.borrowers, pf.p).select("borrower_id", "seq", "loan_count", "loan_no")
+    return loan_book.explode_loans(pf.sliced_borrowers, pf.p).select("borrower_id", "seq", "loan_count", "loan_no")
 
 
 @query
@@ -108,7 +108,7 @@ def product_bounds(pf):
 @query
 def product_range_join(pf):
     drawn = loan_book.with_draws(
-        loan_book.explode_loans(pf.borrowers, pf.p), ["borrower_id", "seq"], {"prod": loan_book.LOAN_DRAWS["prod"]}
+        loan_book.explode_loans(pf.sliced_borrowers, pf.p), ["borrower_id", "seq"], {"prod": loan_book.LOAN_DRAWS["prod"]}
     )
     return drawn.select(
         "borrower_id", "seq", "h_prod", loan_book.product_of(F.col("h_prod"), pf.p).alias("product_code")
@@ -124,7 +124,7 @@ def score_spread(pf):
 
 @query
 def global_rank(pf):
-    ranked = ranking.global_row_number(pf.tradelines.select("tradeline_id", "borrower_id"), "tradeline_id", "n", 6)
+    ranked = ranking.global_row_number(pf.sliced_tradelines, "tradeline_id", "n", pf.p.rank_prefix)
     return ranked.select("tradeline_id", "borrower_id", "n")
 
 
@@ -146,7 +146,7 @@ def outstanding(pf):
 
 @query
 def dpd(pf):
-    return loan_book.generated_terms(pf.spark, pf.borrowers, pf.p).select(
+    return loan_book.generated_terms(pf.spark, pf.sliced_borrowers, pf.p).select(
         "borrower_id",
         "seq",
         "months_elapsed",
@@ -167,7 +167,7 @@ def loan_account(pf):
 
 @query
 def dedupe_first_loan(pf):
-    book = loan_book.build_loan_account(pf.spark, pf.borrowers, pf.p, demo=False)
+    book = loan_book.build_loan_account(pf.spark, pf.sliced_borrowers, pf.p, demo=False)
     return loan_book.keep_first_loan(book, DEMO_BORROWERS).select("loan_id", "borrower_id", "product_code")
 
 
@@ -501,22 +501,22 @@ def nba_summary(pf):
 
 @query
 def vq_asset_class_counts(pf):
-    return reports.asset_class_counts(pf.customer_360)
+    return reports.asset_class_counts(pf.published_360)
 
 
 @query
 def portfolio_kpis(pf):
-    return reports.portfolio_kpis(pf.customer_360)
+    return reports.portfolio_kpis(pf.published_360)
 
 
 @query
 def vq_flight_risk_topk(pf):
-    return reports.flight_risk_topk(pf.customer_360)
+    return reports.flight_risk_topk(pf.published_360)
 
 
 @query
 def vq_deteriorating(pf):
-    return reports.deteriorating(pf.customer_360)
+    return reports.deteriorating(pf.published_360)
 
 
 @query
@@ -526,17 +526,17 @@ def vq_pending_collections(pf):
 
 @query
 def vq_npa_upgrade(pf):
-    return reports.npa_upgrade_count(pf.customer_360)
+    return reports.npa_upgrade_count(pf.published_360)
 
 
 @query
 def borrower_lookup(pf):
-    return reports.borrower_lookup(pf.customer_360, SEARCH)
+    return reports.borrower_lookup(pf.published_360, SEARCH)
 
 
 @query
 def borrower_detail(pf):
-    return reports.borrower_detail(pf.spark, pf.customer_360, DETAIL_BORROWER)
+    return reports.borrower_detail(pf.spark, pf.published_360, DETAIL_BORROWER)
 
 
 @query
@@ -571,12 +571,12 @@ def action_queue_collections(pf):
 
 @query
 def demo_contrast(pf):
-    return reports.demo_contrast(pf.customer_360)
+    return reports.demo_contrast(pf.published_360)
 
 
 @query
 def semantic_cross_entity(pf):
-    return reports.cross_entity(pf.recs, pf.customer_360)
+    return reports.cross_entity(pf.recs, pf.published_360)
 
 
 # --- calibration and spend -----------------------------------------------------------------------------------

@@ -8,7 +8,17 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ledgerloom.config import Params
-from ledgerloom.operators import actions, customer360, documents, economics, enrichment, loan_book, rules, trajectory
+from ledgerloom.operators import (
+    actions,
+    customer360,
+    documents,
+    economics,
+    enrichment,
+    loan_book,
+    ranking,
+    rules,
+    trajectory,
+)
 from ledgerloom.operators.borrower_state import build_borrower_state
 from ledgerloom.session import work_folder
 from ledgerloom.sources import entities
@@ -52,6 +62,11 @@ class Portfolio:
     def tradelines(self) -> DataFrame:
         return entities.tradelines(self.spark, self.sf_dir, self.p)
 
+    @cached_property
+    def sliced_tradelines(self) -> DataFrame:
+        keys = self.tradelines.select("tradeline_id", "borrower_id")
+        return self._table(ranking.cut_by_range(keys, "tradeline_id"), "tradeline_slices")
+
     @cached_property
     def calls(self) -> DataFrame:
         return entities.calls(self.spark, self.sf_dir, self.p)
@@ -61,10 +76,16 @@ class Portfolio:
         return entities.ground_truth(self.spark, self.sf_dir)
 
     # --- spine --------------------------------------------------------------
+    @cached_property
+    def sliced_borrowers(self) -> DataFrame:
+        """Borrower keys cut into even ranges, from which loans are numbered."""
+        keys = self.borrowers.select("borrower_id", "bureau_score_band")
+        return self._table(ranking.cut_by_range(keys, "borrower_id"), "borrower_slices")
+
     @cached_property
     def loans_unwritten(self) -> DataFrame:
         """The loan book for a query that reads it once."""
-        return loan_book.build_loan_account(self.spark, self.borrowers, self.p)
+        return loan_book.build_loan_account(self.spark, self.sliced_borrowers, self.p)
 
     @cached_property
     def loans(self) -> DataFrame:
@@ -72,7 +93,9 @@ class Portfolio:
 
     @cached_property
     def mandates(self) -> DataFrame:
-        return self._table(loan_book.build_mandate(self.loans, self.p), "mandate")
+        keys = ranking.cut_by_range(loan_book.mandated_loans(self.loans), "loan_id")
+        sliced = self._table(keys, "mandate_slices")
+        return self._table(loan_book.build_mandate(self.loans, self.p, sliced), "mandate")
 
     @cached_property
     def state(self) -> DataFrame:
@@ -154,6 +177,11 @@ class Portfolio:
     def customer_360(self) -> DataFrame:
         return customer360.customer_360(self.state, self.scored_loans, self.ltv, self.trajectory, self.recs)
 
+    @cached_property
+    def published_360(self) -> DataFrame:
+        """The same rows as a table, which the application queries read."""
+        return self._table(self.customer_360, "customer_360")
+
     # --- papers ---------------------------------------------------------------------
     @cached_property
     def papers(self) -> DataFrame:

@@ -13,6 +13,7 @@ from pyspark.sql.streaming import StreamingQuery
 from pyspark.sql.types import LongType, StructType
 
 from ledgerloom.operators import actions, customer360, enrichment, rules, trajectory
+from ledgerloom.operators.loan_book import future_interest
 from ledgerloom.plans.portfolio import Portfolio
 from ledgerloom.sources.tables import ENTITY_SCHEMAS
 
@@ -66,10 +67,15 @@ def start_enrichment(
     )
 
 
-def read_scored(spark: SparkSession, scored_dir: str) -> DataFrame:
+def of_borrowers(df: DataFrame, touched: DataFrame | None) -> DataFrame:
+    return df if touched is None else df.join(touched, "borrower_id", "left_semi")
+
+
+def read_scored(spark: SparkSession, scored_dir: str, touched: DataFrame | None = None) -> DataFrame:
     """Scored calls stored so far, each interaction once.  Scoring is a function of the row,
     so copies of one interaction are equal and any of them will do."""
-    return spark.read.schema(scored_schema(spark)).parquet(scored_dir).dropDuplicates(["interaction_id"])
+    stored = spark.read.schema(scored_schema(spark)).parquet(scored_dir)
+    return of_borrowers(stored, touched).dropDuplicates(["interaction_id"])
 
 
 def start_transitions(
@@ -107,61 +113,56 @@ def read_transitions(spark: SparkSession, out_dir: str) -> DataFrame:
 
 
 # --- refresh -------------------------------------------------------------------------
-TABLES = ("trajectory", "nba_recommendation", "nba_decision_log", "customer_360")
-
-
 def refresh(
     pf: Portfolio,
-    scored: DataFrame | None,
-    touched: DataFrame | None,
+    out_dir: str,
+    version: int,
+    calls: DataFrame,
+    touched: DataFrame | None = None,
     old_recs: DataFrame | None = None,
     old_log: DataFrame | None = None,
-) -> dict[str, DataFrame]:
-    """One refresh cycle for all borrowers or only for the touched ones.
+) -> None:
+    """One refresh cycle for all borrowers or only for the touched ones, published as a version.
 
     A borrower's rows depend on that borrower's data alone, so refreshing the touched
     borrowers gives what a full rebuild would.  Decisions and explanations that still hold
-    are carried forward; only new or changed recommendations are explained afresh.
+    are carried forward; only new or changed recommendations are explained afresh.  Each
+    step reads what the step before it wrote; the 360 rows come last, and writing a version
+    again replaces it.
     """
 
-    def part(df: DataFrame) -> DataFrame:
-        return df if touched is None else df.join(touched, "borrower_id", "left_semi")
+    def write(df: DataFrame, name: str) -> DataFrame:
+        path = f"{out_dir}/{name}/version={version}"
+        df.write.mode("overwrite").parquet(path)
+        return pf.spark.read.schema(df.schema).parquet(path)
 
-    calls = part(scored if scored is not None else pf.scored_calls.limit(0))
-    summary = trajectory.trajectory_summary(calls, trajectory.call_transitions(calls))
-    loans, state, mandates = part(pf.scored_loans), part(pf.state), part(pf.mandates)
+    summary = write(trajectory.trajectory_summary(calls, trajectory.call_transitions(calls)), "trajectory")
+    loans, state = of_borrowers(pf.scored_loans, touched), of_borrowers(pf.state, touched)
+    mandates = of_borrowers(pf.mandates, touched)
     candidates = rules.nba_candidates(loans, state, mandates, summary)
     recs, log = rules.nba_recommendations(pf.spark, candidates, pf.p)
     if old_recs is not None and old_log is not None:
-        recs, log = actions.carry_forward(recs, log, part(old_recs), old_log)
-    recs = actions.add_rationale(recs)
-    owner = recs.select("recommendation_id", "borrower_id")
-    return {
-        "trajectory": summary,
-        "nba_recommendation": recs,
-        "nba_decision_log": log.join(owner, "recommendation_id"),
-        "customer_360": customer360.customer_360(state, loans, part(pf.ltv), summary, recs),
-    }
-
-
-def publish(tables: dict[str, DataFrame], out_dir: str, version: int) -> None:
-    """Write the rows of one version.  The recommendations are stored first and the 360
-    rows last; writing a version again replaces it."""
-    for name in TABLES:
-        tables[name].write.mode("overwrite").parquet(f"{out_dir}/{name}/version={version}")
+        recs, log = actions.carry_forward(recs, log, old_recs, old_log)
+    recs = write(actions.add_rationale(recs), "nba_recommendation")
+    write(log.join(recs.select("recommendation_id", "borrower_id"), "recommendation_id"), "nba_decision_log")
+    ltv = future_interest(of_borrowers(pf.loans, touched))
+    write(customer360.customer_360(state, loans, ltv, summary, recs), "customer_360")
 
 
-def current(spark: SparkSession, out_dir: str, name: str, before: int | None = None) -> DataFrame:
+def current(
+    spark: SparkSession, out_dir: str, name: str, before: int | None = None, touched: DataFrame | None = None
+) -> DataFrame:
     """Each borrower's rows of the newest version that has any.
 
     ``before`` hides the named version and later ones, so a batch that is run again does not
-    read its own earlier output.
+    read its own earlier output; ``touched`` narrows the rows before versions are compared.
     """
     base = f"{out_dir}/{name}"
     plain = spark.read.parquet(f"{base}/version=0").schema
     rows = spark.read.schema(plain.add("version", LongType())).option("basePath", base).parquet(base)
     if before is not None:
         rows = rows.filter(F.col("version") < before)
+    rows = of_borrowers(rows, touched)
     newest = rows.groupBy("borrower_id").agg(F.max("version").alias("version"))
     return rows.join(newest, ["borrower_id", "version"]).drop("version")
 
@@ -174,11 +175,14 @@ def refresh_batch(pf: Portfolio, scored_dir: str, out_dir: str):
         if batch.isEmpty():
             return
         spark, version = batch.sparkSession, batch_id + 1
-        touched = batch.select("borrower_id").distinct()
-        scored = read_scored(spark, scored_dir)
-        old_recs = current(spark, out_dir, "nba_recommendation", before=version)
-        old_log = current(spark, out_dir, "nba_decision_log", before=version)
-        publish(refresh(pf, scored, touched, old_recs, old_log), out_dir, version)
+        touched = batch.select("borrower_id").distinct().persist()
+        calls = read_scored(spark, scored_dir, touched).persist()
+        old = [
+            current(spark, out_dir, name, version, touched) for name in ("nba_recommendation", "nba_decision_log")
+        ]
+        refresh(pf, out_dir, version, calls, touched, *old)
+        calls.unpersist()
+        touched.unpersist()
 
     return on_batch
 
@@ -189,7 +193,7 @@ def start_refresh(
 ) -> StreamingQuery:
     """Publish version 0 (no call heard yet) and refresh on every batch of scored calls."""
     if not checkpoint_exists(pf.spark, checkpoint):
-        publish(refresh(pf, None, None), out_dir, 0)
+        refresh(pf, out_dir, 0, pf.spark.createDataFrame([], scored_schema(pf.spark)))
     reader = pf.spark.readStream.schema(scored_schema(pf.spark))
     if max_files is not None:
         reader = reader.option("maxFilesPerTrigger", max_files)
