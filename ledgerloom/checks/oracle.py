@@ -229,7 +229,7 @@ SELECT CASE WHEN coalesce(query_tag, '') = '' THEN '(untagged)' ELSE query_tag E
        sum(token_credits) AS ai_credits, round(CAST(sum(token_credits) AS DECIMAL(18,6)) * CAST({c.DEFAULT_RATE_USD} AS DECIMAL(6,2)), 4) AS usd FROM x_text_usage GROUP BY 1, 2, 3""", "ai_credits usd")
 _steps = values([(x,) for x in P.quota_pcts], "threshold_pct")
 add("budget_crossings", f"""
-SELECT usage_month, threshold_pct, min(usage_date) AS crossed_on, min(running) AS credits_at_crossing
+SELECT usage_month, CAST(threshold_pct AS BIGINT) AS threshold_pct, min(usage_date) AS crossed_on, min(running) AS credits_at_crossing
 FROM (SELECT d.usage_date, CAST(date_trunc('month', d.usage_date) AS DATE) AS usage_month, (SELECT sum(o.credits_used) FROM x_usage o WHERE o.usage_date <= d.usage_date
              AND date_trunc('month', o.usage_date) = date_trunc('month', d.usage_date)) AS running FROM (SELECT DISTINCT usage_date FROM x_usage) d)
 JOIN {_steps} ON running * 100 >= {P.credit_quota} * threshold_pct GROUP BY 1, 2""", "credits_at_crossing", "usage_month crossed_on")
@@ -239,7 +239,7 @@ add("document_scan", r"""
 SELECT doc_id, lang, source, length(text) AS text_chars, len(string_split(text, chr(10))) AS text_lines, length(text) = n_chars AS length_as_declared FROM documents""")
 add("document_fields", "SELECT * FROM x_paper_fields")
 add("document_statement_lines", f"""
-SELECT s.borrower_id, line_no, booked_on, description,
+SELECT s.borrower_id, CAST(line_no AS BIGINT) AS line_no, booked_on, description,
        CASE line_no WHEN 6 THEN 1500 WHEN 7 THEN s.own_emi_inr ELSE 0 END AS debit_inr,
        CASE line_no WHEN 4 THEN s.monthly_income_inr WHEN 5 THEN n.net_income_inr ELSE 0 END AS credit_inr
 FROM x_state s JOIN (SELECT borrower_id, net_income_inr FROM x_paper_fields WHERE doc_type = 'INCOME_STATEMENT') n USING (borrower_id),

@@ -46,6 +46,16 @@ def test_global_row_number(spark, events):
     assert got == {i: k + 1 for k, i in enumerate(sorted(ids))}
 
 
+def test_global_row_number_over_written_ranges(spark, tmp_path):
+    # All keys share a long prefix, which the range cut does not mind.
+    ids = [f"COMMON-PREFIX-{n:06d}" for n in random.Random(4).sample(range(200000), 5000)]
+    df = spark.createDataFrame([(i,) for i in ids], "id string").repartition(7)
+    ranking.cut_by_range(df, "id").write.parquet(f"{tmp_path}/cut")
+    cut = spark.read.schema("id string, _slice bigint").parquet(f"{tmp_path}/cut")
+    got = {r.id: r.n for r in ranking.global_row_number(cut, "id", "n", 6).collect()}
+    assert got == {i: k + 1 for k, i in enumerate(sorted(ids))}
+
+
 def test_lag_pairs_over_slices(spark):
     rows = [("HOT", k, f"H{k}", "neutral") for k in range(1, 2000)] + [("B", k, f"B{k}", "mixed") for k in (1, 2, 3)]
     df = spark.createDataFrame(rows, "borrower_id string, transcript_sequence_number bigint, interaction_id string, sentiment string")
