@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import datetime
+
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
@@ -31,6 +33,11 @@ def nth(items: list[str], index_sql: str) -> Column:
     return F.expr(f"get(array({body}), CAST({index_sql} AS INT))")
 
 
+def moment(at: datetime.datetime) -> Column:
+    """A fixed time without zone, free of the driver's and the session's time zones."""
+    return F.lit(at.isoformat(sep=" ")).cast("timestamp_ntz")
+
+
 def strict_greatest(*cols) -> Column:
     """Greatest value, or NULL as soon as one argument is NULL."""
     cols = [_col(c) for c in cols]

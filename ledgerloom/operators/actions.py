@@ -10,7 +10,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ledgerloom.config import TEAM_BY_FAMILY, TEAM_OTHERWISE, Params
-from ledgerloom.functions.columns import lookup, pick
+from ledgerloom.functions.columns import lookup, moment, pick
 from ledgerloom.operators.rules import LOG_COLUMNS, RECOMMENDATION_COLUMNS
 
 DECISIONS = ("APPROVED", "REJECTED")
@@ -185,7 +185,7 @@ def owning_team(family) -> Column:
 
 def new_tasks(recs: DataFrame, p: Params) -> DataFrame:
     """Task rows of approved recommendations; outside calling hours they are only flagged."""
-    now = F.lit(p.run_at).cast("timestamp_ntz")
+    now = moment(p.run_at)
     return recs.filter(F.col("status") == "APPROVED").select(
         F.md5(F.concat(F.lit("task|"), F.col("recommendation_id"))).alias("task_id"),
         "recommendation_id",

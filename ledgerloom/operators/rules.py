@@ -9,7 +9,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ledgerloom.config import Params, action_table
-from ledgerloom.functions.columns import bucket_sql, nth, pick, whole_ratio
+from ledgerloom.functions.columns import bucket_sql, moment, nth, pick, whole_ratio
 from ledgerloom.operators.economics import STANCE_COUNTER, STANCE_LET_GO, STANCE_NOT_RATIONAL
 
 # --- fixed values: rule and message texts ---------------------------------------
@@ -288,7 +288,7 @@ def stage_recommendations(spark: SparkSession, candidates: DataFrame, p: Params)
             ),
             "status": F.lit("PENDING_APPROVAL"),
             "inputs_snapshot": inputs_snapshot(),
-            "created_at": F.lit(p.run_at).cast("timestamp_ntz"),
+            "created_at": moment(p.run_at),
         }
     )
 

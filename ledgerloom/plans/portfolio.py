@@ -8,6 +8,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ledgerloom.config import Params
+from ledgerloom.functions.columns import bucket, moment, pick
 from ledgerloom.operators import (
     actions,
     customer360,
@@ -195,12 +196,10 @@ class Portfolio:
 def sample_decisions(recs: DataFrame, p: Params) -> DataFrame:
     """A stand-in for reviewers: half of the recommendations decided, a tenth with a word
     that is no decision."""
-    from ledgerloom.functions.columns import bucket, pick
-
     draw = bucket(["recommendation_id"], "decide", 10)
     return recs.filter(draw < 6).select(
         "recommendation_id",
         pick([(draw < 3, "APPROVED"), (draw < 5, "REJECTED")], "approved").alias("decision"),
         F.concat(F.lit("reviewer_"), bucket(["recommendation_id"], "who", 7).cast("string")).alias("decided_by"),
-        F.lit(p.run_at).cast("timestamp_ntz").alias("decided_at"),
+        moment(p.run_at).alias("decided_at"),
     )
