@@ -12,6 +12,7 @@ from dataclasses import dataclass, field
 from decimal import Decimal as D
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql.functions import broadcast
 
 # --- fixed values: economic and regulatory constants ------------------------
 ECONOMIC_COLUMNS = "param_key string, param_value decimal(14,4), unit string, source_status string"
@@ -263,10 +264,18 @@ def _ansi_type(kind: str) -> str:
     return kind.strip().upper()
 
 
+# A constant table up to this many rows may be sent to every executor.
+MAX_BROADCAST_ROWS = 10_000
+
+
 def inline_table(spark: SparkSession, rows, columns: str) -> DataFrame:
-    """A constant table.  Its exact size is known to the optimiser, which therefore
-    decides by its own size limit whether a join may broadcast it."""
-    return spark.sql(inline_rows_sql(rows, columns))
+    """A constant table, to be broadcast while its counted rows are few.
+
+    Its keys are few and heavy (a product may hold half of all loans), so a shuffle on them
+    would be uneven; a longer table is left to the optimiser's own size limit.
+    """
+    table = spark.sql(inline_rows_sql(rows, columns))
+    return broadcast(table) if len(rows) <= MAX_BROADCAST_ROWS else table
 
 
 def economic_table(spark, p: Params) -> DataFrame:
