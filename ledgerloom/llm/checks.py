@@ -17,6 +17,26 @@ SELECT doc_id, len(w)::BIGINT AS n_words, (len(w) - coalesce(n, 0))::BIGINT AS n
 FROM d LEFT JOIN kept USING (doc_id)
 """
 
+NEAR_DEDUP = f"""
+WITH RECURSIVE d AS (
+  SELECT doc_id, {_WORDS.format(text="translate(text, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz')",
+                                split="[ \t\n\v\f\r]+")} AS w FROM documents),
+s AS (
+  SELECT DISTINCT doc_id, CASE WHEN len(w) < 4 THEN w ELSE list_slice(w, i, i + 3) END AS g
+  FROM d, unnest(range(1, greatest(2, len(w) - 2))) AS t(i) WHERE len(w) > 0),
+n AS (SELECT doc_id, count(*) AS n FROM s GROUP BY doc_id),
+common AS (
+  SELECT a.doc_id AS a, b.doc_id AS b, count(*) AS c
+  FROM s a JOIN s b ON a.g = b.g AND a.doc_id <> b.doc_id GROUP BY ALL),
+link AS (
+  SELECT a, b FROM common JOIN n x ON a = x.doc_id JOIN n y ON b = y.doc_id
+  WHERE 100 * c >= 80 * (x.n + y.n - c)),
+reach AS (SELECT doc_id, doc_id AS r FROM d UNION SELECT reach.doc_id, b FROM reach JOIN link ON r = a)
+SELECT doc_id, any_value(coalesce(n, 0))::BIGINT AS n_shingles, min(r) AS component_id, min(r) = doc_id AS kept
+FROM reach LEFT JOIN n USING (doc_id) GROUP BY doc_id
+"""
+
 LLM_SQL = {
     "op2_substring_dedup": SUBSTRING_DEDUP,
+    "op6_minhash_near_dedup": NEAR_DEDUP,
 }

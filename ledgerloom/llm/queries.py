@@ -5,6 +5,7 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 from ledgerloom.llm.common import table
+from ledgerloom.llm.near_dedup import near_duplicates
 from ledgerloom.llm.substring_dedup import remove_repeated_windows
 
 
@@ -16,6 +17,11 @@ def op2_substring_dedup(spark, sf_dir):
     )
 
 
+def op6_minhash_near_dedup(spark, sf_dir):
+    return near_duplicates(table(spark, sf_dir, "documents"))
+
+
 LLM_QUERIES = {
     "op2_substring_dedup": op2_substring_dedup,
+    "op6_minhash_near_dedup": op6_minhash_near_dedup,
 }

@@ -98,3 +98,22 @@ def window_hashes(hashes: np.ndarray, starts: np.ndarray, size: int) -> np.ndarr
     if not len(starts):
         return np.zeros(0, np.uint64)
     return mix(_polynomials(hashes, starts, starts + size, _WORD_BASE))
+
+
+def slices(batch, columns: tuple[str, ...] = ("text",), limit: int = 4 << 20):
+    """Cut an Arrow batch into runs of rows with at most ``limit`` bytes of text, or one row."""
+    import pyarrow.compute as pc
+
+    sizes = sum(pc.fill_null(pc.binary_length(batch.column(c)), 0).to_numpy(zero_copy_only=False).astype(np.int64) for c in columns)
+    ends = np.cumsum(sizes)
+    at = 0
+    while at < len(ends):
+        to = max(at + 1, int(np.searchsorted(ends, ends[at] - sizes[at] + limit, side="right")))
+        yield batch.slice(at, to - at)
+        at = to
+
+
+def raw_texts(batch, column: str = "text") -> list[bytes | None]:
+    import pyarrow as pa
+
+    return batch.column(column).cast(pa.binary()).to_pylist()
