@@ -36,7 +36,30 @@ SELECT doc_id, any_value(coalesce(n, 0))::BIGINT AS n_shingles, min(r) AS compon
 FROM reach LEFT JOIN n USING (doc_id) GROUP BY doc_id
 """
 
+_PLAIN = _WORDS.format(text="translate(text, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz')",
+                       split="[\\x00-\\x2F\\x3A-\\x60\\x7B-\\x7F]+")
+
+DECONTAMINATION = f"""
+WITH d AS (SELECT doc_id, {_PLAIN} AS w FROM documents),
+b AS (SELECT item_id, {_PLAIN} AS w FROM benchmark),
+g AS (
+  SELECT DISTINCT item_id, list_slice(w, i, i + 9) AS g
+  FROM b, unnest(range(1, greatest(2, len(w) - 8))) AS t(i) WHERE len(w) > 0),
+sizes AS (SELECT DISTINCT len(g) AS n FROM g),
+win AS (SELECT doc_id, i, n, list_slice(w, i, i + n - 1) AS g FROM d, sizes, unnest(range(1, len(w) - n + 2)) AS t(i)),
+hit AS (SELECT doc_id, i, n, item_id FROM win JOIN g USING (g)),
+covered AS (
+  SELECT doc_id, count(*) AS n FROM (SELECT DISTINCT doc_id, unnest(range(i, i + n)) AS p FROM hit) GROUP BY doc_id),
+items AS (
+  SELECT doc_id, count(*) AS n, string_agg(id, ',' ORDER BY id) AS ids
+  FROM (SELECT DISTINCT doc_id, item_id::VARCHAR AS id FROM hit) GROUP BY doc_id)
+SELECT doc_id, len(w)::BIGINT AS n_words, coalesce(covered.n, 0)::BIGINT AS n_hit, coalesce(items.n, 0)::BIGINT AS n_items,
+  sha256(coalesce(ids, '')) AS items_sha256, covered.n IS NOT NULL AS contaminated
+FROM d LEFT JOIN covered USING (doc_id) LEFT JOIN items USING (doc_id)
+"""
+
 LLM_SQL = {
     "op2_substring_dedup": SUBSTRING_DEDUP,
     "op6_minhash_near_dedup": NEAR_DEDUP,
+    "op10_benchmark_decontamination": DECONTAMINATION,
 }

@@ -5,6 +5,7 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 from ledgerloom.llm.common import table
+from ledgerloom.llm.decontaminate import contamination
 from ledgerloom.llm.near_dedup import near_duplicates
 from ledgerloom.llm.substring_dedup import remove_repeated_windows
 
@@ -21,7 +22,20 @@ def op6_minhash_near_dedup(spark, sf_dir):
     return near_duplicates(table(spark, sf_dir, "documents"))
 
 
+def op10_benchmark_decontamination(spark, sf_dir):
+    found = contamination(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
+    return found.select(
+        "doc_id",
+        "n_words",
+        "n_hit",
+        F.size("item_ids").cast("bigint").alias("n_items"),
+        F.sha2(F.array_join("item_ids", ","), 256).alias("items_sha256"),
+        "contaminated",
+    )
+
+
 LLM_QUERIES = {
     "op2_substring_dedup": op2_substring_dedup,
     "op6_minhash_near_dedup": op6_minhash_near_dedup,
+    "op10_benchmark_decontamination": op10_benchmark_decontamination,
 }
