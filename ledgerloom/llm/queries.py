@@ -7,6 +7,9 @@ from pyspark.sql import functions as F
 from ledgerloom.llm.common import table
 from ledgerloom.llm.decontaminate import contamination
 from ledgerloom.llm.near_dedup import near_duplicates
+from ledgerloom.llm.pii import find_personal_data
+from ledgerloom.llm.secret_scan import find_secrets
+from ledgerloom.llm.spans import PERSONAL, SECRET, digest
 from ledgerloom.llm.substring_dedup import remove_repeated_windows
 
 
@@ -18,6 +21,14 @@ def op2_substring_dedup(spark, sf_dir):
     )
 
 
+def op3_pii_boosted_candidates(spark, sf_dir):
+    return digest(find_personal_data(table(spark, sf_dir, "documents")), PERSONAL)
+
+
+def op4_secret_scan_char_cnn(spark, sf_dir):
+    return digest(find_secrets(table(spark, sf_dir, "documents")), SECRET)
+
+
 def op6_minhash_near_dedup(spark, sf_dir):
     return near_duplicates(table(spark, sf_dir, "documents"))
 
@@ -36,6 +47,8 @@ def op10_benchmark_decontamination(spark, sf_dir):
 
 LLM_QUERIES = {
     "op2_substring_dedup": op2_substring_dedup,
+    "op3_pii_boosted_candidates": op3_pii_boosted_candidates,
+    "op4_secret_scan_char_cnn": op4_secret_scan_char_cnn,
     "op6_minhash_near_dedup": op6_minhash_near_dedup,
     "op10_benchmark_decontamination": op10_benchmark_decontamination,
 }
