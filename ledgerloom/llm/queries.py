@@ -11,6 +11,7 @@ from ledgerloom.llm.pii import find_personal_data
 from ledgerloom.llm.secret_scan import find_secrets
 from ledgerloom.llm.spans import PERSONAL, SECRET, digest
 from ledgerloom.llm.substring_dedup import remove_repeated_windows
+from ledgerloom.llm.toxicity import THRESHOLD, fit_toxicity, held_out, score_toxicity
 
 
 def op2_substring_dedup(spark, sf_dir):
@@ -33,6 +34,13 @@ def op6_minhash_near_dedup(spark, sf_dir):
     return near_duplicates(table(spark, sf_dir, "documents"))
 
 
+def op7_toxicity_nnpu(spark, sf_dir):
+    docs = table(spark, sf_dir, "documents")
+    scored = score_toxicity(docs, fit_toxicity(docs, table(spark, sf_dir, "labels")))
+    predicted = (F.col("score") >= THRESHOLD).cast("int").alias("predicted")
+    return scored.select("doc_id", held_out(F.col("doc_id")).alias("held_out"), "score", predicted)
+
+
 def op10_benchmark_decontamination(spark, sf_dir):
     found = contamination(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
     return found.select(
@@ -50,5 +58,6 @@ LLM_QUERIES = {
     "op3_pii_boosted_candidates": op3_pii_boosted_candidates,
     "op4_secret_scan_char_cnn": op4_secret_scan_char_cnn,
     "op6_minhash_near_dedup": op6_minhash_near_dedup,
+    "op7_toxicity_nnpu": op7_toxicity_nnpu,
     "op10_benchmark_decontamination": op10_benchmark_decontamination,
 }

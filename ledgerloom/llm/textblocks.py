@@ -31,7 +31,8 @@ class Words(NamedTuple):
     bounds: np.ndarray
 
 
-def words_of(texts: list[bytes | None], lower: bool = False) -> Words:
+def words_of(texts: list[bytes | None], lower: bool = False, separators: np.ndarray = SPACES) -> Words:
+    """``separators`` tells for each byte whether it parts words; the space must be one."""
     texts = [t or b"" for t in texts]
     data = np.frombuffer(b" ".join(texts) + b" ", np.uint8)
     if lower:
@@ -39,7 +40,7 @@ def words_of(texts: list[bytes | None], lower: bool = False) -> Words:
     bounds = np.zeros(len(texts) + 1, np.int64)
     np.cumsum([len(t) + 1 for t in texts], out=bounds[1:])
     inside = np.zeros(len(data) + 1, np.int8)
-    inside[1:] = ~SPACES[data]
+    inside[1:] = ~separators[data]
     step = np.diff(inside)
     starts = np.flatnonzero(step == 1)
     ends = np.flatnonzero(step == -1)
