@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 from ledgerloom.llm.common import table
 from ledgerloom.llm.decontaminate import contamination
 from ledgerloom.llm.near_dedup import near_duplicates
+from ledgerloom.llm.packing import pack_documents
 from ledgerloom.llm.pii import find_personal_data
 from ledgerloom.llm.secret_scan import find_secrets
 from ledgerloom.llm.spans import PERSONAL, SECRET, digest
@@ -41,6 +42,19 @@ def op7_toxicity_nnpu(spark, sf_dir):
     return scored.select("doc_id", held_out(F.col("doc_id")).alias("held_out"), "score", predicted)
 
 
+def tokenizer_path() -> str:
+    import public_tokenizers
+
+    return public_tokenizers.path("word_bpe_49k.json")
+
+
+def op8_hilbert_packing(spark, sf_dir):
+    pieces = pack_documents(table(spark, sf_dir, "documents"), tokenizer_path())
+    return pieces.select(
+        "doc_id", "start", "length", F.crc32("ids").alias("ids_crc32"), "doc_tokens", "sequence_id", "offset"
+    )
+
+
 def op10_benchmark_decontamination(spark, sf_dir):
     found = contamination(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
     return found.select(
@@ -59,5 +73,6 @@ LLM_QUERIES = {
     "op4_secret_scan_char_cnn": op4_secret_scan_char_cnn,
     "op6_minhash_near_dedup": op6_minhash_near_dedup,
     "op7_toxicity_nnpu": op7_toxicity_nnpu,
+    "op8_hilbert_packing": op8_hilbert_packing,
     "op10_benchmark_decontamination": op10_benchmark_decontamination,
 }

@@ -17,7 +17,7 @@ Labels are learnt only from rows that are not held out; P and U are bounded samp
 
 Defined cases: null and empty texts are scored by the intercept; a label that is null counts as
 no label; rows that repeat a ``doc_id`` are scored one by one, and a repeated label counts as
-toxic if any row says so; without any positive all scores are 0; empty tables give empty results.
+toxic if any row says so; without any positive all scores are 0 (below 1e-9); empty tables give empty results.
 """
 
 from __future__ import annotations

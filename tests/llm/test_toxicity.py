@@ -2,6 +2,7 @@ import random
 import zlib
 
 import numpy as np
+import pytest
 
 from ledgerloom.llm.toxicity import drop_toxic, fit_toxicity, held_out, places, score_toxicity
 
@@ -48,7 +49,7 @@ def test_held_out_accuracy_and_defined_cases(spark):
 def test_nothing_to_learn_from(spark):
     docs = spark.createDataFrame([(1, "a b", 0.0, 0), (2, None, 0.0, 0)], SCHEMA)
     labels = spark.createDataFrame([], "doc_id long, toxic int")
-    assert [r["score"] for r in score_toxicity(docs, fit_toxicity(docs, labels)).collect()] == [0.0, 0.0]
+    assert [r["score"] for r in score_toxicity(docs, fit_toxicity(docs, labels)).collect()] == pytest.approx([0.0, 0.0], abs=1e-9)
     assert score_toxicity(docs.limit(0), fit_toxicity(docs.limit(0), labels)).count() == 0
 
 
