@@ -13,6 +13,11 @@ from ledgerloom.llm.secret_scan import find_secrets
 from ledgerloom.llm.spans import PERSONAL, SECRET, digest
 from ledgerloom.llm.substring_dedup import remove_repeated_windows
 from ledgerloom.llm.toxicity import THRESHOLD, fit_toxicity, held_out, score_toxicity
+from ledgerloom.llm.vamana import nearest
+
+
+def op1_vamana_neighbours(spark, sf_dir):
+    return nearest(table(spark, sf_dir, "embeddings"), F.col("vec_id") % 100 == 0)
 
 
 def op2_substring_dedup(spark, sf_dir):
@@ -68,6 +73,7 @@ def op10_benchmark_decontamination(spark, sf_dir):
 
 
 LLM_QUERIES = {
+    "op1_vamana_neighbours": op1_vamana_neighbours,
     "op2_substring_dedup": op2_substring_dedup,
     "op3_pii_boosted_candidates": op3_pii_boosted_candidates,
     "op4_secret_scan_char_cnn": op4_secret_scan_char_cnn,
