@@ -1,5 +1,7 @@
 """DuckDB SQL for the queries whose whole result SQL can express."""
 
+from ledgerloom.llm.licenses import DICE, TEMPLATES
+
 _WORDS = r"""CASE WHEN text IS NULL THEN [] ELSE list_filter(
   regexp_split_to_array({text}, '{split}'), lambda x: x <> '') END"""
 
@@ -58,8 +60,37 @@ SELECT doc_id, len(w)::BIGINT AS n_words, coalesce(covered.n, 0)::BIGINT AS n_hi
 FROM d LEFT JOIN covered USING (doc_id) LEFT JOIN items USING (doc_id)
 """
 
+_NOTICES = ", ".join("('{}', '{}')".format(name, text.replace("'", "''")) for name, text in TEMPLATES)
+_UNIT_WORDS = _PLAIN.replace("text", "unit")
+
+LICENSES = f"""
+WITH notice(license, text) AS (VALUES {_NOTICES}),
+b AS (
+  SELECT license, n, unnest(range(1, len(w))) AS i, w
+  FROM (SELECT license, row_number() OVER () AS n, {_PLAIN} AS w FROM notice)),
+bb AS (SELECT DISTINCT license, n, w[i] || ' ' || w[i + 1] AS g FROM b),
+nb AS (SELECT license, n, count(*) AS b FROM bb GROUP BY ALL),
+u AS (
+  SELECT DISTINCT doc_id, unit FROM (
+    SELECT doc_id, unnest(list_concat(regexp_split_to_array(text, '[\\n\\r]+'),
+                                      regexp_split_to_array(text, '[\\n\\r]+|[.!?][ \\t]+'))) AS unit
+    FROM documents WHERE text <> '')),
+uw AS (SELECT doc_id, unit, {_UNIT_WORDS} AS w FROM u),
+ub AS (SELECT DISTINCT doc_id, unit, w[i] || ' ' || w[i + 1] AS g FROM uw, unnest(range(1, len(w))) AS t(i)),
+na AS (SELECT doc_id, unit, count(*) AS a FROM ub GROUP BY ALL),
+c AS (SELECT doc_id, unit, license, n, count(*) AS c FROM ub JOIN bb USING (g) GROUP BY ALL),
+dice AS (
+  SELECT doc_id, license, max(2 * c / (a + b)) AS dice FROM c JOIN na USING (doc_id, unit) JOIN nb USING (license, n)
+  WHERE 2 * c / (a + b) >= {DICE} GROUP BY ALL),
+found AS (
+  SELECT doc_id, count(*) AS n, string_agg(license, ',' ORDER BY license) AS l, max(dice) AS best FROM dice GROUP BY ALL)
+SELECT doc_id, coalesce(n, 0)::BIGINT AS n_licenses, coalesce(l, '') AS licenses, best AS best_dice
+FROM (SELECT DISTINCT doc_id FROM documents WHERE doc_id IS NOT NULL) LEFT JOIN found USING (doc_id)
+"""
+
 LLM_SQL = {
     "op2_substring_dedup": SUBSTRING_DEDUP,
     "op6_minhash_near_dedup": NEAR_DEDUP,
+    "op9_license_scan": LICENSES,
     "op10_benchmark_decontamination": DECONTAMINATION,
 }

@@ -6,6 +6,7 @@ from pyspark.sql import functions as F
 
 from ledgerloom.llm.common import table
 from ledgerloom.llm.decontaminate import contamination
+from ledgerloom.llm.licenses import license_report, templates
 from ledgerloom.llm.near_dedup import near_duplicates
 from ledgerloom.llm.packing import pack_documents
 from ledgerloom.llm.pii import find_personal_data
@@ -60,6 +61,10 @@ def op8_hilbert_packing(spark, sf_dir):
     )
 
 
+def op9_license_scan(spark, sf_dir):
+    return license_report(table(spark, sf_dir, "documents"), templates(spark))
+
+
 def op10_benchmark_decontamination(spark, sf_dir):
     found = contamination(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
     return found.select(
@@ -80,5 +85,6 @@ LLM_QUERIES = {
     "op6_minhash_near_dedup": op6_minhash_near_dedup,
     "op7_toxicity_nnpu": op7_toxicity_nnpu,
     "op8_hilbert_packing": op8_hilbert_packing,
+    "op9_license_scan": op9_license_scan,
     "op10_benchmark_decontamination": op10_benchmark_decontamination,
 }
