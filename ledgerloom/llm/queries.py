@@ -11,6 +11,7 @@ from ledgerloom.llm.near_dedup import near_duplicates
 from ledgerloom.llm.packing import pack_documents
 from ledgerloom.llm.pii import find_personal_data
 from ledgerloom.llm.secret_scan import find_secrets
+from ledgerloom.llm.quality import quality_scores
 from ledgerloom.llm.spans import PERSONAL, SECRET, digest
 from ledgerloom.llm.substring_dedup import remove_repeated_windows
 from ledgerloom.llm.toxicity import THRESHOLD, fit_toxicity, held_out, score_toxicity
@@ -37,6 +38,10 @@ def op4_secret_scan_char_cnn(spark, sf_dir):
     return digest(find_secrets(table(spark, sf_dir, "documents")), SECRET)
 
 
+def op5_quality_empirical_bayes(spark, sf_dir):
+    return quality_scores(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
+
+
 def op6_minhash_near_dedup(spark, sf_dir):
     return near_duplicates(table(spark, sf_dir, "documents"))
 
@@ -82,6 +87,7 @@ LLM_QUERIES = {
     "op2_substring_dedup": op2_substring_dedup,
     "op3_pii_boosted_candidates": op3_pii_boosted_candidates,
     "op4_secret_scan_char_cnn": op4_secret_scan_char_cnn,
+    "op5_quality_empirical_bayes": op5_quality_empirical_bayes,
     "op6_minhash_near_dedup": op6_minhash_near_dedup,
     "op7_toxicity_nnpu": op7_toxicity_nnpu,
     "op8_hilbert_packing": op8_hilbert_packing,
