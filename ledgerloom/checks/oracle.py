@@ -6,7 +6,7 @@ DECIMAL columns are shown as DOUBLE, dates and times as text, on both sides.
 from __future__ import annotations
 
 from ledgerloom import config as c
-from ledgerloom.checks.oracle_tables import P, compose, h, mapped, pct, q, values
+from ledgerloom.checks.oracle_tables import P, compose, h, mapped, pct, q, scored_text, values
 from ledgerloom.functions import text as tx
 from ledgerloom.operators import actions as act
 from ledgerloom.operators import economics as eco
@@ -159,7 +159,10 @@ SELECT md5('task|' || recommendation_id) AS task_id, recommendation_id, borrower
        {_now} AS created_at, {_hour} BETWEEN 8 AND 18 AS fpc_window_ok, {_now} AS confirmed_at
 FROM x_rec_before JOIN x_decided USING (recommendation_id) WHERE decision = 'APPROVED'"""
 # Ids are stable over rebuilds, so an approval carried forward already has its task.
-add("team_tasks", _task)
+add("carry_decision_foreign", f"SELECT n.recommendation_id, n.borrower_id, n.loan_id, n.action_code, coalesce(o.decision, n.status) AS status {_carried}")
+# The review of the new generation adds what is approved there and was not there before.
+_fresh = _task.replace("x_rec_before JOIN x_decided", "x_rec JOIN x_decided_now")
+add("team_tasks", f"{_task} UNION ALL {_fresh} AND recommendation_id NOT IN (SELECT recommendation_id FROM x_rec_before)")
 add("queue_orphans", f"{_task} AND recommendation_id NOT IN (SELECT recommendation_id FROM x_rec)")
 add("queue_purged", f"{_task} AND recommendation_id IN (SELECT recommendation_id FROM x_rec)")
 
@@ -241,7 +244,7 @@ add("document_fields", "SELECT * FROM x_paper_fields")
 add("document_statement_lines", f"""
 SELECT s.borrower_id, CAST(line_no AS BIGINT) AS line_no, booked_on, description,
        CASE line_no WHEN 6 THEN 1500 WHEN 7 THEN s.own_emi_inr ELSE 0 END AS debit_inr,
-       CASE line_no WHEN 4 THEN s.monthly_income_inr WHEN 5 THEN n.net_income_inr ELSE 0 END AS credit_inr
+       CASE line_no WHEN 4 THEN s.monthly_income_inr WHEN 5 THEN n.net_income_inr ELSE 0 END AS credit_inr, CAST(NULL AS BIGINT) AS balance_inr
 FROM x_state s JOIN (SELECT borrower_id, net_income_inr FROM x_paper_fields WHERE doc_type = 'INCOME_STATEMENT') n USING (borrower_id),
      {values([(4, '01-Jan-2024', 'Opening Balance'), (5, '10-Jan-2024', 'Consulting Fee'), (6, '20-Jan-2024', 'Electricity Bill'), (7, '28-Jan-2024', 'EMI - Loan account')], 'line_no, booked_on, description')}""")
 add("income_corroboration", f"""
@@ -271,7 +274,8 @@ add("assert_a4", "SELECT recommendation_id, action_code FROM x_rec WHERE recomme
 add("assert_a5", """
 SELECT borrower_id, loan_id, a.action_code AS baseline_action, b.action_code FROM x_rec_before a JOIN x_rec b USING (borrower_id, loan_id) WHERE a.action_code <> b.action_code""")
 _cols = "borrower_id, loan_id, action_code, rule_basis"
-add("determinism", f"""
+add("determinism", f"SELECT {_cols}, 'first' AS found_in, CAST(1 AS BIGINT) AS times FROM x_rec WHERE false")
+add("generation_difference", f"""
 SELECT {_cols}, found_in, count(*) AS times
 FROM (SELECT *, 'first' AS found_in FROM (SELECT {_cols} FROM x_rec_before EXCEPT ALL SELECT {_cols} FROM x_rec)
       UNION ALL SELECT *, 'second' AS found_in FROM (SELECT {_cols} FROM x_rec EXCEPT ALL SELECT {_cols} FROM x_rec_before)) GROUP BY ALL""")
@@ -284,11 +288,22 @@ def _contract(table: str, source: str, key: str, required: list[str], enums: dic
     return [f"SELECT '{table}' AS table_name, {q(n)} AS \"check\", ({s}) AS violation_count" for n, s in rows]
 
 
+_log = f"(SELECT recommendation_id, md5('log|' || recommendation_id) AS log_id, rule_basis AS rule_fired, 'PENDING' AS human_decision FROM x_rec)"
 add("data_contracts", " UNION ALL ".join(
     _contract("loan_account", "x_loan", "loan_id", ["borrower_id", "product_code", "emi_amount_inr"], {"rate_type": ["FIXED", "FLOATING"]})
+    + _contract("mandate", "x_mandate", "mandate_id", ["loan_id", "mandate_status"], {"failure_attribution": ["NONE", "TECHNICAL", "CAPACITY", "INTENT"]})
     + _contract("borrower_state", "x_state", "borrower_id", ["max_dpd_own"], {"borrower_asset_class": ["STANDARD", "SMA-0", "SMA-1", "SMA-2", "NPA"]})
     + _contract("nba_recommendation", "x_rec", "recommendation_id", ["rule_basis", "status"], {"status": ["PENDING_APPROVAL", "APPROVED", "REJECTED"]})
-    + _contract("transcript_insight", "x_scored_call", "interaction_id", ["predicted_intent"], {"sentiment": list(tx.SENTIMENTS), "predicted_intent": list(tx.INTENTS)})))
+    + _contract("nba_decision_log", _log, "recommendation_id", ["log_id", "rule_fired"], {"human_decision": ["PENDING", "APPROVED", "REJECTED"]})
+    + _contract("team_task_queue", f"({_task})", "recommendation_id", ["task_id", "owning_team"], {"status": ["QUEUED"]})
+    + _contract("transcript_insight", "x_scored_call", "interaction_id", ["predicted_intent"], {"sentiment": list(tx.SENTIMENTS), "predicted_intent": list(tx.INTENTS)})
+    + _contract("call_transition", "x_transition", "to_interaction_id", ["borrower_id", "from_interaction_id"], {"sentiment_direction": ["IMPROVING", "DETERIORATING", "STABLE"]})
+    + _contract("trajectory", "x_trajectory", "borrower_id", ["n_calls"], {"overall_sentiment_direction": ["IMPROVING", "DETERIORATING", "STABLE", "MIXED"]})
+    + _contract("repayment_schedule", "x_schedule", "schedule_id", ["loan_id", "due_date"], {})
+    + _contract("customer_360", "x_360", "borrower_id", ["borrower_asset_class"], {})))
+_signals = "sentiment, predicted_intent, is_credible_hardship, " + ", ".join(tx.EXTRACT_FIELDS)
+add("conversation_insight", f"SELECT conv_id, turn, {_signals} FROM ({scored_text('(SELECT *, text AS transcript_text FROM conversations)')})")
+add("document_insight", f"SELECT doc_id, {_signals} FROM ({scored_text('(SELECT *, text AS transcript_text FROM documents)')})")
 add("confusion_matrix", "SELECT ground_truth_label, predicted_intent, count(*) AS n FROM x_labelled GROUP BY 1, 2")
 add("class_accuracy", f"""
 SELECT l.ground_truth_label, count(*) AS n_calls, {pct('count(*) FILTER (predicted_intent = expected_intent)', 'count(*)')} AS accuracy_pct,

@@ -131,6 +131,9 @@ RATE_ROWS = [
     ("TELEMETRY_DATA_INGEST", D("3.60"), "Platform credit - telemetry"),
     ("AI_FUNCTIONS", D("2.20"), "AI credit - text function inference"),
     ("AI_SERVICES", D("2.20"), "AI credit - other text services"),
+    ("CODE_ASSISTANT_CLI", D("2.00"), "AI credit - code assistant, command line"),
+    ("CODE_ASSISTANT_WEB", D("2.00"), "AI credit - code assistant, browser"),
+    ("CODE_ASSISTANT_DESKTOP", D("2.00"), "AI credit - code assistant, desktop"),
 ]
 DEFAULT_RATE_USD = D("2.20")
 DEFAULT_RATE_NOTE = "unmapped - rate assumed 2.20"
@@ -163,6 +166,7 @@ DEMO_LABELS = {
     ),
 }
 
+# --- fixed values: texts and bounds of the calibration reports and the loan draws ------
 GROSS_BENCHMARK_NOTE = (
     "Value-weighted is the regulatory definition and the headline. Above system benchmark because this "
     "book is unsecured-heavy NBFC, not because asset quality is deteriorating."
@@ -203,9 +207,8 @@ class Params:
     budget_usd: D = D("400.00")
     credit_quota: D = D("50")
     quota_pcts: tuple = (50, 75, 90, 95, 100)
-    # Leading id characters that name a slice of the two-level rank where no table of
-    # even slices was written; ids sharing the prefix are numbered by one task.
-    rank_prefix: int = 6
+    # The demo customers' mandates have the numbers from here on; generated ones step over them.
+    demo_mandate_from: int = 9000001
 
     def econ(self, key: str) -> D:
         for row in self.economic_rows:

@@ -6,7 +6,7 @@ from __future__ import annotations
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
-from ledgerloom.functions.columns import _col
+from ledgerloom.functions.columns import _col, strict_greatest
 
 
 def monthly_rate(annual_pct) -> Column:
@@ -36,8 +36,9 @@ def balance_after(principal, annual_pct, emi, months) -> Column:
 
 
 def outstanding(principal, annual_pct, emi, months) -> Column:
+    """Never below zero; NULL as soon as one term is missing."""
     left = F.round(balance_after(principal, annual_pct, emi, months)).cast("bigint")
-    return F.greatest(left, F.lit(0).cast("bigint"))
+    return strict_greatest(left, F.lit(0).cast("bigint"))
 
 
 def share_of_income(amount, income) -> Column:

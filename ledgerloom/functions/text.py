@@ -127,10 +127,11 @@ def reason_words(text) -> Column:
 
 
 def reasons_differ(first, second, first_words: Column, second_words: Column) -> Column:
-    """TRUE/FALSE for two given reasons, NULL when either is missing."""
+    """TRUE/FALSE for two given reasons, NULL when either is missing or holds no word that
+    could be compared (one in another script, say)."""
     shared = F.size(F.array_intersect(first_words, second_words))
     total = F.size(F.array_union(first_words, second_words))
-    given = _present(first) & _present(second)
+    given = _present(first) & _present(second) & (F.size(first_words) > 0) & (F.size(second_words) > 0)
     return F.when(given, shared * SAME_REASON_DEN < total * SAME_REASON_NUM)
 
 

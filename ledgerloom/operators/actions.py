@@ -50,10 +50,14 @@ def _same_key(left: DataFrame, right: DataFrame, columns: list[str]) -> Column:
 
 
 def _as_side(df: DataFrame, keys: list[str], values: dict[str, str]) -> DataFrame:
-    """Lookup side of a carry join: keys prefixed, one row per key."""
-    return df.select(
-        *[F.col(k).alias(f"_{k}") for k in keys], *[F.col(v).alias(out) for v, out in values.items()]
-    ).dropDuplicates([f"_{k}" for k in keys])
+    """Lookup side of a carry join: keys prefixed, one row per key.
+
+    Where a caller's table holds several rows for a key, the greatest values win together, in the
+    order in which they are listed.
+    """
+    best = F.max(F.struct(*[F.col(v).alias(out) for v, out in values.items()])).alias("_best")
+    per_key = df.groupBy(*[F.col(k).alias(f"_{k}") for k in keys]).agg(best)
+    return per_key.select(*[f"_{k}" for k in keys], *[F.col(f"_best.{out}").alias(out) for out in values.values()])
 
 
 def carry_rationale(new_recs: DataFrame, old_recs: DataFrame) -> DataFrame:
@@ -68,10 +72,42 @@ def carry_rationale(new_recs: DataFrame, old_recs: DataFrame) -> DataFrame:
     )
 
 
-def carry_decision(
+def _with_decisions(recs: DataFrame, log: DataFrame, side: DataFrame) -> tuple[DataFrame, DataFrame]:
+    """``side`` holds ``recommendation_id, _at, _by, _decision``, one row per id."""
+    kept = F.col("_decision").isNotNull()
+    new_recs = (
+        recs.join(side, "recommendation_id", "left")
+        .withColumn("status", F.coalesce("_decision", "status"))
+        .select(*RECOMMENDATION_COLUMNS)
+    )
+    new_log = (
+        log.join(side, "recommendation_id", "left")
+        .withColumn("human_decision", F.coalesce("_decision", "human_decision"))
+        .withColumn("decided_by", F.when(kept, F.col("_by")).otherwise(F.col("decided_by")))
+        .withColumn("decided_at", F.when(kept, F.col("_at")).otherwise(F.col("decided_at")))
+        .select(*LOG_COLUMNS)
+    )
+    return new_recs, new_log
+
+
+def carry_decision(new_recs: DataFrame, new_log: DataFrame, old_log: DataFrame) -> tuple[DataFrame, DataFrame]:
+    """Keep human decisions for the same borrower, loan and action, even if the basis moved.
+
+    The recommendation id is a hash of just these three, so the decided rows of the old log meet
+    the new tables by id.  Of several decisions for one id the latest wins.
+    """
+    decided = old_log.filter(F.col("human_decision") != "PENDING")
+    side = _as_side(
+        decided, ["recommendation_id"], {"decided_at": "_at", "decided_by": "_by", "human_decision": "_decision"}
+    ).withColumnRenamed("_recommendation_id", "recommendation_id")
+    return _with_decisions(new_recs, new_log, side)
+
+
+def carry_decision_by_key(
     new_recs: DataFrame, new_log: DataFrame, old_recs: DataFrame, old_log: DataFrame
 ) -> tuple[DataFrame, DataFrame]:
-    """Keep human decisions for the same borrower, loan and action, even if the basis moved."""
+    """The same for old tables whose ids were made another way: borrower, loan and action are
+    compared, NULLs as equal."""
     keys = ["borrower_id", "loan_id", "action_code"]
     decided = old_recs.select("recommendation_id", *keys).join(
         old_log.filter(F.col("human_decision") != "PENDING").select(
@@ -79,28 +115,16 @@ def carry_decision(
         ),
         "recommendation_id",
     )
-    side = _as_side(
-        decided, keys, {"human_decision": "_decision", "decided_by": "_by", "decided_at": "_at"}
-    )
-    joined = new_recs.join(side, _same_key(new_recs, side, keys), "left")
-    recs = joined.withColumn("status", F.coalesce("_decision", "status")).select(*RECOMMENDATION_COLUMNS)
-    by_id = joined.filter(F.col("_decision").isNotNull()).select("recommendation_id", "_decision", "_by", "_at")
-    kept = F.col("_decision").isNotNull()
-    log = (
-        new_log.join(by_id, "recommendation_id", "left")
-        .withColumn("human_decision", F.coalesce("_decision", "human_decision"))
-        .withColumn("decided_by", F.when(kept, F.col("_by")).otherwise(F.col("decided_by")))
-        .withColumn("decided_at", F.when(kept, F.col("_at")).otherwise(F.col("decided_at")))
-        .select(*LOG_COLUMNS)
-    )
-    return recs, log
+    side = _as_side(decided, keys, {"decided_at": "_at", "decided_by": "_by", "human_decision": "_decision"})
+    matched = new_recs.join(side, _same_key(new_recs, side, keys)).select("recommendation_id", "_at", "_by", "_decision")
+    return _with_decisions(new_recs, new_log, matched)
 
 
 def carry_forward(
     new_recs: DataFrame, new_log: DataFrame, old_recs: DataFrame, old_log: DataFrame
 ) -> tuple[DataFrame, DataFrame]:
     """A rebuild that keeps what did not change: explanations, then decisions."""
-    return carry_decision(carry_rationale(new_recs, old_recs), new_log, old_recs, old_log)
+    return carry_decision(carry_rationale(new_recs, old_recs), new_log, old_log)
 
 
 def apply_decisions(

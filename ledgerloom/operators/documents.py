@@ -31,22 +31,45 @@ def extract_fields(papers: DataFrame) -> DataFrame:
     )
 
 
-def statement_lines(papers: DataFrame) -> DataFrame:
-    """Bank statements as one row per transaction line."""
+DATED_LINE = r"^[0-9]{2}-[A-Z][a-z]{2}-[0-9]{4} "
+
+
+def _dated_lines(papers: DataFrame) -> DataFrame:
     lines = papers.filter(F.col("doc_type") == "BANK_STATEMENT").select(
         "borrower_id", F.posexplode(F.split("text", "\n")).alias("line_no", "line")
     )
-    cells = F.split("line", " {2,}")
-    return lines.filter(F.col("line").rlike(r"^[0-9]{2}-[A-Z][a-z]{2}-[0-9]{4} ")).select(
+    dated = lines.filter(F.col("line").rlike(DATED_LINE))
+    return dated.withColumn("line_no", F.col("line_no").cast("bigint")).withColumn("cells", F.split("line", " {2,}"))
+
+
+def _cell_amount(place: int) -> Column:
+    return F.regexp_replace(F.get("cells", F.lit(place)), ",", "").try_cast("bigint")
+
+
+def _complete() -> Column:
+    """Date, description, debit and credit; the two amounts must read as numbers."""
+    return (F.size("cells") >= 4) & _cell_amount(2).isNotNull() & _cell_amount(3).isNotNull()
+
+
+def statement_lines(papers: DataFrame) -> DataFrame:
+    """Bank statements as one row per transaction line; the running balance is NULL where a
+    statement has no such column."""
+    return _dated_lines(papers).filter(_complete()).select(
         "borrower_id",
-        F.col("line_no").cast("bigint").alias("line_no"),
-        cells[0].alias("booked_on"),
-        cells[1].alias("description"),
-        F.regexp_replace(F.get(cells, F.lit(2)), ",", "").try_cast("bigint").alias("debit_inr"),
-        F.regexp_replace(F.get(cells, F.lit(3)), ",", "").try_cast("bigint").alias("credit_inr"),
+        "line_no",
+        F.get("cells", F.lit(0)).alias("booked_on"),
+        F.get("cells", F.lit(1)).alias("description"),
+        _cell_amount(2).alias("debit_inr"),
+        _cell_amount(3).alias("credit_inr"),
+        _cell_amount(4).alias("balance_inr"),
     )
 
 
+def statement_rejects(papers: DataFrame) -> DataFrame:
+    """Dated lines that are no complete transaction, as they stand."""
+    return _dated_lines(papers).filter(~_complete()).select("borrower_id", "line_no", "line")
+
+
 def income_corroboration(fields: DataFrame, state: DataFrame) -> DataFrame:
     """Document income and instalment next to the borrower's recorded income."""
     per_borrower = fields.groupBy("borrower_id").agg(

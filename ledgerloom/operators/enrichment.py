@@ -7,10 +7,8 @@ from pyspark.sql import functions as F
 
 from ledgerloom.functions import text as tx
 
-INSIGHT_COLUMNS = [
-    "interaction_id", "sentiment", "predicted_intent", "is_credible_hardship",
-    *tx.EXTRACT_FIELDS, "raw_extract_full", "enriched_at",
-]
+SIGNAL_COLUMNS = ["sentiment", "predicted_intent", "is_credible_hardship", *tx.EXTRACT_FIELDS]
+INSIGHT_COLUMNS = ["interaction_id", *SIGNAL_COLUMNS, "raw_extract_full", "enriched_at"]
 
 
 def score_text(df: DataFrame, text_col: str = "transcript_text") -> DataFrame:
@@ -53,11 +51,6 @@ def scored_calls(calls: DataFrame, text_col: str = "transcript_text") -> DataFra
     )
 
 
-def join_insight(calls: DataFrame, insight: DataFrame) -> DataFrame:
-    """The same shape from separately stored tables."""
-    return calls.select("interaction_id", *CALL_KEYS).join(insight, "interaction_id")
-
-
 def backfill(legacy: DataFrame, calls: DataFrame) -> DataFrame:
     """Keep stored insight as it is and read only the calls it does not cover."""
     fresh = calls.join(legacy.select("interaction_id"), "interaction_id", "left_anti")

@@ -17,7 +17,7 @@ from ledgerloom.config import (
 )
 from ledgerloom.functions.columns import bucket, lookup, nth, padded_id, pick, strict_least
 from ledgerloom.functions.finance import balance_after, instalment, monthly_rate, outstanding, to_money
-from ledgerloom.operators.ranking import global_row_number, running_total_before, slice_of
+from ledgerloom.operators.ranking import global_row_number, running_total_before
 
 # Salts of the independent draws made for each loan, and their ranges.
 LOAN_DRAWS = {
@@ -43,15 +43,14 @@ def explode_loans(borrowers: DataFrame, p: Params) -> DataFrame:
     """One row per (borrower, seq) with the dense loan number along (borrower_id, seq).
 
     The number of loans of all earlier borrowers is a two-level running total over the
-    borrowers, so no task ever orders the whole loan table.
+    borrowers, which were cut by range and written, so no task orders the whole loan table.
     """
-    narrow = [c for c in ("borrower_id", "bureau_score_band", "_slice") if c in borrowers.columns]
-    counted = with_draws(borrowers.select(*narrow), ["borrower_id"], {"lc": 100})
+    counted = with_draws(borrowers.select("borrower_id", "bureau_score_band", "_slice"), ["borrower_id"], {"lc": 100})
     counted = counted.withColumn("loan_count", loan_count("h_lc")).drop("h_lc")
     numbered = running_total_before(
         counted,
         ["borrower_id"],
-        slice_of(counted, "borrower_id", p.rank_prefix),
+        F.col("_slice"),
         F.col("loan_count"),
         "_loans_before",
     )
@@ -267,15 +266,15 @@ def mandated_loans(loans: DataFrame) -> DataFrame:
     )
 
 
-def build_mandate(loans: DataFrame, p: Params, mandated: DataFrame | None = None) -> DataFrame:
+def build_mandate(loans: DataFrame, p: Params, mandated: DataFrame) -> DataFrame:
     """Debit mandates of the loans that have one; demo borrowers get a fixed, clean one.
 
-    ``mandated`` may bring the same loans already cut into slices for the numbering.
+    ``mandated`` brings ``mandated_loans`` cut by range on ``loan_id``, and written.
     """
     is_demo = F.col("borrower_id").isin(*DEMO_BORROWERS)
-    numbered = global_row_number(
-        mandated_loans(loans) if mandated is None else mandated, "loan_id", "_no", p.rank_prefix
-    )
+    numbered = global_row_number(mandated, "loan_id", "_no")
+    beyond = (F.col("_no") >= p.demo_mandate_from).cast("int")
+    numbered = numbered.withColumn("_no", F.col("_no") + beyond * len(DEMO_BORROWERS))
     status = F.col("mandate_status")
     reason = F.col("h_mrsn")
     generated = (
@@ -317,8 +316,8 @@ def build_mandate(loans: DataFrame, p: Params, mandated: DataFrame | None = None
             (status == "FAILED_DPD_ZERO").alias("is_early_warning"),
         )
     )
-    # One loan per demo borrower by now: numbered by their place in the list, from nine million.
-    demo_no = lookup("borrower_id", {b: 9000001 + i for i, b in enumerate(DEMO_BORROWERS)})
+    # One loan per demo borrower by now: numbered by their place in the list.
+    demo_no = lookup("borrower_id", {b: p.demo_mandate_from + i for i, b in enumerate(DEMO_BORROWERS)})
     demo = loans.filter(is_demo).select(
         padded_id("MND", demo_no, 7).alias("mandate_id"),
         "loan_id",

@@ -14,20 +14,14 @@ from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
 
-def cut_by_range(df: DataFrame, order_by: str) -> DataFrame:
+def cut_by_range(df: DataFrame, *order_by: str) -> DataFrame:
     """Add ``_slice``: the number of the range the row's key falls into.
 
     Spark samples the bounds, so slices are even whatever the keys look like, and adaptive
     execution merges small neighbours.  Another run may choose other bounds: write the
     result once and build both the totals and the ranks on the written table.
     """
-    return df.repartitionByRange(order_by).withColumn("_slice", F.spark_partition_id().cast("bigint"))
-
-
-def slice_of(df: DataFrame, key: str, prefix: int) -> Column:
-    """The slice written by ``cut_by_range`` or else the first characters of the key, which
-    string order respects and which need no written table."""
-    return F.col("_slice") if "_slice" in df.columns else F.substring(key, 1, prefix)
+    return df.repartitionByRange(*order_by).withColumn("_slice", F.spark_partition_id().cast("bigint"))
 
 
 def running_total_before(
@@ -57,9 +51,9 @@ def running_total_before(
     )
 
 
-def global_row_number(df: DataFrame, order_by: str, out: str, prefix: int) -> DataFrame:
-    """1-based position along a unique string key, counted slice by slice."""
-    ranked = running_total_before(df, [order_by], slice_of(df, order_by, prefix), F.lit(1), "_before")
+def global_row_number(df: DataFrame, order_by: str, out: str) -> DataFrame:
+    """1-based position along a unique key; ``df`` was cut by range and written."""
+    ranked = running_total_before(df, [order_by], F.col("_slice"), F.lit(1), "_before")
     return ranked.withColumn(out, F.col("_before") + 1).drop("_before")
 
 
@@ -68,8 +62,8 @@ def keyed_sequence(
 ) -> DataFrame:
     """Per-key sequence number, group size and previous time, for keys of any size.
 
-    A key is cut into slices along ``order_by`` (hours, say), so one key holding a large
-    share of the rows is numbered by many tasks.  Adds ``seq``, ``seq_length`` and
+    A key is cut into slices along ``order_by`` (ranges written by ``cut_by_range``, say), so
+    one key holding a large share of the rows is numbered by many tasks.  Adds ``seq``, ``seq_length`` and
     ``previous_time``.
     """
     sliced = df.withColumn("_slice", slice_col)

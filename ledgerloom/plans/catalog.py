@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from collections.abc import Callable
+from functools import reduce
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
@@ -14,7 +15,7 @@ from ledgerloom.functions.finance import instalment
 from ledgerloom.operators import actions, borrower_state, customer360, documents, economics, enrichment
 from ledgerloom.operators import loan_book, ranking, rules, trajectory
 from ledgerloom.plans import evaluation, quality, reports, spend
-from ledgerloom.plans.portfolio import Portfolio
+from ledgerloom.plans.portfolio import Portfolio, sample_decisions
 from ledgerloom.sources import entities
 
 Query = Callable[[Portfolio], DataFrame]
@@ -124,7 +125,7 @@ def score_spread(pf):
 
 @query
 def global_rank(pf):
-    ranked = ranking.global_row_number(pf.sliced_tradelines, "tradeline_id", "n", pf.p.rank_prefix)
+    ranked = ranking.global_row_number(pf.sliced_tradelines, "tradeline_id", "n")
     return ranked.select("tradeline_id", "borrower_id", "n")
 
 
@@ -435,15 +436,15 @@ def decided_before(pf):
 
 @query
 def carry_decision(pf):
-    old_recs, old_log, _ = decided_before(pf)
-    recs, _ = actions.carry_decision(pf.recs, pf.log, old_recs, old_log)
+    _, old_log, _ = decided_before(pf)
+    recs, _ = actions.carry_decision(pf.recs, pf.log, old_log)
     return recs.select("recommendation_id", "borrower_id", "loan_id", "action_code", "status")
 
 
 @query
 def carry_decision_log(pf):
-    old_recs, old_log, _ = decided_before(pf)
-    _, log = actions.carry_decision(pf.recs, pf.log, old_recs, old_log)
+    _, old_log, _ = decided_before(pf)
+    _, log = actions.carry_decision(pf.recs, pf.log, old_log)
     return log.select("recommendation_id", "human_decision", "decided_by", "decided_at")
 
 
@@ -472,12 +473,24 @@ def earlier_queue(pf):
 
 @query
 def team_tasks(pf):
-    """Tasks of the earlier generation topped up after the carry-forward."""
-    old_recs, old_log, _ = decided_before(pf)
-    recs, _ = actions.carry_decision(pf.recs, pf.log, old_recs, old_log)
+    """Tasks of the earlier generation, topped up once the new generation was reviewed too."""
+    _, old_log, _ = decided_before(pf)
+    recs, log = actions.carry_decision(pf.recs, pf.log, old_log)
+    recs, _, _ = actions.apply_decisions(recs, log, sample_decisions(recs, pf.p))
     return actions.create_team_tasks(recs, earlier_queue(pf), pf.p)
 
 
+@query
+def carry_decision_foreign(pf):
+    """Decisions carried by borrower, loan and action, as from tables with other ids."""
+    old_recs, old_log, _ = decided_before(pf)
+    other = F.concat(F.lit("old-"), "recommendation_id").alias("recommendation_id")
+    old_recs = old_recs.select(other, *[c for c in old_recs.columns if c != "recommendation_id"])
+    old_log = old_log.select(other, *[c for c in old_log.columns if c != "recommendation_id"])
+    recs, _ = actions.carry_decision_by_key(pf.recs, pf.log, old_recs, old_log)
+    return recs.select("recommendation_id", "borrower_id", "loan_id", "action_code", "status")
+
+
 @query
 def queue_orphans(pf):
     return actions.orphan_tasks(earlier_queue(pf), pf.recs)
@@ -645,11 +658,25 @@ def income_corroboration(pf):
     return documents.income_corroboration(pf.paper_fields, pf.state)
 
 
+@query
+def conversation_insight(pf):
+    """Every signal read from the turns of given conversations, whole texts of any language."""
+    return enrichment.score_text(pf.base("conversations"), "text").select(
+        "conv_id", "turn", *enrichment.SIGNAL_COLUMNS
+    )
+
+
+@query
+def document_insight(pf):
+    """The same over given documents."""
+    return enrichment.score_text(pf.base("documents"), "text").select("doc_id", *enrichment.SIGNAL_COLUMNS)
+
+
 # --- quality and evaluation ------------------------------------------------------------------------------------------
 @query
 def standing_assertions(pf):
     return quality.standing_assertions(
-        pf.recs, pf.log, pf.state, pf.loan_economics, pf.loans, quality.baseline(pf.recs)
+        pf.recs, pf.rebuilt.log, pf.state, pf.loan_economics, pf.loans, pf.baseline
     )
 
 
@@ -668,6 +695,12 @@ def assert_a5(pf):
 
 @query
 def determinism(pf):
+    """Two builds of the same inputs with different numbers of partitions, row by row: no row."""
+    return quality.run_difference(pf.baseline, pf.recs)
+
+
+@query
+def generation_difference(pf):
     """What the calls changed: the earlier generation against this one, row by row."""
     return quality.run_difference(pf.earlier_recs, pf.recs)
 
@@ -675,16 +708,28 @@ def determinism(pf):
 @query
 def data_contracts(pf):
     p = quality.contract
-    return (
+    statuses = ["PENDING_APPROVAL", "APPROVED", "REJECTED"]
+    checks = [
         p(pf.loans, "loan_account", ["loan_id"], ["borrower_id", "product_code", "emi_amount_inr"],
-          {"rate_type": ["FIXED", "FLOATING"]})
-        .unionByName(p(pf.state, "borrower_state", ["borrower_id"], ["max_dpd_own"],
-                       {"borrower_asset_class": ["STANDARD", "SMA-0", "SMA-1", "SMA-2", "NPA"]}))
-        .unionByName(p(pf.recs, "nba_recommendation", ["recommendation_id"], ["rule_basis", "status"],
-                       {"status": ["PENDING_APPROVAL", "APPROVED", "REJECTED"]}))
-        .unionByName(p(pf.scored_calls, "transcript_insight", ["interaction_id"], ["predicted_intent"],
-                       {"sentiment": list(tx.SENTIMENTS), "predicted_intent": list(tx.INTENTS)}))
-    )
+          {"rate_type": ["FIXED", "FLOATING"]}),
+        p(pf.mandates, "mandate", ["mandate_id"], ["loan_id", "mandate_status"],
+          {"failure_attribution": ["NONE", "TECHNICAL", "CAPACITY", "INTENT"]}),
+        p(pf.state, "borrower_state", ["borrower_id"], ["max_dpd_own"],
+          {"borrower_asset_class": ["STANDARD", "SMA-0", "SMA-1", "SMA-2", "NPA"]}),
+        p(pf.recs, "nba_recommendation", ["recommendation_id"], ["rule_basis", "status"], {"status": statuses}),
+        p(pf.log, "nba_decision_log", ["recommendation_id"], ["log_id", "rule_fired"],
+          {"human_decision": ["PENDING", "APPROVED", "REJECTED"]}),
+        p(earlier_queue(pf), "team_task_queue", ["recommendation_id"], ["task_id", "owning_team"], {"status": ["QUEUED"]}),
+        p(pf.scored_calls, "transcript_insight", ["interaction_id"], ["predicted_intent"],
+          {"sentiment": list(tx.SENTIMENTS), "predicted_intent": list(tx.INTENTS)}),
+        p(pf.transitions, "call_transition", ["to_interaction_id"], ["borrower_id", "from_interaction_id"],
+          {"sentiment_direction": ["IMPROVING", "DETERIORATING", "STABLE"]}),
+        p(pf.trajectory, "trajectory", ["borrower_id"], ["n_calls"],
+          {"overall_sentiment_direction": ["IMPROVING", "DETERIORATING", "STABLE", "MIXED"]}),
+        p(pf.schedule, "repayment_schedule", ["schedule_id"], ["loan_id", "due_date"], {}),
+        p(pf.published_360, "customer_360", ["borrower_id"], ["borrower_asset_class"], {}),
+    ]
+    return reduce(DataFrame.unionByName, checks)
 
 
 def _labelled(pf):

@@ -21,9 +21,29 @@ from ledgerloom.operators import (
     trajectory,
 )
 from ledgerloom.operators.borrower_state import build_borrower_state
+from ledgerloom.plans import quality
 from ledgerloom.session import work_folder
 from ledgerloom.sources import entities
-from ledgerloom.sources.tables import read_base
+from ledgerloom.sources.tables import conformed, listing, read_base, read_entity, read_manifest, write_manifest
+
+GIVEN = {"borrower", "bureau_tradeline", "loan_account", "mandate", "call_transcript"}
+
+#: Published tables and the properties that hold them, each after those it is built from.
+PUBLISHED = {
+    "borrower_slices": "sliced_borrowers",
+    "tradeline_slices": "sliced_tradelines",
+    "call_slices": "sliced_calls",
+    "loan_account": "loans",
+    "mandate_slices": "sliced_mandates",
+    "mandate": "mandates",
+    "borrower_state": "state",
+    "scored_loans": "scored_loans",
+    "scored_calls": "scored_calls",
+    "trajectory": "trajectory",
+    "recommendations": "staged",
+    "recommendations_before": "earlier_staged",
+    "customer_360": "published_360",
+}
 
 
 class Portfolio:
@@ -36,11 +56,30 @@ class Portfolio:
     properties are lazy.
     """
 
-    def __init__(self, spark: SparkSession, sf_dir: str, params: Params | None = None, folder: str | None = None):
+    def __init__(
+        self,
+        spark: SparkSession,
+        sf_dir: str,
+        params: Params | None = None,
+        folder: str | None = None,
+        given: dict[str, DataFrame | str] | None = None,
+        partitions: int | None = None,
+    ):
+        """``given`` brings entity tables (``borrower``, ``bureau_tradeline``, ``loan_account``,
+        ``mandate``, ``call_transcript``) as DataFrames or paths; only what is not given is
+        derived from the base tables or drawn.  ``partitions`` sets the shuffle partitions of the
+        tables written here.
+        """
         self.spark = spark
         self.sf_dir = sf_dir
         self.p = params or Params()
         self._folder = folder
+        self.given = dict(given or {})
+        self._partitions = partitions
+        self._published: dict[str, str] = {}
+        unknown = set(self.given) - GIVEN
+        if unknown:
+            raise ValueError(f"no such entity table: {sorted(unknown)}")
 
     @cached_property
     def folder(self) -> str:
@@ -48,29 +87,92 @@ class Portfolio:
 
     def _table(self, df: DataFrame, name: str) -> DataFrame:
         path = f"{self.folder}/{name}"
-        df.write.mode("overwrite").parquet(path)
+        if name in self._published:
+            if df.schema.simpleString() != self._published[name]:
+                raise ValueError(f"the published table {name} has another schema")
+            return self.spark.read.schema(df.schema).parquet(path)
+        setting = "spark.sql.shuffle.partitions"
+        before = self.spark.conf.get(setting)
+        if self._partitions is not None:
+            self.spark.conf.set(setting, self._partitions)
+        try:
+            df.write.mode("overwrite").parquet(path)
+        finally:
+            self.spark.conf.set(setting, before)
         return self.spark.read.schema(df.schema).parquet(path)
 
+    def _by_borrower(self, df: DataFrame, name: str) -> DataFrame:
+        """A table whose files and row groups hold ranges of borrowers, so a lookup reads few."""
+        return self._table(df.repartitionByRange("borrower_id").sortWithinPartitions("borrower_id"), name)
+
+    def _entity(self, name: str) -> DataFrame | None:
+        given = self.given.get(name)
+        if given is None:
+            return None
+        return read_entity(self.spark, given, name) if isinstance(given, str) else conformed(given, name)
+
+    # --- published tables ---------------------------------------------------
+    def _facts(self) -> dict[str, str]:
+        given = {k: v if isinstance(v, str) else "a frame" for k, v in self.given.items()}
+        inputs = {"base": listing(self.spark, self.sf_dir)}
+        inputs |= {k: listing(self.spark, v) for k, v in self.given.items() if isinstance(v, str)}
+        return {"params": repr(self.p), "given": repr(sorted(given.items())), "inputs": repr(sorted(inputs.items()))}
+
+    def publish(self) -> str:
+        """Write every table that has several readers, then the manifest; returns the folder."""
+        tables = {}
+        for name in PUBLISHED:
+            tables[name] = getattr(self, PUBLISHED[name]).schema.simpleString()
+        write_manifest(self.spark, self.folder, self._facts() | {f"table {n}": s for n, s in tables.items()})
+        return self.folder
+
+    @classmethod
+    def open(
+        cls, spark: SparkSession, folder: str, sf_dir: str, params: Params | None = None,
+        given: dict[str, DataFrame | str] | None = None,
+    ) -> Portfolio:
+        """A portfolio over published tables, in any later application; nothing is rebuilt.
+
+        Refused unless parameters, given tables and the files of the inputs are those of the
+        manifest.
+        """
+        pf = cls(spark, sf_dir, params, folder, given)
+        facts = read_manifest(spark, folder)
+        for name, value in pf._facts().items():
+            if facts.get(name) != value:
+                raise ValueError(f"{folder} was published with other {name}")
+        pf._published = {n.removeprefix("table "): s for n, s in facts.items() if n.startswith("table ")}
+        return pf
+
     def base(self, name: str) -> DataFrame:
         return read_base(self.spark, self.sf_dir, name)
 
     # --- entities -----------------------------------------------------------
     @cached_property
     def borrowers(self) -> DataFrame:
-        return entities.borrowers(self.spark, self.sf_dir, self.p)
+        given = self._entity("borrower")
+        return entities.borrowers(self.spark, self.sf_dir, self.p) if given is None else given
 
     @cached_property
     def tradelines(self) -> DataFrame:
-        return entities.tradelines(self.spark, self.sf_dir, self.p)
+        given = self._entity("bureau_tradeline")
+        return entities.tradelines(self.spark, self.sf_dir, self.p) if given is None else given
 
     @cached_property
     def sliced_tradelines(self) -> DataFrame:
         keys = self.tradelines.select("tradeline_id", "borrower_id")
         return self._table(ranking.cut_by_range(keys, "tradeline_id"), "tradeline_slices")
 
+    @cached_property
+    def sliced_calls(self) -> DataFrame:
+        """Call events cut into even ranges along borrower and time, from which they are numbered."""
+        events = entities.call_events(self.spark, self.sf_dir)
+        return self._table(ranking.cut_by_range(events, *entities.CALL_ORDER), "call_slices")
+
     @cached_property
     def calls(self) -> DataFrame:
-        return entities.calls(self.spark, self.sf_dir, self.p)
+        given = self._entity("call_transcript")
+        return entities.calls(self.spark, self.sliced_calls, self.p) if given is None else given
 
     @cached_property
     def ground_truth(self) -> DataFrame:
@@ -86,6 +188,9 @@ class Portfolio:
     @cached_property
     def loans_unwritten(self) -> DataFrame:
         """The loan book for a query that reads it once."""
+        given = self._entity("loan_account")
+        if given is not None:
+            return given
         return loan_book.build_loan_account(self.spark, self.sliced_borrowers, self.p)
 
     @cached_property
@@ -93,10 +198,16 @@ class Portfolio:
         return self._table(self.loans_unwritten, "loan_account")
 
     @cached_property
-    def mandates(self) -> DataFrame:
+    def sliced_mandates(self) -> DataFrame:
         keys = ranking.cut_by_range(loan_book.mandated_loans(self.loans), "loan_id")
-        sliced = self._table(keys, "mandate_slices")
-        return self._table(loan_book.build_mandate(self.loans, self.p, sliced), "mandate")
+        return self._table(keys, "mandate_slices")
+
+    @cached_property
+    def mandates(self) -> DataFrame:
+        given = self._entity("mandate")
+        if given is None:
+            given = loan_book.build_mandate(self.loans, self.p, self.sliced_mandates)
+        return self._table(given, "mandate")
 
     @cached_property
     def state(self) -> DataFrame:
@@ -145,7 +256,7 @@ class Portfolio:
 
     @cached_property
     def staged(self) -> DataFrame:
-        return self._table(rules.stage_recommendations(self.spark, self.candidates, self.p), "recommendations")
+        return self._by_borrower(rules.stage_recommendations(self.spark, self.candidates, self.p), "recommendations")
 
     @cached_property
     def recs(self) -> DataFrame:
@@ -159,7 +270,7 @@ class Portfolio:
     def earlier_staged(self) -> DataFrame:
         """The generation before any call was heard: same rules, no trajectory."""
         before = rules.nba_candidates(self.scored_loans, self.state, self.mandates, None)
-        return self._table(rules.stage_recommendations(self.spark, before, self.p), "recommendations_before")
+        return self._by_borrower(rules.stage_recommendations(self.spark, before, self.p), "recommendations_before")
 
     @cached_property
     def earlier_recs(self) -> DataFrame:
@@ -181,7 +292,19 @@ class Portfolio:
     @cached_property
     def published_360(self) -> DataFrame:
         """The same rows as a table, which the application queries read."""
-        return self._table(self.customer_360, "customer_360")
+        return self._by_borrower(self.customer_360, "customer_360")
+
+    # --- a second build -----------------------------------------------------------------
+    @cached_property
+    def rebuilt(self) -> Portfolio:
+        """The same inputs built again in another folder, with another number of partitions: what
+        it recommends is the stored baseline that this build is compared with."""
+        partitions = int(self.spark.conf.get("spark.sql.shuffle.partitions")) + 3
+        return Portfolio(self.spark, self.sf_dir, self.p, None, self.given, partitions)
+
+    @cached_property
+    def baseline(self) -> DataFrame:
+        return self._table(quality.baseline(self.rebuilt.recs), "determinism_baseline")
 
     # --- papers ---------------------------------------------------------------------
     @cached_property

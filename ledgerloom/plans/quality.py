@@ -45,13 +45,13 @@ def _fields(name: tuple[str, str], figure: str):
 
 
 def baseline(recs: DataFrame) -> DataFrame:
-    return recs.select("borrower_id", "loan_id", "action_code")
+    return recs.select("borrower_id", "loan_id", "action_code", "rule_basis")
 
 
 def changed_actions(base: DataFrame, recs: DataFrame) -> DataFrame:
     """Baseline rows whose recommendation now differs.  Rows without a loan never match
     here (plain equality); ``run_difference`` covers them."""
-    was = base.withColumnRenamed("action_code", "baseline_action")
+    was = base.select("borrower_id", "loan_id", F.col("action_code").alias("baseline_action"))
     return was.join(recs.select("borrower_id", "loan_id", "action_code"), ["borrower_id", "loan_id"]).filter(
         F.col("baseline_action") != F.col("action_code")
     )

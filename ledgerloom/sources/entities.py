@@ -175,7 +175,7 @@ def with_persona(df: DataFrame, out: str) -> DataFrame:
     return df.withColumn("_draw", bucket(["borrower_id"], "persona", 100)).withColumn(out, label).drop("_draw")
 
 
-def _call_events(spark: SparkSession, sf_dir: str) -> DataFrame:
+def call_events(spark: SparkSession, sf_dir: str) -> DataFrame:
     events = read_base(spark, sf_dir, "events").filter(F.col("event_type") == "error")
     return events.select(
         F.concat(F.lit("INT"), F.col("event_id").cast("string")).alias("interaction_id"),
@@ -185,15 +185,16 @@ def _call_events(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
-def calls(spark: SparkSession, sf_dir: str, p: Params) -> DataFrame:
-    """Call transcripts: one per error event, numbered along time per borrower."""
-    ordered = keyed_sequence(
-        _call_events(spark, sf_dir),
-        "borrower_id",
-        ["ts", "event_id"],
-        F.date_trunc("hour", F.col("ts")),
-        "ts",
-    )
+#: Calls are cut by range along these, so that a borrower's busiest hour may span many slices.
+CALL_ORDER = ("borrower_id", "ts", "event_id")
+
+
+def calls(spark: SparkSession, events: DataFrame, p: Params) -> DataFrame:
+    """Call transcripts: one per error event, numbered along time per borrower.
+
+    ``events`` are the ``call_events`` cut by range along ``CALL_ORDER``, and written.
+    """
+    ordered = keyed_sequence(events, "borrower_id", ["ts", "event_id"], F.col("_slice"), "ts")
     key = "interaction_id"
     part = F.lit(1000) + F.lit(500) * bucket([key], "part", 12)
     fills = {
@@ -235,7 +236,7 @@ def calls(spark: SparkSession, sf_dir: str, p: Params) -> DataFrame:
 
 def ground_truth(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Hidden labels of the calls; only evaluation reads this."""
-    return with_persona(_call_events(spark, sf_dir), "ground_truth_label").select(
+    return with_persona(call_events(spark, sf_dir), "ground_truth_label").select(
         "interaction_id",
         "ground_truth_label",
         F.lit("template").alias("generation_model"),

@@ -2,7 +2,10 @@
 
 from __future__ import annotations
 
+import hashlib
+
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql.types import StructType
 
 BASE_SCHEMAS = {
     "region": "r_regionkey int, r_name string",
@@ -34,6 +37,20 @@ ENTITY_SCHEMAS = {
         "tenor_months bigint, opened_date date, current_balance_inr bigint, emi_amount_inr bigint, "
         "current_dpd bigint, tradeline_status string, last_reported_date date"
     ),
+    "loan_account": (
+        "loan_id string, borrower_id string, product_code string, product_name string, is_secured boolean, "
+        "sanction_amount_inr bigint, disbursed_amount_inr bigint, roi_pct decimal(7,3), "
+        "bank_benchmark_roi_pct decimal(6,3), rate_gap_vs_bank_pct decimal(8,3), rate_type string, "
+        "is_repo_linked boolean, tenor_months bigint, emi_amount_inr bigint, disbursal_date date, "
+        "maturity_date date, months_elapsed bigint, residual_months bigint, outstanding_principal_inr bigint, "
+        "current_dpd bigint, unpaid_emi_count bigint, arrears_amount_inr bigint, sourcing_channel string, "
+        "has_nach_mandate boolean, is_active boolean"
+    ),
+    "mandate": (
+        "mandate_id string, loan_id string, borrower_id string, mandate_type string, sponsor_bank string, "
+        "registration_date date, mandate_status string, last_failure_reason string, last_failure_date date, "
+        "consecutive_failures bigint, failure_attribution string, is_early_warning boolean"
+    ),
     "repayment_schedule": (
         "schedule_id string, loan_id string, borrower_id string, installment_number bigint, due_date date, "
         "due_amount_inr double, interest_component_inr double, principal_component_inr double, "
@@ -45,30 +62,6 @@ ENTITY_SCHEMAS = {
         "days_since_previous_contact bigint, transcript_text string, is_truncated boolean, "
         "created_at timestamp_ntz, is_stub boolean"
     ),
-    # Declared for completeness: no operator reads the tables below.
-    "payment_txn": (
-        "txn_id string, loan_id string, borrower_id string, installment_number bigint, due_date date, "
-        "payment_status string, amount_paid_inr double, payment_date date, payment_mode string, "
-        "failure_reason string"
-    ),
-    "crm_contact": (
-        "contact_id string, borrower_id string, contact_date date, channel string, initiated_by string, "
-        "contact_type string, agent_id string, resolution_status string, resolution_date date, "
-        "satisfaction_score bigint, notes_summary string"
-    ),
-    "dim_agency": (
-        "agency_id string, agency_name string, is_outsourced boolean, base_city string, "
-        "fpc_training_current boolean, onboarded_date date"
-    ),
-    "dim_agent": (
-        "agent_id string, agent_name string, agency_id string, is_outsourced boolean, agent_role string, "
-        "primary_language string, base_city string, is_active boolean"
-    ),
-    "dim_geography": (
-        "city string, state string, region string, city_tier bigint, pincode_prefix string, "
-        "primary_language string"
-    ),
-    "transcript_model": "ground_truth_label string, model_name string, reason string, decided_at timestamp_ntz",
 }
 
 
@@ -80,6 +73,34 @@ def read_entity(spark: SparkSession, path: str, name: str) -> DataFrame:
     return spark.read.schema(ENTITY_SCHEMAS[name]).parquet(path)
 
 
+def conformed(df: DataFrame, name: str) -> DataFrame:
+    """A caller's table with the declared columns and types of an entity; a missing column is NULL,
+    a type that cannot be widened is refused."""
+    return df.to(StructType.fromDDL(ENTITY_SCHEMAS[name]))
+
+
+def listing(spark: SparkSession, folder: str) -> str:
+    """A digest of the files below a folder: names, sizes and times of change."""
+    path = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(folder)
+    found = path.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).listFiles(path, True)
+    base, files = path.toUri().getPath(), []
+    while found.hasNext():
+        f = found.next()
+        files.append((f.getPath().toUri().getPath().removeprefix(base), f.getLen(), f.getModificationTime()))
+    return hashlib.md5(repr(sorted(files)).encode()).hexdigest()
+
+
+def write_manifest(spark: SparkSession, folder: str, facts: dict[str, str]) -> None:
+    """The last thing written to a published folder."""
+    rows = spark.createDataFrame(sorted(facts.items()), "name string, value string")
+    rows.coalesce(1).write.mode("overwrite").parquet(f"{folder}/manifest")
+
+
+def read_manifest(spark: SparkSession, folder: str) -> dict[str, str]:
+    rows = spark.read.schema("name string, value string").parquet(f"{folder}/manifest")
+    return {r["name"]: r["value"] for r in rows.collect()}
+
+
 def write_version(df: DataFrame, base: str, version: int) -> str:
     """Write one whole generation of a table; repeating a version replaces it."""
     path = f"{base}/version={version}"

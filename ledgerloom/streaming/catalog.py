@@ -18,17 +18,19 @@ def stream_query(fn):
     return fn
 
 
-def land_calls(pf: Portfolio, base: str, files: int = 4) -> str:
-    """Drop the transcripts into a landing folder in several files, out of call order."""
+def land_calls(pf: Portfolio, base: str) -> str:
+    """Drop the transcripts into a landing folder out of call order, in as many files as the
+    shuffle has partitions."""
     path = f"{base}/landing"
-    pf.calls.repartition(files, F.xxhash64("interaction_id")).write.mode("overwrite").parquet(path)
+    order = F.xxhash64("interaction_id")
+    pf.calls.repartition(order).sortWithinPartitions(order).write.mode("overwrite").parquet(path)
     return path
 
 
 def run_enrichment(pf: Portfolio, base: str) -> str:
     scored = f"{base}/scored"
     jobs.start_enrichment(
-        pf.spark, land_calls(pf, base), scored, f"{base}/ckpt-enrich", jobs.CATCH_UP, max_files=2
+        pf.spark, land_calls(pf, base), scored, f"{base}/ckpt-enrich", jobs.CATCH_UP
     ).awaitTermination()
     return scored
 

@@ -40,24 +40,14 @@ def start_enrichment(
     checkpoint: str,
     trigger: dict | None = None,
     max_files: int | None = None,
-    dedupe_horizon: str | None = None,
 ) -> StreamingQuery:
     """Score newly landed transcripts, and only those.
 
-    Scoring is stateless, so arrival order does not matter and nothing is dropped.  A
-    ``dedupe_horizon`` ("1 hour") removes repeated interactions at the price of a watermark,
-    behind which late calls are ignored; by default repeats are resolved on reading instead.
+    Scoring is stateless, so arrival order does not matter and nothing is dropped, however late
+    it lands; ``read_scored`` takes each repeated interaction once.
     """
-    calls = read_calls(spark, in_dir, max_files)
-    if dedupe_horizon is not None:
-        calls = (
-            calls.withColumn("_seen_at", F.col("created_at").cast("timestamp"))
-            .withWatermark("_seen_at", dedupe_horizon)
-            .dropDuplicatesWithinWatermark(["interaction_id"])
-            .drop("_seen_at")
-        )
     return (
-        enrichment.scored_calls(calls)
+        enrichment.scored_calls(read_calls(spark, in_dir, max_files))
         .writeStream.format("parquet")
         .outputMode("append")
         .option("path", out_dir)

@@ -20,9 +20,15 @@ def events(spark):
     return pd.DataFrame(rows, columns=["id", "key", "ts"])
 
 
-def test_sequence_of_a_hot_key(spark, events):
+def written(spark, df, path):
+    df.write.parquet(path)
+    return spark.read.schema(df.schema).parquet(path)
+
+
+def test_sequence_of_a_hot_key(spark, events, tmp_path):
     df = spark.createDataFrame(events, "id bigint, key string, ts timestamp_ntz").repartition(6)
-    got = ranking.keyed_sequence(df, "key", ["ts", "id"], F.date_trunc("hour", "ts"), "ts").toPandas()
+    df = written(spark, ranking.cut_by_range(df, "key", "ts", "id"), f"{tmp_path}/cut")
+    got = ranking.keyed_sequence(df, "key", ["ts", "id"], F.col("_slice"), "ts").toPandas()
     want = events.sort_values(["key", "ts", "id"]).copy()
     by = want.groupby("key")
     want["seq"], want["seq_length"] = by.cumcount() + 1, by["id"].transform("size")
@@ -33,17 +39,18 @@ def test_sequence_of_a_hot_key(spark, events):
         check_dtype=False)
 
 
-def test_no_slice_of_the_hot_key_is_large(spark, events):
-    df = spark.createDataFrame(events, "id bigint, key string, ts timestamp_ntz")
-    sizes = df.groupBy("key", F.date_trunc("hour", "ts")).count()
-    assert sizes.agg(F.max("count")).first()[0] < 30
-
-
-def test_global_row_number(spark, events):
-    ids = [f"ID{n:06d}" for n in random.Random(3).sample(range(200000), 5000)]
-    df = spark.createDataFrame([(i,) for i in ids], "id string").repartition(7)
-    got = {r.id: r.n for r in ranking.global_row_number(df, "id", "n", 5).collect()}
-    assert got == {i: k + 1 for k, i in enumerate(sorted(ids))}
+def test_a_hot_hour_is_dealt_over_many_slices(spark, tmp_path):
+    # One borrower, all calls within one hour; small advisory sizes keep the ranges apart.
+    base = spark.range(20000).selectExpr("id", "'HOT' AS key", "TIMESTAMP_NTZ'2024-01-01 09:00:00' AS ts")
+    spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", "false")
+    try:
+        cut = written(spark, ranking.cut_by_range(base, "key", "ts", "id"), f"{tmp_path}/cut")
+    finally:
+        spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", "true")
+    sizes = [r["count"] for r in cut.groupBy("_slice").count().collect()]
+    assert len(sizes) >= 6 and max(sizes) < 20000 / 4
+    got = ranking.keyed_sequence(cut, "key", ["ts", "id"], F.col("_slice"), "ts")
+    assert got.filter("seq <> id + 1 OR seq_length <> 20000").count() == 0
 
 
 def test_global_row_number_over_written_ranges(spark, tmp_path):
@@ -52,7 +59,7 @@ def test_global_row_number_over_written_ranges(spark, tmp_path):
     df = spark.createDataFrame([(i,) for i in ids], "id string").repartition(7)
     ranking.cut_by_range(df, "id").write.parquet(f"{tmp_path}/cut")
     cut = spark.read.schema("id string, _slice bigint").parquet(f"{tmp_path}/cut")
-    got = {r.id: r.n for r in ranking.global_row_number(cut, "id", "n", 6).collect()}
+    got = {r.id: r.n for r in ranking.global_row_number(cut, "id", "n").collect()}
     assert got == {i: k + 1 for k, i in enumerate(sorted(ids))}
 
 

@@ -53,13 +53,14 @@ def test_any_arrival_order_gives_the_batch_result(spark, tmp_path, order):
     assert rows(only) <= rows(want) and rows(only)
 
 
-def test_dedupe_horizon_removes_repeats(spark, tmp_path):
+def test_repeats_and_late_calls_count_once(spark, tmp_path):
     base = str(tmp_path)
-    land(spark, f"{base}/in", [call("B", 1), call("B", 1), call("B", 2)])
-    jobs.start_enrichment(
-        spark, f"{base}/in", f"{base}/scored", f"{base}/c1", jobs.CATCH_UP, dedupe_horizon="1 hour"
-    ).awaitTermination()
-    assert spark.read.parquet(f"{base}/scored").count() == 2
+    land(spark, f"{base}/in", [call("B", 3), call("B", 3), call("B", 2)])
+    drain(spark, base)
+    land(spark, f"{base}/in", [call("B", 1), call("B", 2)])  # days behind what was read
+    drain(spark, base)
+    assert sorted(r.interaction_id for r in jobs.read_scored(spark, f"{base}/scored").collect()) == ["B-1", "B-2", "B-3"]
+    assert jobs.read_transitions(spark, f"{base}/out").count() == 2
 
 
 def test_broken_promise_escalates_the_reminder(spark, tmp_path):
