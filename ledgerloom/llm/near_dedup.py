@@ -7,8 +7,11 @@ A document is the set of its distinct shingles (``size`` words in a row, A-Z low
 circularly by ``k``.  So the coordinates a shingle contributes are one contiguous run of a stored
 permutation.
 
-*Candidates.*  Coordinates are banded.  32 bands of 4 miss a pair with similarity 0.8 with
-probability (1 - 0.8**4)**32 = 5e-8.
+*Candidates.*  200 coordinates are banded.  40 bands of 5 miss a pair with similarity 0.8 with
+probability (1 - 0.8**5)**40 = 1.2e-7.  One bit of each of 256 coordinates is a sketch: the bits
+of a pair with similarity s agree with probability (1 + s) / 2.  A pair of one band is compared
+in full unless its sketches agree in fewer bits than ``DEVIATIONS`` standard deviations below what
+the wanted similarity gives (1e-9), so documents that merely share a passage cost a bit count.
 
 *Links.*  Equal sets are one class, found by a grouped minimum, so thousands of exact copies cost
 one row each.  Among classes, each bucket first compares its members with one pivot.  Confirmed
@@ -38,10 +41,13 @@ from ledgerloom.llm.components import connected_components
 from ledgerloom.llm.textblocks import mix, raw_texts, slices, window_hashes, window_starts, word_hashes, words_of
 
 PLACES = 1 << 20
-BANDS, ROWS = 32, 4
+BANDS, ROWS = 40, 5
+BITS = 256
+DEVIATIONS = 6.0
 SEED = 20240817
 
-SIGNATURE = "doc_id long, n_shingles long, set_key binary, bands array<long>"
+WORDS = [f"s{i}" for i in range(BITS // 64)]
+SIGNATURE = "doc_id long, n_shingles long, set_key binary, bands array<long>, " + ", ".join(f"{w} long" for w in WORDS)
 
 
 def shingle_sets(texts: list[bytes | None], size: int) -> tuple[np.ndarray, np.ndarray]:
@@ -99,8 +105,22 @@ def band_keys(signature: np.ndarray, bands: int, rows: int) -> np.ndarray:
     return key.view(np.int64)
 
 
+def sketches(signature: np.ndarray) -> np.ndarray:
+    """The lowest bit of each coordinate, 64 to a number."""
+    bits = np.packbits((signature & 1).astype(np.uint8), axis=1, bitorder="little")
+    return bits.view(np.int64)
+
+
+def alike(per_cent: int) -> str:
+    """Whether the sketches ``s0...`` and ``t0...`` may belong to a pair that is to be linked."""
+    share = (1 + per_cent / 100) / 2
+    agree = int(BITS * share - DEVIATIONS * np.sqrt(BITS * share * (1 - share)))
+    differ = " + ".join(f"bit_count({w} ^ t{w[1:]})" for w in WORDS)
+    return f"{differ} <= {BITS - agree}"
+
+
 def sign_documents(docs: DataFrame, size: int, bands: int, rows: int) -> DataFrame:
-    """``doc_id, n_shingles, set_key, bands``; without words the last two are null."""
+    """``doc_id, n_shingles, set_key, bands`` and the sketch; without words the key is null."""
 
     def sign(batches):
         for batch in batches:
@@ -112,7 +132,9 @@ def sign_documents(docs: DataFrame, size: int, bands: int, rows: int) -> DataFra
                     hashlib.blake2b(raw[8 * low : 8 * high], digest_size=16).digest() if high > low else None
                     for low, high in zip(at[:-1], at[1:])
                 ]
-                key = band_keys(signatures(shingles, at, bands * rows), bands, rows)
+                signature = signatures(shingles, at, max(BITS, bands * rows))
+                key = band_keys(np.ascontiguousarray(signature[:, : bands * rows]), bands, rows)
+                sketch = sketches(np.ascontiguousarray(signature[:, :BITS]))
                 flat = pa.array(key[counts > 0].ravel(), pa.int64())
                 ends = np.concatenate(([0], np.cumsum((counts > 0) * bands))).astype(np.int32)
                 yield pa.RecordBatch.from_arrays(
@@ -121,8 +143,9 @@ def sign_documents(docs: DataFrame, size: int, bands: int, rows: int) -> DataFra
                         pa.array(counts, pa.int64()),
                         pa.array(keys, pa.binary()),
                         pa.ListArray.from_arrays(pa.array(ends), flat),
+                        *(pa.array(np.ascontiguousarray(column)) for column in sketch.T),
                     ],
-                    names=["doc_id", "n_shingles", "set_key", "bands"],
+                    names=["doc_id", "n_shingles", "set_key", "bands", *WORDS],
                 )
 
     return docs.mapInArrow(sign, SIGNATURE)
@@ -165,14 +188,17 @@ def _labelled(buckets: DataFrame, components: DataFrame | None) -> DataFrame:
     return labelled.join(mixed.filter("low < high").select("key"), "key", "left_semi")
 
 
-def _around_pivots(labelled: DataFrame, turn: int) -> DataFrame:
+def _around_pivots(labelled: DataFrame, turn: int, alike: str) -> DataFrame:
     """Pairs of each bucket's pivot, another one each turn, with the members of other components."""
     order = F.col("node") if turn == 0 else F.xxhash64("node", F.lit(turn))
-    ranked = labelled.withColumn("place", order)
-    pivots = ranked.groupBy("key").agg(F.min("place").alias("place"))
-    pivots = pivots.join(ranked, ["key", "place"]).select("key", F.col("node").alias("p"), F.col("component").alias("c"))
-    pairs = labelled.join(pivots, "key").filter("component <> c")
-    return pairs.select(F.least("node", "p").alias("a"), F.greatest("node", "p").alias("b")).distinct()
+    pivot = F.min(F.struct(order.alias("place"), "node", "component", *WORDS)).alias("p")
+    other = [F.col(f"p.{w}").alias(f"t{w[1:]}") for w in WORDS]
+    pivots = labelled.groupBy("key").agg(pivot).select("key", F.col("p.node").alias("o"), F.col("p.component").alias("c"), *other)
+    return _pairs(labelled.join(pivots, "key").filter("component <> c").filter(alike))
+
+
+def _pairs(both: DataFrame) -> DataFrame:
+    return both.select(F.least("node", "o").alias("a"), F.greatest("node", "o").alias("b")).distinct()
 
 
 def _split(labelled: DataFrame) -> DataFrame:
@@ -185,12 +211,12 @@ def _split(labelled: DataFrame) -> DataFrame:
     return labelled.join(mains, "key")
 
 
-def _all_left(split: DataFrame) -> DataFrame:
+def _all_left(split: DataFrame, alike: str) -> DataFrame:
     """Every pair of one bucket and two components, starting from the members outside ``main``."""
-    other = split.select("key", F.col("node").alias("o"), F.col("component").alias("c"))
-    pairs = split.filter("component <> main").join(other, "key")
-    pairs = pairs.filter("component <> c and (c = main or node < o)")
-    return pairs.select(F.least("node", "o").alias("a"), F.greatest("node", "o").alias("b")).distinct()
+    other = [F.col(w).alias(f"t{w[1:]}") for w in WORDS]
+    right = split.select("key", F.col("node").alias("o"), F.col("component").alias("c"), *other)
+    both = split.filter("component <> main").join(right, "key")
+    return _pairs(both.filter("component <> c and (c = main or node < o)").filter(alike))
 
 
 def near_duplicates(
@@ -203,30 +229,35 @@ def near_duplicates(
     """
     docs = id_and_text(docs)
     signed = stored(sign_documents(docs, size, bands, rows), "signatures")
+    # Written, like other grouped tables that are joined with hot keys: then both sides of the
+    # join are shuffled for it, and adaptive execution can split the hot side.
     classes = signed.filter("set_key is not null").groupBy("set_key").agg(F.min("doc_id").alias("rep"))
-    members = signed.join(classes, "set_key", "left").select(
-        "doc_id", "n_shingles", "rep", F.when(F.col("doc_id") == F.col("rep"), F.col("bands")).alias("bands")
-    )
-    members = stored(members, "classes")
+    classes = stored(classes, "classes")
+    members = stored(signed.select("doc_id", "n_shingles", "set_key").join(classes, "set_key", "left").drop("set_key"), "members")
 
-    keyed = members.filter("bands is not null").select(F.col("rep").alias("node"), F.explode("bands").alias("key"))
+    reps = signed.join(classes.select("set_key", F.col("rep").alias("doc_id")), ["set_key", "doc_id"], "left_semi")
+    reps = reps.dropDuplicates(["set_key", "doc_id"]).select(F.col("doc_id").alias("node"), "bands", *WORDS)
+    reps = stored(reps, "representatives")
+    keyed = reps.select("node", F.explode("bands").alias("key"))
     shared = keyed.groupBy("key").agg(F.min("node").alias("low"), F.max("node").alias("high"))
-    buckets = stored(keyed.join(shared.filter("low < high").select("key"), "key", "left_semi"), "buckets")
+    shared = stored(shared.filter("low < high").select("key"), "shared")
+    buckets = stored(keyed.join(shared, "key", "left_semi").join(reps.drop("bands"), "node"), "buckets")
     nodes = buckets.select(F.col("node").alias("doc_id")).distinct()
     texts = stored(docs.join(nodes, "doc_id", "left_semi"), "texts")
+    may_link = alike(per_cent)
 
     components, tested, before, turn = None, None, None, 0
     while True:
         labelled = _labelled(buckets, components)
         if turn == 0:
-            pairs, last = _around_pivots(labelled, turn), False
+            pairs, last = _around_pivots(labelled, turn, may_link), False
         else:
             split = stored(_split(labelled), "split")
             left = split.select("key", "cross").distinct().agg(F.sum("cross")).first()[0] or 0
             if left == 0:
                 break
             last = turn > turns or left <= 1_000_000 or (before is not None and 2 * left > before)
-            pairs, before = (_all_left(split) if last else _around_pivots(split, turn)), left
+            pairs, before = (_all_left(split, may_link) if last else _around_pivots(split, turn, may_link)), left
             pairs = pairs.join(tested, ["a", "b"], "left_anti")
         found = stored(_confirmed(pairs, texts, size, per_cent), "pairs")
         tested = found if tested is None else tested.unionByName(found)
@@ -236,7 +267,7 @@ def near_duplicates(
             break
 
     label = F.coalesce("component", "rep", "doc_id")
-    found = members.drop("bands").join(components.withColumnRenamed("node", "rep"), "rep", "left")
+    found = members.join(components.withColumnRenamed("node", "rep"), "rep", "left")
     return found.select(
         "doc_id",
         "n_shingles",
