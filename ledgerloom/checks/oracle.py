@@ -163,6 +163,7 @@ add("carry_decision_foreign", f"SELECT n.recommendation_id, n.borrower_id, n.loa
 # The review of the new generation adds what is approved there and was not there before.
 _fresh = _task.replace("x_rec_before JOIN x_decided", "x_rec JOIN x_decided_now")
 add("team_tasks", f"{_task} UNION ALL {_fresh} AND recommendation_id NOT IN (SELECT recommendation_id FROM x_rec_before)")
+add("refresh_queue", _fresh)
 add("queue_orphans", f"{_task} AND recommendation_id NOT IN (SELECT recommendation_id FROM x_rec)")
 add("queue_purged", f"{_task} AND recommendation_id IN (SELECT recommendation_id FROM x_rec)")
 

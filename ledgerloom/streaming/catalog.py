@@ -6,7 +6,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from ledgerloom.operators.enrichment import INSIGHT_COLUMNS
-from ledgerloom.plans.portfolio import Portfolio
+from ledgerloom.plans.portfolio import Portfolio, sample_decisions
 from ledgerloom.session import work_folder
 from ledgerloom.streaming import jobs
 
@@ -50,10 +50,23 @@ def stream_transitions(pf: Portfolio) -> DataFrame:
     return jobs.read_transitions(pf.spark, out)
 
 
-@stream_query
-def refresh_cycle(pf: Portfolio) -> DataFrame:
+def run_refresh(pf: Portfolio) -> str:
     base = work_folder(pf.spark, "refresh")
     scored = run_enrichment(pf, base)
     out = f"{base}/published"
     jobs.start_refresh(pf, scored, out, f"{base}/ckpt-refresh", jobs.CATCH_UP).awaitTermination()
-    return jobs.current(pf.spark, out, "customer_360")
+    return out
+
+
+@stream_query
+def refresh_cycle(pf: Portfolio) -> DataFrame:
+    return jobs.current(pf.spark, run_refresh(pf), "customer_360")
+
+
+@stream_query
+def refresh_queue(pf: Portfolio) -> DataFrame:
+    """The task queue after the published recommendations were reviewed."""
+    out = run_refresh(pf)
+    recs = jobs.current(pf.spark, out, "nba_recommendation")
+    jobs.decide(pf, out, sample_decisions(recs, pf.p))
+    return jobs.current(pf.spark, out, "team_task_queue")

@@ -1,8 +1,8 @@
 """Incremental versions of enrichment, call pairing and the refresh of recommendations.
 
-Three queries chained through files: new transcripts are scored row by row, scored calls
-are paired by a stream-stream join, and each micro-batch of scored calls refreshes the
-trajectory, recommendations and 360 rows of the borrowers it touches.
+Queries chained through files: new transcripts are scored row by row; each micro-batch of scored
+calls is paired with the stored calls around it and refreshes the trajectory, recommendations,
+task queue and 360 rows of the borrowers it touches.
 """
 
 from __future__ import annotations
@@ -10,12 +10,13 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
-from pyspark.sql.types import LongType, StructType
+from pyspark.sql.types import StructType
 
 from ledgerloom.operators import actions, customer360, enrichment, rules, trajectory
 from ledgerloom.operators.loan_book import future_interest
 from ledgerloom.plans.portfolio import Portfolio
 from ledgerloom.sources.tables import ENTITY_SCHEMAS
+from ledgerloom.streaming.store import Store
 
 LIVE = {"processingTime": "1 minute"}
 CATCH_UP = {"availableNow": True}
@@ -68,135 +69,184 @@ def read_scored(spark: SparkSession, scored_dir: str, touched: DataFrame | None
     return of_borrowers(stored, touched).dropDuplicates(["interaction_id"])
 
 
-def start_transitions(
-    spark: SparkSession, scored_dir: str, out_dir: str, checkpoint: str, trigger: dict | None = None,
-    max_files: int | None = None,
-) -> StreamingQuery:
-    """Pair each call with the one before it, in whatever order the two arrive.
+# --- calls and pairs by bucket -----------------------------------------------------------
+def take_in(store: Store, version: int, batch: DataFrame, buckets: list[int]) -> dict[str, DataFrame]:
+    """Add a batch of scored calls and the pairs it completes; both tables, as written.
 
-    A stream joined with itself on (borrower, sequence number): the state store holds the
-    few fields of each call that a pair needs, hashed by both keys so that a busy borrower
-    is spread out, and a pair is emitted when its second half lands.
+    Only pairs that a new call takes part in are compared: with the call before it and, for a
+    late call, with the call after it.  Calls and pairs known already stay as they are.
+    """
+    old_calls = store.read("scored_call", buckets, version)
+    old_pairs = store.read("call_transition", buckets, version)
+    fresh = batch.dropDuplicates(["interaction_id"])
+    if old_calls is not None:
+        fresh = fresh.join(old_calls.select("interaction_id"), "interaction_id", "left_anti").select(*batch.columns)
+    fresh = store.write(version, "fresh_call", fresh)
+    calls = fresh if old_calls is None else old_calls.unionByName(fresh)
+    calls = store.write(version, "scored_call", calls)
+    pairs = trajectory.call_transitions(calls, fresh)
+    pairs = pairs if old_pairs is None else old_pairs.unionByName(pairs)
+    return {"scored_call": calls, "call_transition": store.write(version, "call_transition", pairs)}
+
+
+def first_version(store: Store, checkpoint: str) -> int:
+    """The version of a checkpoint's batch 0, fixed when the checkpoint is new.
+
+    It is kept with the checkpoint.  If that is lost, its successor starts above everything
+    published so far, and re-reads all calls.
     """
+    spark, path = store.spark, f"{checkpoint}/first_version"
+    if not path_exists(spark, f"{path}/_SUCCESS"):
+        spark.range(1).selectExpr(f"CAST({store.next_version()} AS BIGINT) AS version").coalesce(1).write.mode(
+            "overwrite"
+        ).parquet(path)
+    return spark.read.schema("version bigint").parquet(path).first()[0]
 
-    def source() -> DataFrame:
-        reader = spark.readStream.schema(scored_schema(spark))
-        if max_files is not None:
-            reader = reader.option("maxFilesPerTrigger", max_files)
-        return reader.parquet(scored_dir)
 
-    pairs = trajectory.pair_calls(source(), source())
+def _start(
+    store: Store, scored_dir: str, checkpoint: str, on_batch, trigger: dict | None, max_files: int | None
+) -> StreamingQuery:
+    first = first_version(store, checkpoint)
+
+    def body(batch: DataFrame, batch_id: int) -> None:
+        """Runs at least once per batch; the same batch writes the same version again."""
+        if not batch.isEmpty():
+            own = Store(batch.sparkSession, store.folder, store.buckets)
+            on_batch(own, first + batch_id, batch)
+
+    reader = store.spark.readStream.schema(scored_schema(store.spark))
+    if max_files is not None:
+        reader = reader.option("maxFilesPerTrigger", max_files)
     return (
-        trajectory.describe_pairs(pairs)
-        .writeStream.format("parquet")
-        .outputMode("append")
-        .option("path", out_dir)
+        reader.parquet(scored_dir)
+        .writeStream.foreachBatch(body)
         .option("checkpointLocation", checkpoint)
         .trigger(**(trigger or LIVE))
         .start()
     )
 
 
+def start_transitions(
+    spark: SparkSession, scored_dir: str, out_dir: str, checkpoint: str, trigger: dict | None = None,
+    max_files: int | None = None,
+) -> StreamingQuery:
+    """Pair each call with the one before it, in whatever order the two arrive.
+
+    No state is kept: a batch meets the stored calls of the buckets it touches.
+    """
+
+    def on_batch(store: Store, version: int, batch: DataFrame) -> None:
+        buckets = store.buckets_of(batch)
+        store.commit(version, take_in(store, version, batch, buckets), buckets)
+
+    return _start(Store(spark, out_dir), scored_dir, checkpoint, on_batch, trigger, max_files)
+
+
 def read_transitions(spark: SparkSession, out_dir: str) -> DataFrame:
-    """Stored transitions; a replayed call repeats its pair, which counts once."""
-    return spark.read.parquet(out_dir).dropDuplicates(["from_interaction_id", "to_interaction_id"])
+    return current(spark, out_dir, "call_transition")
 
 
-# --- refresh -------------------------------------------------------------------------
-def refresh(
-    pf: Portfolio,
-    out_dir: str,
-    version: int,
-    calls: DataFrame,
-    touched: DataFrame | None = None,
-    old_recs: DataFrame | None = None,
-    old_log: DataFrame | None = None,
-) -> None:
-    """One refresh cycle for all borrowers or only for the touched ones, published as a version.
-
-    A borrower's rows depend on that borrower's data alone, so refreshing the touched
-    borrowers gives what a full rebuild would.  Decisions and explanations that still hold
-    are carried forward; only new or changed recommendations are explained afresh.  Each
-    step reads what the step before it wrote; the 360 rows come last, and writing a version
-    again replaces it.
-    """
+def current(spark: SparkSession, out_dir: str, name: str) -> DataFrame:
+    return Store(spark, out_dir).read(name)
 
-    def write(df: DataFrame, name: str) -> DataFrame:
-        path = f"{out_dir}/{name}/version={version}"
-        df.write.mode("overwrite").parquet(path)
-        return pf.spark.read.schema(df.schema).parquet(path)
 
-    summary = write(trajectory.trajectory_summary(calls, trajectory.call_transitions(calls)), "trajectory")
-    loans, state = of_borrowers(pf.scored_loans, touched), of_borrowers(pf.state, touched)
-    mandates = of_borrowers(pf.mandates, touched)
+# --- refresh -------------------------------------------------------------------------
+class Cycle:
+    """One version of the published tables: what it reads, merges and writes."""
+
+    def __init__(self, pf: Portfolio, store: Store, version: int, touched: DataFrame | None):
+        self.pf, self.store, self.version, self.touched = pf, store, version, touched
+        self.buckets = None if touched is None else store.buckets_of(touched)
+        self.tables: dict[str, DataFrame] = {}
+
+    def old(self, name: str) -> DataFrame | None:
+        """Rows of the touched borrowers as published before."""
+        rows = self.store.read(name, self.buckets, self.version)
+        return None if rows is None else of_borrowers(rows, self.touched)
+
+    def put(self, name: str, fresh: DataFrame) -> DataFrame:
+        """Write the touched borrowers' new rows beside their neighbours' old ones."""
+        rows, kept = fresh, self.store.read(name, self.buckets, self.version)
+        if self.touched is not None and kept is not None:
+            rows = rows.unionByName(kept.join(self.touched, "borrower_id", "left_anti").select(*fresh.columns))
+        self.tables[name] = self.store.write(self.version, name, rows)
+        return of_borrowers(self.tables[name], self.touched)
+
+    def hand_over(self, recs: DataFrame, log: DataFrame) -> DataFrame:
+        """Publish recommendations and log, purge the queue of what is gone and top it up."""
+        recs = self.put("nba_recommendation", recs)
+        self.put("nba_decision_log", log.join(recs.select("recommendation_id", "borrower_id"), "recommendation_id"))
+        queue = self.old("team_task_queue")
+        queue = queue if queue is None else actions.purge_orphans(queue, recs)
+        self.put("team_task_queue", actions.create_team_tasks(recs, queue, self.pf.p))
+        return recs
+
+    def show(self, summary: DataFrame, recs: DataFrame) -> None:
+        loans, state = of_borrowers(self.pf.scored_loans, self.touched), of_borrowers(self.pf.state, self.touched)
+        ltv = future_interest(of_borrowers(self.pf.loans, self.touched))
+        self.put("customer_360", customer360.customer_360(state, loans, ltv, summary, recs))
+
+    def commit(self) -> None:
+        self.store.commit(self.version, self.tables, self.buckets)
+
+
+def refresh(pf: Portfolio, store: Store, version: int, batch: DataFrame | None = None) -> None:
+    """One refresh cycle, for the borrowers of a batch of scored calls or, without one, for all.
+
+    A borrower's rows depend on that borrower's data alone, so refreshing the touched borrowers
+    gives what a full rebuild would.  Each step reads what the step before it wrote, and the rules
+    run once: recommendations and log come from the same staged rows.  Decisions and explanations
+    that still hold are carried forward; only new or changed recommendations are explained afresh.
+    """
+    touched = None if batch is None else store.write(version, "touched", batch.select("borrower_id").distinct())
+    cycle = Cycle(pf, store, version, touched)
+    if batch is None:
+        batch = pf.spark.createDataFrame([], scored_schema(pf.spark))
+    cycle.tables |= take_in(store, version, batch, cycle.buckets)
+    calls, pairs = (of_borrowers(cycle.tables[n], touched) for n in ("scored_call", "call_transition"))
+    summary = cycle.put("trajectory", trajectory.trajectory_summary(calls, pairs))
+    loans, state, mandates = (of_borrowers(t, touched) for t in (pf.scored_loans, pf.state, pf.mandates))
     candidates = rules.nba_candidates(loans, state, mandates, summary)
-    recs, log = rules.nba_recommendations(pf.spark, candidates, pf.p)
+    staged = store.write(version, "staged", rules.stage_recommendations(pf.spark, candidates, pf.p))
+    recs, log = staged.select(*rules.RECOMMENDATION_COLUMNS), rules.decision_log(staged)
+    old_recs, old_log = cycle.old("nba_recommendation"), cycle.old("nba_decision_log")
     if old_recs is not None and old_log is not None:
         recs, log = actions.carry_forward(recs, log, old_recs, old_log)
-    recs = write(actions.add_rationale(recs), "nba_recommendation")
-    write(log.join(recs.select("recommendation_id", "borrower_id"), "recommendation_id"), "nba_decision_log")
-    ltv = future_interest(of_borrowers(pf.loans, touched))
-    write(customer360.customer_360(state, loans, ltv, summary, recs), "customer_360")
+    cycle.show(summary, cycle.hand_over(actions.add_rationale(recs), log))
+    cycle.commit()
 
 
-def current(
-    spark: SparkSession, out_dir: str, name: str, before: int | None = None, touched: DataFrame | None = None
-) -> DataFrame:
-    """Each borrower's rows of the newest version that has any.
-
-    ``before`` hides the named version and later ones, so a batch that is run again does not
-    read its own earlier output; ``touched`` narrows the rows before versions are compared.
-    """
-    base = f"{out_dir}/{name}"
-    plain = spark.read.parquet(f"{base}/version=0").schema
-    rows = spark.read.schema(plain.add("version", LongType())).option("basePath", base).parquet(base)
-    if before is not None:
-        rows = rows.filter(F.col("version") < before)
-    rows = of_borrowers(rows, touched)
-    newest = rows.groupBy("borrower_id").agg(F.max("version").alias("version"))
-    return rows.join(newest, ["borrower_id", "version"]).drop("version")
-
-
-def refresh_batch(pf: Portfolio, scored_dir: str, out_dir: str):
-    """``foreachBatch`` body.  It runs at least once per batch, so every write is repeatable;
-    a batch without rows changes nothing."""
-
-    def on_batch(batch: DataFrame, batch_id: int) -> None:
-        if batch.isEmpty():
-            return
-        spark, version = batch.sparkSession, batch_id + 1
-        touched = batch.select("borrower_id").distinct().persist()
-        calls = read_scored(spark, scored_dir, touched).persist()
-        old = [
-            current(spark, out_dir, name, version, touched) for name in ("nba_recommendation", "nba_decision_log")
-        ]
-        refresh(pf, out_dir, version, calls, touched, *old)
-        calls.unpersist()
-        touched.unpersist()
-
-    return on_batch
+def decide(pf: Portfolio, out_dir: str, decisions: DataFrame) -> DataFrame:
+    """Apply human decisions to the published tables as a new version; returns those refused."""
+    store = Store(pf.spark, out_dir)
+    version = store.next_version()
+    published = store.read("nba_recommendation")
+    touched = published.join(decisions.select("recommendation_id"), "recommendation_id", "left_semi")
+    cycle = Cycle(pf, store, version, store.write(version, "touched", touched.select("borrower_id").distinct()))
+    log = cycle.old("nba_decision_log").select(*rules.LOG_COLUMNS)
+    recs, log, refused = actions.apply_decisions(cycle.old("nba_recommendation"), log, decisions)
+    refused = store.write(version, "refused", refused.withColumn("borrower_id", F.lit("")))
+    cycle.show(cycle.old("trajectory"), cycle.hand_over(recs, log))
+    cycle.commit()
+    return refused.drop("borrower_id")
 
 
 def start_refresh(
     pf: Portfolio, scored_dir: str, out_dir: str, checkpoint: str, trigger: dict | None = None,
     max_files: int | None = None,
 ) -> StreamingQuery:
-    """Publish version 0 (no call heard yet) and refresh on every batch of scored calls."""
-    if not checkpoint_exists(pf.spark, checkpoint):
-        refresh(pf, out_dir, 0, pf.spark.createDataFrame([], scored_schema(pf.spark)))
-    reader = pf.spark.readStream.schema(scored_schema(pf.spark))
-    if max_files is not None:
-        reader = reader.option("maxFilesPerTrigger", max_files)
-    return (
-        reader.parquet(scored_dir)
-        .writeStream.foreachBatch(refresh_batch(pf, scored_dir, out_dir))
-        .option("checkpointLocation", checkpoint)
-        .trigger(**(trigger or LIVE))
-        .start()
-    )
+    """Publish a version in which no call was heard, and refresh on every batch of scored calls."""
+    store = Store(pf.spark, out_dir)
+    if not store.versions():
+        refresh(pf, store, 0)
+
+    def on_batch(store: Store, version: int, batch: DataFrame) -> None:
+        refresh(pf, store, version, batch)
+
+    return _start(store, scored_dir, checkpoint, on_batch, trigger, max_files)
 
 
-def checkpoint_exists(spark: SparkSession, path: str) -> bool:
+def path_exists(spark: SparkSession, path: str) -> bool:
     jvm = spark.sparkContext._jvm
     hadoop_path = jvm.org.apache.hadoop.fs.Path(path)
     return hadoop_path.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).exists(hadoop_path)
