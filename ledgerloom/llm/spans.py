@@ -163,9 +163,12 @@ def named(spans: Column) -> Column:
 def digest(found: DataFrame, kinds: Iterable[str]) -> DataFrame:
     """Counts of base spans by kind, the hash of the base spans, and all spans."""
     base = F.filter("spans", lambda s: s["base"])
-    counts = [
-        F.size(F.filter("spans", lambda s, k=k: s["base"] & (s["kind"] == k))).cast("bigint").alias(f"n_{k}") for k in kinds
-    ]
+
+    def count(kind: str) -> Column:
+        own = F.filter(base, lambda s: s["kind"] == F.lit(kind))
+        return F.size(own).cast("bigint").alias(f"n_{kind}")
+
+    counts = [count(kind) for kind in kinds]
     return found.select("doc_id", *counts, F.sha2(named(base), 256).alias("base_sha256"), named(F.col("spans")).alias("spans"))
 
 

@@ -1,3 +1,4 @@
+import hashlib
 import random
 import re
 
@@ -6,7 +7,7 @@ from hypothesis import given, settings
 from hypothesis import strategies as st
 
 from ledgerloom.llm import pii, secret_scan
-from ledgerloom.llm.spans import PERSONAL, SECRET, base_spans, digits_of, luhn, redacted
+from ledgerloom.llm.spans import PERSONAL, SECRET, base_spans, digest, digits_of, luhn, redacted
 
 SCHEMA = "doc_id long, text string, spans string, kind int"
 
@@ -108,5 +109,8 @@ def test_tables(spark, judge, detector):
     assert clean[0].asDict().keys() == {"doc_id", "text", "spans", "kind"}
     got = secret_scan.find_secrets(docs, detector).collect()
     assert [tuple(s) for s in got[4]["spans"]] == [("assign", 0, 14, True)]
+    shown = digest(pii.find_personal_data(docs, judge), PERSONAL).collect()[0]
+    base = hashlib.sha256(b"email:7:16,ip:18:25").hexdigest()
+    assert tuple(shown) == (1, 1, 1, 0, 0, base, "email:7:16,ip:18:25")
     assert pii.find_personal_data(docs.limit(0)).count() == 0
     assert secret_scan.find_secrets(docs.limit(0)).count() == 0
