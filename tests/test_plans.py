@@ -6,6 +6,7 @@ import pytest
 
 from ledgerloom.plans.catalog import QUERIES
 from ledgerloom.plans.portfolio import Portfolio
+from ledgerloom.sources import entities
 
 FORBIDDEN = re.compile(r"CartesianProduct|BroadcastNestedLoopJoin|EvalPython|InPandas|InArrow|collect_list|collect_set")
 # Queries that end in a sort, a limit or a total may gather their few result rows.
@@ -42,4 +43,5 @@ def test_rows_are_never_gathered(pf, name):
 def test_scans_read_only_what_they_need(pf):
     text = plan(pf.tradelines.filter("tradeline_status = 'ACTIVE'").select("borrower_id", "current_balance_inr"))
     assert "ReadSchema: struct<o_custkey:bigint,o_orderstatus:string,o_totalprice:double>" in text
-    assert "PushedFilters" in text and "EqualTo(event_type,error)" in plan(pf.calls)
+    events = plan(entities.call_events(pf.spark, pf.sf_dir).select("interaction_id"))
+    assert "PushedFilters" in text and "EqualTo(event_type,error)" in events
