@@ -43,7 +43,7 @@ def op5_quality_empirical_bayes(spark, sf_dir):
 
 
 def op6_minhash_near_dedup(spark, sf_dir):
-    return near_duplicates(table(spark, sf_dir, "documents"))
+    return near_duplicates(table(spark, sf_dir, "documents")).drop("text_hash")
 
 
 def op7_toxicity_nnpu(spark, sf_dir):

@@ -2,7 +2,7 @@ import random
 import re
 
 from ledgerloom.llm.components import connected_components
-from ledgerloom.llm.near_dedup import near_duplicates
+from ledgerloom.llm.near_dedup import drop_near_duplicates, near_duplicates
 
 SCHEMA = "doc_id long, text string, kept string, component_id int"
 
@@ -59,11 +59,16 @@ def test_equals_brute_force(spark):
 def test_missing_ids_repeats_and_empty_table(spark):
     rows = [(None, "a b c d e"), (3, "a b c d e"), (3, "a b c d e"), (None, "f g h i"), (7, None), (None, None)]
     docs = spark.createDataFrame([(d, t, "", 0) for d, t in rows], SCHEMA)
-    got = sorted((tuple(r) for r in near_duplicates(docs).collect()), key=str)
+    got = sorted((tuple(r) for r in near_duplicates(docs).drop("text_hash").collect()), key=str)
     assert got == sorted(
         [(None, 2, 3, False), (3, 2, 3, True), (3, 2, 3, True), (None, 1, None, True), (7, 0, 7, True), (None, 0, None, True)],
         key=str,
     )
+    kept = drop_near_duplicates(docs)
+    assert kept.columns == docs.columns
+    assert sorted(((r["doc_id"], r["text"]) for r in kept.collect()), key=str) == sorted(
+        [(3, "a b c d e"), (None, "f g h i"), (7, None), (None, None)], key=str
+    )
     assert near_duplicates(spark.createDataFrame([], SCHEMA)).count() == 0
 
 
