@@ -15,6 +15,7 @@ rows without ``doc_id`` are packed like any other; an empty table gives an empty
 
 from __future__ import annotations
 
+import string
 from functools import lru_cache
 
 import numpy as np
@@ -23,48 +24,104 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from ledgerloom.llm.common import id_and_text
-from ledgerloom.llm.textblocks import raw_texts, slices, word_hashes, words_of
+from ledgerloom.llm.textblocks import LOWER, Words, raw_texts, slices, word_hashes, words_of
 from ledgerloom.operators.ranking import running_total_before
 from ledgerloom.session import work_folder
 
 LENGTH = 4096
 END_ID = 2
 DIMENSIONS, BITS = 4, 8
-CACHED_WORDS = 300_000
+CACHED_RUNS = 700_000
 CACHED_BYTES = 64
 
 PIECES = "doc_id long, start long, length long, ids binary, doc_tokens long, sequence_id long, offset long"
 
 
-class WordIds(dict):
-    """Ids of a run of characters without ASCII white space, as bytes.
+# What a byte is: 1 an ASCII letter, 2 ASCII punctuation but the apostrophe, which may bind letters.
+_CLASS = np.zeros(256, np.int8)
+_CLASS[list(string.ascii_letters.encode())] = 1
+_CLASS[list(string.punctuation.replace("'", "").encode())] = 2
 
-    Only for tokenizers that drop white space: then a text's ids are those of its runs in turn.
+
+def runs_of(texts: list[bytes | None]) -> Words:
+    """The texts' runs: words, also parted between ASCII letters and punctuation, in lower case.
+
+    A text that may hold a special token is left in one piece, since those are matched as written.
+    """
+    words = words_of(texts)
+    special = np.array([b"<|" in (t or b"") for t in texts], bool)
+    kind = _CLASS[words.data]
+    pair = kind[1:] + kind[:-1] * 4
+    cut = np.zeros(len(words.data), bool)
+    cut[1:] = (pair == 6) | (pair == 9)  # a letter before punctuation, or behind it
+    if special.any():
+        cut &= ~np.repeat(special, np.diff(words.bounds))
+    starts, ends = cut.copy(), cut
+    starts[words.starts], ends[words.ends] = True, True  # an end is a byte behind, at most the last space
+    starts, ends = np.flatnonzero(starts), np.flatnonzero(ends)
+    data = words.data if special.any() else LOWER[words.data]
+    return Words(data, starts, ends, np.searchsorted(starts, words.bounds), words.bounds)
+
+
+class RunIds:
+    """Ids of texts from those of their runs, as bytes.
+
+    Only for tokenizers that drop white space and case and part letters from punctuation, as
+    ``word_bpe_49k`` does: a text's ids then are those of its runs in turn.  Runs of letters that
+    a batch brings for the first time are encoded together.
     """
 
     def __init__(self, path: str):
         from tokenizers import Tokenizer
 
-        super().__init__()
         self.tokenizer = Tokenizer.from_file(path)
         self.kind = np.dtype("<u2" if self.tokenizer.get_vocab_size() <= 1 << 16 else "<u4")
-
-    def __missing__(self, run: bytes) -> bytes:
-        ids = self.tokenizer.encode(run.decode("utf-8", "replace"), add_special_tokens=False).ids
-        packed = np.array(ids, self.kind).tobytes()
-        if len(run) <= CACHED_BYTES:
-            if len(self) >= CACHED_WORDS:
-                self.clear()
-            self[run] = packed
-        return packed
-
-    def of(self, text: bytes) -> bytes:
-        return b"".join(map(self.__getitem__, text.split()))
+        self.known: dict[bytes, bytes] = {}
+
+    def _encoded(self, text: str) -> bytes:
+        return np.array(self.tokenizer.encode(text, add_special_tokens=False).ids, self.kind).tobytes()
+
+    def _learn(self, runs: list[bytes]) -> None:
+        letters = []
+        for run in runs:
+            text = run.decode("utf-8", "replace")
+            if text.isalpha() and len(run) <= CACHED_BYTES:
+                letters.append((run, text))
+            else:
+                self.known[run] = self._encoded(text)
+        for at in range(0, len(letters), 500):
+            own = letters[at : at + 500]
+            found = self.tokenizer.encode(" ".join([t for _, t in own]), add_special_tokens=False)
+            ids, owner = np.array(found.ids, self.kind), np.array(found.word_ids, np.int64)
+            ends = np.searchsorted(owner, np.arange(len(own) + 1)).tolist()
+            if len(ids) and owner[-1] == len(own) - 1:
+                self.known.update([(r, ids[x:y].tobytes()) for (r, _), x, y in zip(own, ends[:-1], ends[1:])])
+            else:  # the tokenizer parts some of them after all
+                self.known.update([(r, self._encoded(t)) for r, t in own])
+
+    def of(self, words: Words, hashes: np.ndarray) -> list[bytes]:
+        """The ids of each text; equal runs of one batch are looked up once, by their hash."""
+        if len(self.known) > CACHED_RUNS:
+            self.known.clear()
+        _, first, inverse = np.unique(hashes, return_index=True, return_inverse=True)
+        raw = words.data.tobytes()
+        runs = [raw[x:y] for x, y in zip(words.starts[first].tolist(), words.ends[first].tolist())]
+        self._learn([r for r in runs if r not in self.known])
+        packed = list(map(self.known.__getitem__, runs))
+        for run in [r for r in runs if len(r) > CACHED_BYTES]:
+            self.known.pop(run, None)
+        size = np.array(list(map(len, packed)), np.int64) // self.kind.itemsize
+        flat, begin = np.frombuffer(b"".join(packed), self.kind), np.cumsum(size) - size
+        count = size[inverse]
+        ends = np.concatenate(([0], np.cumsum(count)))
+        ids = flat[np.repeat(begin[inverse] - ends[:-1], count) + np.arange(ends[-1])]
+        at = ends[words.first].tolist()
+        return [ids[x:y].tobytes() for x, y in zip(at[:-1], at[1:])]
 
 
 @lru_cache(maxsize=1)
-def _word_ids(path: str) -> WordIds:
-    return WordIds(path)
+def _run_ids(path: str) -> RunIds:
+    return RunIds(path)
 
 
 def hilbert_keys(points: np.ndarray, bits: int) -> np.ndarray:
@@ -92,14 +149,13 @@ def hilbert_keys(points: np.ndarray, bits: int) -> np.ndarray:
     return key.astype(np.int64)
 
 
-def document_points(texts: list[bytes | None]) -> np.ndarray:
+def document_points(words: Words, hashes: np.ndarray) -> np.ndarray:
     """Hashed bags of words, projected by random signs and squeezed to whole numbers."""
-    words = words_of(texts, lower=True)
-    hashes = word_hashes(words)
     counts = np.diff(words.first)
-    out = np.empty((len(texts), DIMENSIONS), np.int64)
+    out = np.empty((len(counts), DIMENSIONS), np.int64)
     for k in range(DIMENSIONS):
-        sums = np.concatenate(([0], np.cumsum(((hashes >> np.uint64(8 + k)) & np.uint64(1)).astype(np.int64) * 2 - 1)))
+        signs = ((hashes >> np.uint64(8 + k)) & np.uint64(1)).astype(np.int8) * 2 - 1
+        sums = np.concatenate(([0], np.cumsum(signs, dtype=np.int64)))
         z = (sums[words.first[1:]] - sums[words.first[:-1]]) / np.sqrt(np.maximum(counts, 1))
         out[:, k] = np.minimum((1 << BITS) / (1 + np.exp(-1.7 * z.clip(-20, 20))), (1 << BITS) - 1)
     return out
@@ -109,13 +165,14 @@ def _tokenised(docs: DataFrame, tokenizer: str) -> DataFrame:
     """``row, doc_id, curve, n_tokens, ids``, stored: row numbers must not change any more."""
 
     def tokenise(batches):
-        known = _word_ids(tokenizer)
+        known = _run_ids(tokenizer)
         end = np.array([END_ID], known.kind).tobytes()
         for batch in batches:
-            for part in slices(batch):
-                texts = raw_texts(part)
-                ids = [known.of(t or b"") + end for t in texts]
-                keys = hilbert_keys(document_points(texts), BITS)
+            for part in slices(batch, limit=8 << 20):
+                words = runs_of(raw_texts(part))
+                hashes = word_hashes(words)
+                ids = [i + end for i in known.of(words, hashes)]
+                keys = hilbert_keys(document_points(words, hashes), BITS)
                 n = pa.array([len(i) // known.kind.itemsize for i in ids], pa.int64())
                 yield pa.RecordBatch.from_arrays(
                     [part.column("doc_id"), pa.array(keys), n, pa.array(ids, pa.binary())],
@@ -145,7 +202,7 @@ def pack_documents(docs: DataFrame, tokenizer: str, length: int = LENGTH) -> Dat
     placed = running_total_before(light, ["curve", "row"], F.col("slice"), F.col("n_tokens"), "before")
 
     def cut(batches):
-        kind = _word_ids(tokenizer).kind
+        kind = _run_ids(tokenizer).kind
         names = ["doc_id", "start", "length", "ids", "doc_tokens", "sequence_id", "offset"]
         for batch in batches:
             for part in slices(batch, ("ids",)):
