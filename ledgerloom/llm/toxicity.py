@@ -32,8 +32,8 @@ from ledgerloom.llm.common import id_and_text
 from ledgerloom.llm.spans import hashed_share
 from ledgerloom.llm.textblocks import mix, raw_texts, slices, word_hashes, words_of
 
-POSITIVES = 8_000
-UNLABELLED = 16_000
+POSITIVES = 6_000
+UNLABELLED = 12_000
 PLACES_USED = 4_096
 PLACE_BITS = 22
 BEGINNINGS = (4, 5, 6)  # bytes
@@ -153,7 +153,7 @@ def fit_toxicity(docs: DataFrame, labels: DataFrame) -> ToxicityModel:
         column = rows.select("doc_id", "text").mapInArrow(pairs, "places array<int>").toArrow().column("places").combine_chunks()
         column = pa.concat_arrays(column.chunks) if isinstance(column, pa.ChunkedArray) else column
         counts = np.diff(column.offsets.to_numpy())
-        return (np.repeat(np.arange(len(column)), counts), column.flatten().to_numpy().astype(np.int64)), len(column)
+        return (np.repeat(np.arange(len(column), dtype=np.int32), counts), column.flatten().to_numpy()), len(column)
 
     # At most POSITIVES ids (and a few by chance), so the broadcast side is bounded.
     positive = hashed_share(labels.filter("toxic = 1").select("doc_id"), POSITIVES, 1)
