@@ -31,7 +31,7 @@ from ledgerloom.session import work_folder
 LENGTH = 4096
 END_ID = 2
 DIMENSIONS, BITS = 4, 8
-CACHED_RUNS = 700_000
+CACHED_RUNS = 300_000
 CACHED_BYTES = 64
 
 PIECES = "doc_id long, start long, length long, ids binary, doc_tokens long, sequence_id long, offset long"
@@ -168,7 +168,7 @@ def _tokenised(docs: DataFrame, tokenizer: str) -> DataFrame:
         known = _run_ids(tokenizer)
         end = np.array([END_ID], known.kind).tobytes()
         for batch in batches:
-            for part in slices(batch, limit=8 << 20):
+            for part in slices(batch):
                 words = runs_of(raw_texts(part))
                 hashes = word_hashes(words)
                 ids = [i + end for i in known.of(words, hashes)]
@@ -178,6 +178,7 @@ def _tokenised(docs: DataFrame, tokenizer: str) -> DataFrame:
                     [part.column("doc_id"), pa.array(keys), n, pa.array(ids, pa.binary())],
                     names=["doc_id", "curve", "n_tokens", "ids"],
                 )
+        known.known.clear()  # the worker goes on to other tasks, of other stages too
 
     tokens = docs.mapInArrow(tokenise, "doc_id long, curve long, n_tokens long, ids binary")
     tokens = tokens.withColumn("row", F.monotonically_increasing_id())
