@@ -18,6 +18,7 @@ from ledgerloom.llm.pii import redact_personal_data
 from ledgerloom.llm.queries import tokenizer_path
 from ledgerloom.llm.toxicity import drop_toxic, fit_toxicity
 
+SHINGLE = 5  # words in a row; op6's own contract says 4
 MOST_IDS = 1_000_000  # of documents that are broadcast, 8 MB; beyond that the join shuffles
 
 
@@ -27,8 +28,8 @@ def toxicity(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 
 def near_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Of each group of near duplicates the document with the smallest id."""
-    return drop_near_duplicates(docs)
+    """Of each group of near duplicates, by shingles of 5 words, the document with the smallest id."""
+    return drop_near_duplicates(docs, size=SHINGLE)
 
 
 def decontamination(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
