@@ -1,11 +1,11 @@
 """Licence notices in documents, by the Dice coefficient over word bigrams.
 
-DataFrame functions only.  A document's lines and sentences are its units.  Units and templates are
-normalised alike: A-Z lower-cased, everything but letters and digits taken as white space.  With a
-and b different bigrams and c common ones, the coefficient is 2 c / (a + b), so it can reach t only
-if a lies between t b / (2 - t) and (2 - t) b / t.  Units outside the bounds of all templates are
-dropped before their bigrams are built; the others meet the templates in an inverted index of
-bigrams, each only the templates whose bounds it keeps.
+DataFrame functions only.  A document's units are its lines, its sentences (cut at line ends,
+and not), and all runs of consecutive lines, so also paragraphs and whole texts; a run has at most (2 - t) / t times the template's words.  Units and templates
+are normalised alike: A-Z lower-cased, everything but letters and digits taken as white space.
+With a and b different bigrams and c common ones, the coefficient is 2 c / (a + b), so it can reach
+t only if c is at least t b / (2 - t).  An inverted index of the templates' bigrams leaves the few
+texts that share so many with a template; only there units are built and compared.
 
 Defined cases: null and empty texts hold nothing; a unit of one word has no bigrams; units that
 occur more than once in a document count once; rows that repeat a ``doc_id`` are scanned as one
@@ -15,16 +15,21 @@ document; rows without an id are left out; an empty document or template table g
 from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
 from ledgerloom.llm.common import id_and_text, stored
 from ledgerloom.llm.decontaminate import LOWER, SEPARATORS, UPPER, few
+from ledgerloom.llm.license_texts import texts
 
 #: Least coefficient of a finding.
 DICE = 0.8
 #: Where a text is cut into units: at line ends, and behind a full stop, question or exclamation mark.
 LINES, SENTENCES = r"[\n\r]+", r"[\n\r]+|[.!?][ \t]+"
 
+#: Sentences over line ends; a blank line ends one.
+WRAPPED = r"[.!?][ \t\n\r]+|\r?\n[ \t]*\r?\n"
+
 # Notices by which texts name their licence.
 TEMPLATES = [
     ("MIT", "Released under the MIT License."),
@@ -47,7 +52,16 @@ TEMPLATES = [
 
 
 def templates(spark: SparkSession) -> DataFrame:
-    rows = F.array(*(F.struct(F.lit(name).alias("license"), F.lit(text).alias("text")) for name, text in TEMPLATES))
+    return _table(spark, TEMPLATES)
+
+
+def all_templates(spark: SparkSession) -> DataFrame:
+    """The notices, and whole texts and headers."""
+    return _table(spark, [*TEMPLATES, *texts()])
+
+
+def _table(spark: SparkSession, known: list[tuple[str, str]]) -> DataFrame:
+    rows = F.array(*(F.struct(F.lit(name).alias("license"), F.lit(text).alias("text")) for name, text in known))
     return spark.range(1).select(F.inline(rows))
 
 
@@ -55,7 +69,7 @@ def _words(text: Column) -> Column:
     return F.filter(F.split(F.translate(text, UPPER, LOWER), SEPARATORS + "+"), lambda w: w != "")
 
 
-def _bigrams(words: str) -> Column:
+def _bigrams(words: str | Column) -> Column:
     n = F.greatest(F.size(words) - 1, F.lit(0))
     pairs = F.zip_with(F.slice(words, 1, n), F.slice(words, 2, n), lambda a, b: F.concat(a, F.lit(" "), b))
     return F.array_distinct(pairs)
@@ -63,28 +77,68 @@ def _bigrams(words: str) -> Column:
 
 def find_licenses(docs: DataFrame, notices: DataFrame, least: float = DICE) -> DataFrame:
     """``doc_id, license, dice``: the best coefficient of each licence found in a document."""
-    known = notices.filter("license is not null").select("license", "text", _words(F.col("text")).alias("words")).filter("size(words) > 1")
-    known = known.select("license", F.array_join("words", " ").alias("template"), _bigrams("words").alias("bigrams")).distinct()
-    known = stored(known.withColumn("b", F.size("bigrams")), "templates")
-    bounds = known.agg(F.min("b"), F.max("b")).first()
-    low, high = (bounds[0] or 1) * least / (2 - least), (bounds[1] or 0) * (2 - least) / least
-    index = few(stored(known.select("license", "template", "b", F.explode("bigrams").alias("bigram")), "template-bigrams"))
-
-    docs = id_and_text(docs).filter("doc_id is not null and text <> ''")
+    share = least / (2 - least)
+    known = notices.filter("license is not null").select("license", _words(F.col("text")).alias("words")).filter("size(words) > 1")
+    known = known.select("license", F.size("words").alias("n"), F.xxhash64(F.array_join("words", " ")).alias("template"), _bigrams("words").alias("bigrams"))
+    known = stored(known.dropDuplicates(["license", "template"]).withColumn("b", F.size("bigrams")), "templates")
+    names = few(stored(known.select("license", "template"), "template-names"))
+    own = known.select("template", "b", "n", "bigrams").dropDuplicates(["template"])
+    index = few(stored(own.select("template", "b", "n", F.explode("bigrams").alias("bigram")), "template-bigrams"))
+
+    # A unit shares at least ``share * b`` bigrams with its template, so its text does.
+    docs = id_and_text(docs).filter("doc_id is not null and text <> ''").withColumn("row", F.xxhash64("text"))
+    paired = docs.select("doc_id", "row", _bigrams(_words(F.col("text"))).alias("bigrams")).withColumn("a", F.size("bigrams")).filter("a > 0")
+    met = paired.select("doc_id", "row", "a", F.explode("bigrams").alias("bigram")).join(index, "bigram").filter(F.col("a") >= share * F.col("b"))
+    may = met.groupBy("doc_id", "row", "template", "b").agg(F.count("*").alias("c")).filter(F.col("c") >= share * F.col("b"))
+    may = stored(may.select("doc_id", "row", "template"), "may-hold")
+    held = docs.join(may.select("doc_id", "row").distinct(), ["doc_id", "row"], "left_semi")
+    held = stored(held.dropDuplicates(["doc_id", "row"]), "texts")
+
+    best = _of_units(held, index, least).unionByName(_of_runs(held, may, index, least))
+    found = best.groupBy("doc_id", "template").agg(F.max("dice").alias("dice"))
+    return found.join(names, "template").groupBy("doc_id", "license").agg(F.max("dice").alias("dice"))
+
+
+def _of_units(held: DataFrame, index: DataFrame, least: float) -> DataFrame:
+    """``doc_id, template, dice`` of lines and of sentences, also wrapped ones, however many words they repeat."""
     text = F.col("text")
-    units = docs.select("doc_id", F.explode(F.array_union(F.split(text, LINES), F.split(text, SENTENCES))).alias("unit"))
-    # A bigram has at least three characters and different bigrams share words, so a longer unit
-    # may still have few; only the count of words bounds them from above.
-    worded = units.select("doc_id", "unit", _words(F.col("unit")).alias("words")).filter(F.size("words") - 1 >= low)
-    counted = worded.select("doc_id", F.xxhash64("unit").alias("unit"), _bigrams("words").alias("bigrams"))
-    counted = counted.withColumn("a", F.size("bigrams")).filter(F.col("a").between(low, high))
+    units = held.select("doc_id", F.explode(F.array_union(F.array_union(F.split(text, LINES), F.split(text, SENTENCES)), F.split(text, WRAPPED))).alias("unit"))
+    counted = units.select("doc_id", F.xxhash64("unit").alias("unit"), _bigrams(_words(F.col("unit"))).alias("bigrams"))
+    counted = counted.withColumn("a", F.size("bigrams")).filter("a > 0").dropDuplicates(["doc_id", "unit"])
     met = counted.select("doc_id", "unit", "a", F.explode("bigrams").alias("bigram")).join(index, "bigram")
     met = met.filter((F.col("a") >= F.col("b") * least / (2 - least)) & (F.col("a") <= F.col("b") * (2 - least) / least))
-    common = met.select("doc_id", "unit", "a", "license", "template", "b", "bigram").distinct()
-    common = common.groupBy("doc_id", "unit", "a", "license", "template", "b").agg(F.count("*").alias("c"))
+    common = met.groupBy("doc_id", "unit", "a", "template", "b").agg(F.count("*").alias("c"))
     dice = 2 * F.col("c") / (F.col("a") + F.col("b"))
-    scored = common.withColumn("dice", dice).filter(F.col("dice") >= least)
-    return scored.groupBy("doc_id", "license").agg(F.max("dice").alias("dice"))
+    return common.withColumn("dice", dice).filter(F.col("dice") >= least).select("doc_id", "template", "dice")
+
+
+def _of_runs(held: DataFrame, may: DataFrame, index: DataFrame, least: float) -> DataFrame:
+    """``doc_id, template, dice`` of runs of lines.  The best run begins in a line in which one
+    of the template's bigrams begins: without another first line it would be no worse."""
+    words = F.flatten(
+        F.transform(F.split("text", LINES), lambda x, k: F.transform(_words(x), lambda w: F.struct(w.alias("word"), k.alias("k"))))
+    )
+    n = F.greatest(F.size("words") - 1, F.lit(0))
+    pair = lambda x, y: F.struct(F.concat(x["word"], F.lit(" "), y["word"]).alias("bigram"), x["k"].alias("k"), y["k"].alias("end"))
+    pairs = F.zip_with(F.slice("words", 1, n), F.slice("words", 2, n), pair)
+    placed = held.select("doc_id", "row", words.alias("words")).select("doc_id", "row", F.posexplode(pairs).alias("p", "pair"))
+    placed = placed.select("doc_id", "row", "p", "pair.bigram", "pair.k", "pair.end")
+    # A bigram counts in a run unless the run holds its last occurrence too.
+    placed = placed.withColumn("last", F.lag("k").over(W.partitionBy("doc_id", "row", "bigram").orderBy("p")))
+    placed = stored(placed.withColumn("first", F.min("p").over(W.partitionBy("doc_id", "row", "k"))), "places")
+
+    most = F.floor(F.col("n") * (2 - least) / least).cast("int").alias("most")
+    starts = placed.join(index, "bigram").join(may, ["doc_id", "row", "template"], "left_semi")
+    starts = stored(starts.select("doc_id", "row", "template", "b", most, F.col("k").alias("start"), "first").distinct(), "starts")
+    ahead = placed.drop("k", "first").join(starts, ["doc_id", "row"]).filter("p between first and first + most and (last is null or last < start or p = first + most)")
+    ahead = ahead.withColumn("new", F.expr("int(last is null or last < start)"))
+    mine = index.select("template", "bigram", F.lit(1).alias("mine"))
+    group = ["doc_id", "row", "template", "b", "most", "start", "first"]
+    ends = ahead.join(mine, ["template", "bigram"], "left").groupBy(*group, "end")
+    ends = ends.agg(F.sum("new").alias("a"), F.sum(F.col("new") * F.coalesce("mine", F.lit(0))).alias("c"), F.max("p").alias("p"))
+    so_far = W.partitionBy("doc_id", "row", "template", "start").orderBy("end").rowsBetween(W.unboundedPreceding, 0)
+    runs = ends.withColumn("a", F.sum("a").over(so_far)).withColumn("c", F.sum("c").over(so_far)).filter("p < first + most")
+    return runs.withColumn("dice", 2 * F.col("c") / (F.col("a") + F.col("b"))).filter(F.col("dice") >= least).select("doc_id", "template", "dice")
 
 
 def license_report(docs: DataFrame, notices: DataFrame, least: float = DICE) -> DataFrame:

@@ -6,7 +6,7 @@ from pyspark.sql import functions as F
 
 from ledgerloom.llm.common import table
 from ledgerloom.llm.decontaminate import contamination
-from ledgerloom.llm.licenses import license_report, templates
+from ledgerloom.llm.licenses import all_templates, license_report
 from ledgerloom.llm.near_dedup import near_duplicates
 from ledgerloom.llm.packing import pack_documents
 from ledgerloom.llm.pii import find_personal_data
@@ -67,7 +67,7 @@ def op8_hilbert_packing(spark, sf_dir):
 
 
 def op9_license_scan(spark, sf_dir):
-    return license_report(table(spark, sf_dir, "documents"), templates(spark))
+    return license_report(table(spark, sf_dir, "documents"), all_templates(spark))
 
 
 def op10_benchmark_decontamination(spark, sf_dir):
