@@ -88,9 +88,74 @@ SELECT doc_id, coalesce(n, 0)::BIGINT AS n_licenses, coalesce(l, '') AS licenses
 FROM (SELECT DISTINCT doc_id FROM documents WHERE doc_id IS NOT NULL) LEFT JOIN found USING (doc_id)
 """
 
+# One round: every part's nearest entry, then the entries' floored means.
+_ASSIGN = """
+a{r} AS (
+  SELECT vec_id, part, min(far * 64 + e) % 64 AS e, min(far * 64 + e) // 64 AS far FROM (
+    SELECT vec_id, part, e,
+      list_sum(list_transform(list_zip(p.x, c.x), lambda z: (z[1] - z[2]) * (z[1] - z[2])))::BIGINT AS far
+    FROM p JOIN c{r} c USING (part)) GROUP BY ALL)"""
+_AVERAGE = """,
+m{r} AS (
+  SELECT part, e, i, sum(x[i]) AS s, count(*)::HUGEINT AS n FROM a{r} JOIN p USING (vec_id, part), unnest(range(1, len(x) + 1)) AS t(i)
+  GROUP BY ALL),
+f{r} AS (SELECT part, e, list(((s - ((s % n) + n) % n) // n)::BIGINT ORDER BY i) AS x FROM m{r} GROUP BY ALL),
+c{n} AS (SELECT part, e, coalesce(f.x, c.x) AS x FROM c{r} c LEFT JOIN f{r} f USING (part, e))"""
+
+VECTOR_CODES = f"""
+WITH k AS (
+  SELECT vec_id, label, list_transform(embedding, lambda x: floor(256 * x::DOUBLE)::BIGINT) AS v FROM embeddings
+  WHERE len(embedding) > 0 AND len(list_filter(embedding, lambda x: x IS NULL OR NOT isfinite(x))) = 0),
+p AS (
+  SELECT vec_id, part, list_slice(v, part * (len(v) // 16) + 1, (part + 1) * (len(v) // 16)) AS x
+  FROM k, unnest(range(16)) AS t(part)),
+c0 AS (SELECT part, e, x FROM p JOIN (SELECT vec_id, row_number() OVER (ORDER BY vec_id) - 1 AS e FROM k) USING (vec_id) WHERE e < 64),
+{_ASSIGN.format(r=0)}{_AVERAGE.format(r=0, n=1)},
+{_ASSIGN.format(r=1)}{_AVERAGE.format(r=1, n=2)},
+{_ASSIGN.format(r=2)},
+o AS (SELECT vec_id, string_agg(printf('%02x', e::INTEGER), '' ORDER BY part) AS code, sum(far)::BIGINT AS error FROM a2 GROUP BY vec_id),
+l AS (SELECT label, sum(error)::BIGINT AS label_error FROM o JOIN k USING (vec_id) GROUP BY label),
+b AS (SELECT sha256(string_agg(array_to_string(x, ','), ',' ORDER BY part, e)) AS codebooks_sha256 FROM c2)
+SELECT vec_id, code, error, label_error, codebooks_sha256
+FROM o JOIN k USING (vec_id) JOIN l ON k.label IS NOT DISTINCT FROM l.label, b
+"""
+
+SOURCE_DIVERGENCE = r"""
+WITH d AS (
+  SELECT coalesce(lang, '') AS lang, coalesce(source, '') AS source, row_number() OVER () AS id,
+    regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+                       '[^\x00-\x40\x5B-\x60\x7B-\x7F]+') AS w
+  FROM documents),
+t AS (SELECT lang, source, id, unnest(w) AS term FROM d),
+v AS (SELECT lang, term, count(*) AS c FROM t GROUP BY ALL HAVING count(DISTINCT id) >= 10),
+s AS (SELECT lang, count(*) AS v, sum(c) AS n FROM v GROUP BY lang),
+c AS (SELECT lang, source, term, count(*) AS c FROM t SEMI JOIN v USING (lang, term) GROUP BY ALL),
+g AS (SELECT DISTINCT lang, source FROM d),
+n AS (SELECT lang, source, coalesce(sum(c.c), 0) AS n FROM g LEFT JOIN c USING (lang, source) GROUP BY ALL),
+p AS (
+  SELECT lang, source, term, coalesce(c.c, 0) AS c,
+    1 + 1000000000::HUGEINT * (coalesce(c.c, 0) + 2) // (n.n + 2 * s.v)::HUGEINT AS p,
+    1 + 1000000000::HUGEINT * (v.c + 2) // (s.n + 2 * s.v)::HUGEINT AS q
+  FROM n JOIN s USING (lang) JOIN v USING (lang) LEFT JOIN c USING (lang, source, term)),
+pairs AS (
+  SELECT lang, a.source, b.source AS item, sum((a.p - b.p) * (a.p - b.p) // (a.p + b.p)) AS value
+  FROM p a JOIN p b USING (lang, term) WHERE a.source <> b.source GROUP BY ALL),
+parts AS (
+  SELECT a.lang, a.source, 'pair' AS part, b.source AS item, coalesce(value, 0)::BIGINT AS value
+  FROM g a JOIN g b ON a.lang = b.lang AND a.source <> b.source
+  LEFT JOIN pairs ON pairs.lang = a.lang AND pairs.source = a.source AND pairs.item = b.source
+  UNION ALL
+  SELECT lang, source, 'term', term, ((p - q) * (p - q) // (p + q))::BIGINT FROM p WHERE c > 0 AND p > q)
+SELECT * FROM (
+  SELECT *, row_number() OVER (PARTITION BY lang, source, part ORDER BY value DESC, item)::INTEGER AS rank FROM parts)
+WHERE part = 'pair' OR rank <= 10
+"""
+
 LLM_SQL = {
     "op2_substring_dedup": SUBSTRING_DEDUP,
     "op6_minhash_near_dedup": NEAR_DEDUP,
     "op9_license_scan": LICENSES,
     "op10_benchmark_decontamination": DECONTAMINATION,
+    "op12_dual_tree_codes": VECTOR_CODES,
+    "op13_source_divergence": SOURCE_DIVERGENCE,
 }

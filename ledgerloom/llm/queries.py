@@ -4,6 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
+from ledgerloom.llm import bpe_automaton
 from ledgerloom.llm.common import table
 from ledgerloom.llm.decontaminate import contamination
 from ledgerloom.llm.licenses import all_templates, license_report
@@ -12,10 +13,12 @@ from ledgerloom.llm.packing import pack_documents
 from ledgerloom.llm.pii import find_personal_data
 from ledgerloom.llm.secret_scan import find_secrets
 from ledgerloom.llm.quality import quality_scores
+from ledgerloom.llm.source_divergence import source_divergence
 from ledgerloom.llm.spans import PERSONAL, SECRET, digest
 from ledgerloom.llm.substring_dedup import remove_repeated_windows
 from ledgerloom.llm.toxicity import THRESHOLD, fit_toxicity, held_out, score_toxicity
 from ledgerloom.llm.vamana import nearest
+from ledgerloom.llm.vector_codes import encode_vectors, with_label_error
 
 
 def op1_vamana_neighbours(spark, sf_dir):
@@ -53,10 +56,10 @@ def op7_toxicity_nnpu(spark, sf_dir):
     return scored.select("doc_id", held_out(F.col("doc_id")).alias("held_out"), "score", predicted)
 
 
-def tokenizer_path() -> str:
+def tokenizer_path(name: str = "word_bpe_49k.json") -> str:
     import public_tokenizers
 
-    return public_tokenizers.path("word_bpe_49k.json")
+    return public_tokenizers.path(name)
 
 
 def op8_hilbert_packing(spark, sf_dir):
@@ -82,6 +85,25 @@ def op10_benchmark_decontamination(spark, sf_dir):
     )
 
 
+def op11_bpe_automaton(spark, sf_dir):
+    coded = bpe_automaton.encode(table(spark, sf_dir, "documents"), tokenizer_path("byte_bpe_50k.json"), with_text=True)
+    return coded.select(
+        "doc_id",
+        F.size("ids").cast("bigint").alias("n_tokens"),
+        F.sha2(F.array_join(F.col("ids").cast("array<string>"), ","), 256).alias("ids_sha256"),
+        F.sha2("text", 256).alias("decoded_sha256"),
+    )
+
+
+def op12_dual_tree_codes(spark, sf_dir):
+    coded = with_label_error(encode_vectors(table(spark, sf_dir, "embeddings")))
+    return coded.select("vec_id", F.lower(F.hex("code")).alias("code"), "error", "label_error", "codebooks_sha256")
+
+
+def op13_source_divergence(spark, sf_dir):
+    return source_divergence(table(spark, sf_dir, "documents"))
+
+
 LLM_QUERIES = {
     "op1_vamana_neighbours": op1_vamana_neighbours,
     "op2_substring_dedup": op2_substring_dedup,
@@ -93,4 +115,7 @@ LLM_QUERIES = {
     "op8_hilbert_packing": op8_hilbert_packing,
     "op9_license_scan": op9_license_scan,
     "op10_benchmark_decontamination": op10_benchmark_decontamination,
+    "op11_bpe_automaton": op11_bpe_automaton,
+    "op12_dual_tree_codes": op12_dual_tree_codes,
+    "op13_source_divergence": op13_source_divergence,
 }
