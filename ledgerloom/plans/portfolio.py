@@ -2,10 +2,12 @@
 
 from __future__ import annotations
 
+import json
 from functools import cached_property
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql.types import StructType
 
 from ledgerloom.config import Params
 from ledgerloom.functions.columns import bucket, moment, pick
@@ -46,6 +48,21 @@ PUBLISHED = {
 }
 
 
+class published_table(cached_property):
+    """A property that is written as a table.  In an opened portfolio it is read by the schema in the manifest,
+    and nothing behind it is built, so a lookup costs its own plan only."""
+
+    def __get__(self, pf, owner=None):
+        name = None if pf is None else NAME_OF[self.attrname]
+        if pf is not None and name in pf._published and self.attrname not in pf.__dict__:
+            schema = StructType.fromJson(json.loads(pf._published[name]))
+            pf.__dict__[self.attrname] = pf.spark.read.schema(schema).parquet(f"{pf.folder}/{name}")
+        return super().__get__(pf, owner)
+
+
+NAME_OF = {attribute: name for name, attribute in PUBLISHED.items()}
+
+
 class Portfolio:
     """Entity and result tables over one set of base tables.
 
@@ -87,10 +104,6 @@ class Portfolio:
 
     def _table(self, df: DataFrame, name: str) -> DataFrame:
         path = f"{self.folder}/{name}"
-        if name in self._published:
-            if df.schema.simpleString() != self._published[name]:
-                raise ValueError(f"the published table {name} has another schema")
-            return self.spark.read.schema(df.schema).parquet(path)
         setting = "spark.sql.shuffle.partitions"
         before = self.spark.conf.get(setting)
         if self._partitions is not None:
@@ -122,7 +135,7 @@ class Portfolio:
         """Write every table that has several readers, then the manifest; returns the folder."""
         tables = {}
         for name in PUBLISHED:
-            tables[name] = getattr(self, PUBLISHED[name]).schema.simpleString()
+            tables[name] = getattr(self, PUBLISHED[name]).schema.json()
         write_manifest(self.spark, self.folder, self._facts() | {f"table {n}": s for n, s in tables.items()})
         return self.folder
 
@@ -158,12 +171,12 @@ class Portfolio:
         given = self._entity("bureau_tradeline")
         return entities.tradelines(self.spark, self.sf_dir, self.p) if given is None else given
 
-    @cached_property
+    @published_table
     def sliced_tradelines(self) -> DataFrame:
         keys = self.tradelines.select("tradeline_id", "borrower_id")
         return self._table(ranking.cut_by_range(keys, "tradeline_id"), "tradeline_slices")
 
-    @cached_property
+    @published_table
     def sliced_calls(self) -> DataFrame:
         """Call events cut into even ranges along borrower and time, from which they are numbered."""
         events = entities.call_events(self.spark, self.sf_dir)
@@ -179,7 +192,7 @@ class Portfolio:
         return entities.ground_truth(self.spark, self.sf_dir)
 
     # --- spine --------------------------------------------------------------
-    @cached_property
+    @published_table
     def sliced_borrowers(self) -> DataFrame:
         """Borrower keys cut into even ranges, from which loans are numbered."""
         keys = self.borrowers.select("borrower_id", "bureau_score_band")
@@ -193,29 +206,29 @@ class Portfolio:
             return given
         return loan_book.build_loan_account(self.spark, self.sliced_borrowers, self.p)
 
-    @cached_property
+    @published_table
     def loans(self) -> DataFrame:
         return self._table(self.loans_unwritten, "loan_account")
 
-    @cached_property
+    @published_table
     def sliced_mandates(self) -> DataFrame:
         keys = ranking.cut_by_range(loan_book.mandated_loans(self.loans), "loan_id")
         return self._table(keys, "mandate_slices")
 
-    @cached_property
+    @published_table
     def mandates(self) -> DataFrame:
         given = self._entity("mandate")
         if given is None:
             given = loan_book.build_mandate(self.loans, self.p, self.sliced_mandates)
         return self._table(given, "mandate")
 
-    @cached_property
+    @published_table
     def state(self) -> DataFrame:
         state = build_borrower_state(self.borrowers, self.loans, self.tradelines, self.mandates, self.p)
         return self._table(state, "borrower_state")
 
     # --- economics ------------------------------------------------------------
-    @cached_property
+    @published_table
     def scored_loans(self) -> DataFrame:
         return self._table(economics.score_loans(self.spark, self.loans, self.state, self.p), "scored_loans")
 
@@ -236,7 +249,7 @@ class Portfolio:
     def insight(self) -> DataFrame:
         return enrichment.enrich_transcripts(self.calls)
 
-    @cached_property
+    @published_table
     def scored_calls(self) -> DataFrame:
         return self._table(enrichment.scored_calls(self.calls), "scored_calls")
 
@@ -244,7 +257,7 @@ class Portfolio:
     def transitions(self) -> DataFrame:
         return trajectory.call_transitions(self.scored_calls)
 
-    @cached_property
+    @published_table
     def trajectory(self) -> DataFrame:
         summary = trajectory.trajectory_summary(self.scored_calls, self.transitions)
         return self._table(summary, "trajectory")
@@ -254,7 +267,7 @@ class Portfolio:
     def candidates(self) -> DataFrame:
         return rules.nba_candidates(self.scored_loans, self.state, self.mandates, self.trajectory)
 
-    @cached_property
+    @published_table
     def staged(self) -> DataFrame:
         return self._by_borrower(rules.stage_recommendations(self.spark, self.candidates, self.p), "recommendations")
 
@@ -266,7 +279,7 @@ class Portfolio:
     def log(self) -> DataFrame:
         return rules.decision_log(self.staged)
 
-    @cached_property
+    @published_table
     def earlier_staged(self) -> DataFrame:
         """The generation before any call was heard: same rules, no trajectory."""
         before = rules.nba_candidates(self.scored_loans, self.state, self.mandates, None)
@@ -289,7 +302,7 @@ class Portfolio:
     def customer_360(self) -> DataFrame:
         return customer360.customer_360(self.state, self.scored_loans, self.ltv, self.trajectory, self.recs)
 
-    @cached_property
+    @published_table
     def published_360(self) -> DataFrame:
         """The same rows as a table, which the application queries read."""
         return self._by_borrower(self.customer_360, "customer_360")

@@ -10,7 +10,7 @@ from ledgerloom.functions import text as tx
 from ledgerloom.functions.finance import outstanding
 from ledgerloom.operators import actions, documents, loan_book, ranking
 from ledgerloom.plans import catalog, quality, reports
-from ledgerloom.plans.portfolio import Portfolio
+from ledgerloom.plans.portfolio import PUBLISHED, Portfolio
 
 SF_DIR = "/root/testdata/sf0.001"
 APP_QUERIES = [
@@ -53,6 +53,16 @@ def test_published_tables_answer_in_a_later_session_without_a_rebuild(spark, pf,
         assert rows(catalog.QUERIES[name](later)) == before[name], name
 
 
+def test_opened_tables_have_the_schemas_that_would_be_built(spark, pf, monkeypatch):
+    later = Portfolio.open(spark, pf.folder, SF_DIR)
+    assert {n: getattr(later, a).schema for n, a in PUBLISHED.items()} == {n: getattr(pf, a).schema for n, a in PUBLISHED.items()}
+    again = Portfolio.open(spark, pf.folder, SF_DIR)
+    for behind in ("borrowers", "tradelines", "calls", "candidates", "customer_360"):
+        monkeypatch.setattr(Portfolio, behind, property(lambda self: pytest.fail("a table was built")))
+    for name in set(APP_QUERIES):
+        catalog.QUERIES[name](again)
+
+
 def test_a_lookup_is_pushed_to_sorted_files(pf):
     found = reports.borrower_pending(pf.recs, "BRW000002")
     plan = found._jdf.queryExecution().executedPlan().toString()
