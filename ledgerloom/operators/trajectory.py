@@ -89,9 +89,10 @@ def lag_pairs(scored: DataFrame, slice_size: int = 1024) -> DataFrame:
     sliced = scored.select(
         "borrower_id", "interaction_id", "sentiment", "transcript_sequence_number"
     ).withColumn("_slice", F.floor(seq / slice_size))
-    last = sliced.groupBy("borrower_id", "_slice").agg(
-        F.max_by(F.struct("interaction_id", "sentiment"), "transcript_sequence_number").alias("_last")
-    )
+    # The number of a slice's last call first, its fields by a join: a number needs no sorted rows.
+    last = sliced.groupBy("borrower_id", "_slice").agg(F.max("transcript_sequence_number").alias("transcript_sequence_number"))
+    fields = sliced.select("borrower_id", "transcript_sequence_number", F.struct("interaction_id", "sentiment").alias("_last"))
+    last = last.join(fields, ["borrower_id", "transcript_sequence_number"])
     along = W.partitionBy("borrower_id").orderBy("_slice")
     handed = last.select("borrower_id", "_slice", F.lag("_last").over(along).alias("_handed"))
     inside = W.partitionBy("borrower_id", "_slice").orderBy("transcript_sequence_number")
@@ -110,20 +111,44 @@ def lag_pairs(scored: DataFrame, slice_size: int = 1024) -> DataFrame:
     )
 
 
-def first_last(scored: DataFrame) -> DataFrame:
-    return scored.groupBy("borrower_id").agg(
-        F.min_by("sentiment", "transcript_sequence_number").alias("first_sentiment"),
-        F.max_by("sentiment", "transcript_sequence_number").alias("last_sentiment"),
+#: Sentiments as numbers, so that extremes are kept in fixed-width buffers and no rows are sorted for them.
+MOODS = ["positive", "neutral", "mixed", "negative"]
+
+
+def mood_code(sentiment) -> Column:
+    return lookup(sentiment, {name: i for i, name in enumerate(MOODS, 1)}, None)
+
+
+def mood_name(code: str) -> Column:
+    return F.get(F.array(*map(F.lit, MOODS)), F.col(code) - 1)
+
+
+# --- summaries that can be merged ----------------------------------------------------------
+# One row per borrower, from any set of calls and the pairs among them.  Two of them add up to the summary of both
+# sets, in any order and grouping, and so a batch costs its own calls and the stored row.
+_CALL_SUMS, _PAIR_SUMS = ["n_calls"], ["n_transitions", "n_broken", "n_reason_changes", "n_reason_comparisons_possible"]
+
+
+def call_summary(scored: DataFrame) -> DataFrame:
+    seq = F.col("transcript_sequence_number")
+    told = scored.withColumn("_mood", mood_code("sentiment"))
+    return told.groupBy("borrower_id").agg(
         F.count("*").alias("n_calls"),
+        F.min(seq).alias("first_seq"),
+        F.min_by("_mood", seq).alias("first_mood"),
+        F.max(seq).alias("last_seq"),
+        F.max_by("_mood", seq).alias("last_mood"),
         F.min("contact_date").alias("first_contact_date"),
         F.max("contact_date").alias("last_contact_date"),
     )
 
 
-def gap_summary(transitions: DataFrame) -> DataFrame:
+def pair_summary(transitions: DataFrame) -> DataFrame:
     broken = F.col("ptp_was_made_on_prior_call") & F.col("ptp_flagged_missed_on_this_call")
     return transitions.groupBy("borrower_id").agg(
+        F.min("from_seq").alias("first_gap_seq"),
         F.min_by("days_gap", "from_seq").alias("first_gap"),
+        F.max("from_seq").alias("last_gap_seq"),
         F.max_by("days_gap", "from_seq").alias("last_gap"),
         F.count("*").alias("n_transitions"),
         F.count_if(broken).alias("n_broken"),
@@ -132,6 +157,37 @@ def gap_summary(transitions: DataFrame) -> DataFrame:
     )
 
 
+def partial_summary(scored: DataFrame, transitions: DataFrame) -> DataFrame:
+    """The summary of some calls and of the pairs that they complete."""
+    none = F.lit(0).cast("bigint")
+    joined = call_summary(scored).join(pair_summary(transitions), "borrower_id", "left")
+    return joined.withColumns({c: F.coalesce(c, none) for c in _PAIR_SUMS})
+
+
+def merged_summaries(one: DataFrame, other: DataFrame) -> DataFrame:
+    """Sums add up, extremes compare; a gap without a pair has no number and gives way."""
+    return one.unionByName(other).groupBy("borrower_id").agg(
+        *[F.sum(c).alias(c) for c in _CALL_SUMS + _PAIR_SUMS],
+        F.min("first_seq").alias("first_seq"),
+        F.min_by("first_mood", "first_seq").alias("first_mood"),
+        F.max("last_seq").alias("last_seq"),
+        F.max_by("last_mood", "last_seq").alias("last_mood"),
+        F.min("first_contact_date").alias("first_contact_date"),
+        F.max("last_contact_date").alias("last_contact_date"),
+        F.min("first_gap_seq").alias("first_gap_seq"),
+        F.min_by("first_gap", "first_gap_seq").alias("first_gap"),
+        F.max("last_gap_seq").alias("last_gap_seq"),
+        F.max_by("last_gap", "last_gap_seq").alias("last_gap"),
+    ).select(*one.columns)
+
+
+def first_last(scored: DataFrame) -> DataFrame:
+    return call_summary(scored).select(
+        "borrower_id", mood_name("first_mood").alias("first_sentiment"), mood_name("last_mood").alias("last_sentiment"),
+        "n_calls", "first_contact_date", "last_contact_date",
+    )
+
+
 def overall_direction(first, last) -> Column:
     first, last = F.col(first), F.col(last)
     return pick(
@@ -156,22 +212,23 @@ def gap_trend() -> Column:
     )
 
 
-def trajectory_summary(scored: DataFrame, transitions: DataFrame) -> DataFrame:
-    none = F.lit(0).cast("bigint")
-    return (
-        first_last(scored)
-        .join(gap_summary(transitions), "borrower_id", "left")
-        .select(
-            "borrower_id",
-            "n_calls",
-            "first_sentiment",
-            "last_sentiment",
-            overall_direction("first_sentiment", "last_sentiment").alias("overall_sentiment_direction"),
-            "first_contact_date",
-            "last_contact_date",
-            (F.coalesce("n_broken", none) > 0).alias("any_ptp_made_then_missed"),
-            (F.coalesce("n_reason_changes", none) > 0).alias("any_reason_change"),
-            "n_reason_comparisons_possible",
-            gap_trend().alias("days_gap_trend"),
-        )
+def trajectory_rows(summary: DataFrame) -> DataFrame:
+    """What is published of a summary."""
+    named = summary.withColumns({"first_sentiment": mood_name("first_mood"), "last_sentiment": mood_name("last_mood")})
+    return named.select(
+        "borrower_id",
+        "n_calls",
+        "first_sentiment",
+        "last_sentiment",
+        overall_direction("first_sentiment", "last_sentiment").alias("overall_sentiment_direction"),
+        "first_contact_date",
+        "last_contact_date",
+        (F.col("n_broken") > 0).alias("any_ptp_made_then_missed"),
+        (F.col("n_reason_changes") > 0).alias("any_reason_change"),
+        "n_reason_comparisons_possible",
+        gap_trend().alias("days_gap_trend"),
     )
+
+
+def trajectory_summary(scored: DataFrame, transitions: DataFrame) -> DataFrame:
+    return trajectory_rows(partial_summary(scored, transitions))

@@ -1,7 +1,7 @@
 """Incremental versions of enrichment, call pairing and the refresh of recommendations.
 
 Queries chained through files: new transcripts are scored row by row; each micro-batch of scored
-calls is paired with the stored calls around it and refreshes the trajectory, recommendations,
+calls is paired with the ends of the stored runs around it and refreshes the trajectory, recommendations,
 task queue and 360 rows of the borrowers it touches.
 """
 
@@ -12,11 +12,11 @@ from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 from pyspark.sql.types import StructType
 
-from ledgerloom.operators import actions, customer360, enrichment, rules, trajectory
+from ledgerloom.operators import actions, call_runs, customer360, enrichment, rules, trajectory
 from ledgerloom.operators.loan_book import future_interest
 from ledgerloom.plans.portfolio import Portfolio
 from ledgerloom.sources.tables import ENTITY_SCHEMAS
-from ledgerloom.streaming.store import Store
+from ledgerloom.streaming.store import Store, fitting_buckets
 
 LIVE = {"processingTime": "1 minute"}
 CATCH_UP = {"availableNow": True}
@@ -69,24 +69,37 @@ def read_scored(spark: SparkSession, scored_dir: str, touched: DataFrame | None
     return of_borrowers(stored, touched).dropDuplicates(["interaction_id"])
 
 
-# --- calls and pairs by bucket -----------------------------------------------------------
-def take_in(store: Store, version: int, batch: DataFrame, buckets: list[int]) -> dict[str, DataFrame]:
-    """Add a batch of scored calls and the pairs it completes; both tables, as written.
+# --- calls, pairs and summaries ------------------------------------------------------------
+class Intake:
+    """A batch of scored calls added to a version: new calls and the pairs they complete are appended; the runs
+    and the summary of the batch's borrowers are merged with the stored ones.  Neither stored calls nor stored
+    pairs are read."""
+
+    def __init__(self, store: Store, version: int, batch: DataFrame, buckets: list[int] | None, touched: DataFrame):
+        self.store, self.version, self.buckets, self.touched = store, version, buckets, touched
+        runs = self._old("call_run")
+        fresh = store.append(version, "scored_call", call_runs.unheard(batch, runs).select(*batch.columns))
+        nodes = call_runs.single_runs(fresh)
+        nodes = nodes if runs is None else nodes.unionByName(runs)
+        pairs = store.append(version, "call_transition", call_runs.completed_pairs(nodes))
+        summary, old = trajectory.partial_summary(fresh, pairs), self._old("trajectory_state")
+        summary = summary if old is None else trajectory.merged_summaries(summary, old)
+        self.appended = {"scored_call": fresh, "call_transition": pairs}
+        self.tables = {"call_run": self._put("call_run", call_runs.joined_runs(nodes)), "trajectory_state": self._put("trajectory_state", summary)}
+
+    def _old(self, name: str) -> DataFrame | None:
+        rows = self.store.read(name, self.buckets, self.version)
+        return None if rows is None else of_borrowers(rows, self.touched)
 
-    Only pairs that a new call takes part in are compared: with the call before it and, for a
-    late call, with the call after it.  Calls and pairs known already stay as they are.
-    """
-    old_calls = store.read("scored_call", buckets, version)
-    old_pairs = store.read("call_transition", buckets, version)
-    fresh = batch.dropDuplicates(["interaction_id"])
-    if old_calls is not None:
-        fresh = fresh.join(old_calls.select("interaction_id"), "interaction_id", "left_anti").select(*batch.columns)
-    fresh = store.write(version, "fresh_call", fresh)
-    calls = fresh if old_calls is None else old_calls.unionByName(fresh)
-    calls = store.write(version, "scored_call", calls)
-    pairs = trajectory.call_transitions(calls, fresh)
-    pairs = pairs if old_pairs is None else old_pairs.unionByName(pairs)
-    return {"scored_call": calls, "call_transition": store.write(version, "call_transition", pairs)}
+    def _put(self, name: str, fresh: DataFrame) -> DataFrame:
+        kept = self.store.read(name, self.buckets, self.version)
+        if kept is not None:
+            fresh = fresh.unionByName(kept.join(self.touched, "borrower_id", "left_anti").select(*fresh.columns))
+        return self.store.write(self.version, name, fresh)
+
+
+def borrowers_of(store: Store, version: int, batch: DataFrame) -> DataFrame:
+    return store.append(version, "touched", batch.filter("borrower_id IS NOT NULL").select("borrower_id").distinct())
 
 
 def first_version(store: Store, checkpoint: str) -> int:
@@ -132,12 +145,13 @@ def start_transitions(
 ) -> StreamingQuery:
     """Pair each call with the one before it, in whatever order the two arrive.
 
-    No state is kept: a batch meets the stored calls of the buckets it touches.
+    A batch meets the stored runs of the buckets it touches; see ``call_runs``.
     """
 
     def on_batch(store: Store, version: int, batch: DataFrame) -> None:
         buckets = store.buckets_of(batch)
-        store.commit(version, take_in(store, version, batch, buckets), buckets)
+        taken = Intake(store, version, batch, buckets, borrowers_of(store, version, batch))
+        store.commit(version, taken.tables, buckets, taken.appended)
 
     return _start(Store(spark, out_dir), scored_dir, checkpoint, on_batch, trigger, max_files)
 
@@ -158,6 +172,7 @@ class Cycle:
         self.pf, self.store, self.version, self.touched = pf, store, version, touched
         self.buckets = None if touched is None else store.buckets_of(touched)
         self.tables: dict[str, DataFrame] = {}
+        self.appended: dict[str, DataFrame] = {}
 
     def old(self, name: str) -> DataFrame | None:
         """Rows of the touched borrowers as published before."""
@@ -187,7 +202,7 @@ class Cycle:
         self.put("customer_360", customer360.customer_360(state, loans, ltv, summary, recs))
 
     def commit(self) -> None:
-        self.store.commit(self.version, self.tables, self.buckets)
+        self.store.commit(self.version, self.tables, self.buckets, self.appended)
 
 
 def refresh(pf: Portfolio, store: Store, version: int, batch: DataFrame | None = None) -> None:
@@ -198,13 +213,15 @@ def refresh(pf: Portfolio, store: Store, version: int, batch: DataFrame | None =
     run once: recommendations and log come from the same staged rows.  Decisions and explanations
     that still hold are carried forward; only new or changed recommendations are explained afresh.
     """
-    touched = None if batch is None else store.write(version, "touched", batch.select("borrower_id").distinct())
+    touched = None if batch is None else borrowers_of(store, version, batch)
     cycle = Cycle(pf, store, version, touched)
     if batch is None:
         batch = pf.spark.createDataFrame([], scored_schema(pf.spark))
-    cycle.tables |= take_in(store, version, batch, cycle.buckets)
-    calls, pairs = (of_borrowers(cycle.tables[n], touched) for n in ("scored_call", "call_transition"))
-    summary = cycle.put("trajectory", trajectory.trajectory_summary(calls, pairs))
+    taken = Intake(store, version, batch, cycle.buckets, batch.select("borrower_id") if touched is None else touched)
+    cycle.tables |= taken.tables
+    cycle.appended |= taken.appended
+    summary = trajectory.trajectory_rows(of_borrowers(taken.tables["trajectory_state"], touched))
+    summary = cycle.put("trajectory", summary)
     loans, state, mandates = (of_borrowers(t, touched) for t in (pf.scored_loans, pf.state, pf.mandates))
     candidates = rules.nba_candidates(loans, state, mandates, summary)
     staged = store.write(version, "staged", rules.stage_recommendations(pf.spark, candidates, pf.p))
@@ -222,7 +239,7 @@ def decide(pf: Portfolio, out_dir: str, decisions: DataFrame) -> DataFrame:
     version = store.next_version()
     published = store.read("nba_recommendation")
     touched = published.join(decisions.select("recommendation_id"), "recommendation_id", "left_semi")
-    cycle = Cycle(pf, store, version, store.write(version, "touched", touched.select("borrower_id").distinct()))
+    cycle = Cycle(pf, store, version, borrowers_of(store, version, touched))
     log = cycle.old("nba_decision_log").select(*rules.LOG_COLUMNS)
     recs, log, refused = actions.apply_decisions(cycle.old("nba_recommendation"), log, decisions)
     refused = store.write(version, "refused", refused.withColumn("borrower_id", F.lit("")))
@@ -236,7 +253,7 @@ def start_refresh(
     max_files: int | None = None,
 ) -> StreamingQuery:
     """Publish a version in which no call was heard, and refresh on every batch of scored calls."""
-    store = Store(pf.spark, out_dir)
+    store = Store(pf.spark, out_dir, fitting_buckets(pf.state.count()))
     if not store.versions():
         refresh(pf, store, 0)
 

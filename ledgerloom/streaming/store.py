@@ -1,8 +1,9 @@
 """Published tables that a micro-batch can change without reading their history.
 
-Every table has a ``borrower_id``, whose hash names a bucket.  A version rewrites whole buckets:
-the rows of the touched borrowers anew, those of their neighbours as they were.  The heads of a
-version say for each table and bucket which version holds its rows; they are written last and so
+Tables of events are appended to: a version adds its new rows and touches no others.  Tables of borrowers have
+a few rows for each ``borrower_id``, whose hash names a bucket; a version rewrites whole buckets,
+the rows of the touched borrowers anew and those of their neighbours as they were.  The heads of a
+version say which versions hold the rows of each table and bucket; they are written last and so
 commit the version.  A reader opens the newest heads and only the buckets it wants, so the cost of
 a batch follows the buckets it touches, not the number of batches before it.  A borrower whose
 rows are gone is gone with the rewritten bucket.
@@ -17,14 +18,21 @@ from pyspark.sql import functions as F
 from pyspark.sql.types import LongType, StructType
 
 BUCKETS = 64
+PER_BUCKET = 5_000  # borrowers, when a store is made
+SPREAD = 16  # tasks that write a bucket, if it is large
 HEADS = "name string, bucket bigint, version bigint, schema string"
 
 
+def fitting_buckets(borrowers: int) -> int:
+    return max(1, -(-borrowers // PER_BUCKET))
+
+
 class Store:
     def __init__(self, spark: SparkSession, folder: str, buckets: int = BUCKETS):
         """``buckets`` counts for a new store; an existing one keeps its own number."""
         self.spark = spark
         self.folder = folder.rstrip("/")
+        self._heads: dict[int, dict] = {}
         heads = self.heads()
         self.buckets = int(heads["", -1][0]) if heads else buckets
 
@@ -46,8 +54,10 @@ class Store:
         known = [v for v in self.versions() if before is None or v < before]
         if not known:
             return {}
-        rows = self.spark.read.schema(HEADS).parquet(f"{self.folder}/heads/version={known[-1]}")
-        return {(r["name"], r["bucket"]): (r["version"], r["schema"]) for r in rows.collect()}
+        if known[-1] not in self._heads:  # what is committed does not change
+            rows = self.spark.read.schema(HEADS).parquet(f"{self.folder}/heads/version={known[-1]}")
+            self._heads = {known[-1]: {(r["name"], r["bucket"]): (r["version"], r["schema"]) for r in rows.collect()}}
+        return dict(self._heads[known[-1]])
 
     # --- rows -----------------------------------------------------------------------------
     def bucket(self):
@@ -62,6 +72,10 @@ class Store:
         if (name, -1) not in heads:
             return None
         schema = StructType.fromJson(json.loads(heads[name, -1][1]))
+        appended = [v for (table, bucket), (v, _) in heads.items() if table == name and bucket < -1]
+        if appended:
+            paths = [f"{self.folder}/{name}/version={v}" for v in sorted(appended)]
+            return self.spark.read.schema(schema).parquet(*paths)
         by_version: dict[int, list[int]] = {}
         for (table, bucket), (version, _) in heads.items():
             if table == name and bucket >= 0 and (buckets is None or bucket in buckets):
@@ -79,18 +93,30 @@ class Store:
     def write(self, version: int, name: str, rows: DataFrame) -> DataFrame:
         """Write a version's rows, not yet committed; the same version again replaces them."""
         path = f"{self.folder}/{name}/version={version}"
-        dealt = rows.withColumn("bucket", self.bucket()).repartition("bucket")
+        own = F.pmod(F.xxhash64("borrower_id", F.lit(1)), F.lit(SPREAD))
+        dealt = rows.withColumn("bucket", self.bucket()).repartition("bucket", own)
         dealt.write.mode("overwrite").partitionBy("bucket").parquet(path)
         return self.spark.read.schema(rows.schema).parquet(path).select(*rows.columns)
 
-    def commit(self, version: int, tables: dict[str, DataFrame], buckets: list[int] | None) -> None:
-        """Make ``tables`` as written the rows of ``buckets`` (None: of all)."""
+    def append(self, version: int, name: str, rows: DataFrame) -> DataFrame:
+        """Write a version's new rows of a table of events, not yet committed."""
+        path = f"{self.folder}/{name}/version={version}"
+        rows.write.mode("overwrite").parquet(path)
+        return self.spark.read.schema(rows.schema).parquet(path)
+
+    def commit(
+        self, version: int, tables: dict[str, DataFrame], buckets: list[int] | None, appended: dict[str, DataFrame] | None = None
+    ) -> None:
+        """Make ``tables`` as written the rows of ``buckets`` (None: of all), and add what was appended."""
         heads = self.heads(version)
         heads["", -1] = (self.buckets, "")
         for name, rows in tables.items():
             heads[name, -1] = (version, rows.schema.json())
             for b in range(self.buckets) if buckets is None else buckets:
                 heads[name, b] = (version, "")
+        for name, rows in (appended or {}).items():
+            heads[name, -1] = (version, rows.schema.json())
+            heads[name, -2 - version] = (version, "")
         rows = [(name, b, v, s) for (name, b), (v, s) in sorted(heads.items())]
         self.spark.createDataFrame(rows, HEADS).coalesce(1).write.mode("overwrite").parquet(
             f"{self.folder}/heads/version={version}"
