@@ -14,7 +14,7 @@ from ledgerloom.operators import loan_book as book
 from ledgerloom.operators import rules as r
 from ledgerloom.plans import evaluation as ev
 from ledgerloom.plans import quality as qa
-from ledgerloom.plans.catalog import CALLED_BORROWER, DETAIL_BORROWER, SEARCH
+from ledgerloom.plans.catalog import CALLED_BORROWER, DETAIL_BORROWER, SEARCH, SHORT_SEARCH
 
 MISSING = "None"
 SQL: dict[str, str] = {}
@@ -177,12 +177,18 @@ add("portfolio_kpis", """
 SELECT count(*) FILTER (bt_is_a_flight_risk) AS flight_risks, count(*) FILTER (has_retention_offer) AS retention_offers,
        CAST(sum(bt_retention_value_if_offered_inr) AS BIGINT) AS total_retention_value_inr, sum(CAST(ltv_expected_interest_inr AS DECIMAL(18,2))) AS total_ltv_inr FROM x_360""", "total_ltv_inr")
 add("vq_flight_risk_topk", "SELECT borrower_id, full_name, ltv_expected_interest_inr, bt_risk_score FROM x_360 WHERE bt_is_a_flight_risk ORDER BY ltv_expected_interest_inr DESC, borrower_id LIMIT 20", "bt_risk_score")
+add("maintained_class_counts", "SELECT borrower_asset_class, count(*) AS n FROM x_360 GROUP BY 1")
+add("maintained_kpis", """
+SELECT count(*) FILTER (bt_is_a_flight_risk) AS flight_risks, count(*) FILTER (has_retention_offer) AS retention_offers,
+       CAST(sum(bt_retention_value_if_offered_inr) AS BIGINT) AS total_retention_value_inr, sum(CAST(ltv_expected_interest_inr AS DECIMAL(18,2))) AS total_ltv_inr FROM x_360""", "total_ltv_inr")
+add("maintained_flight_risk_topk", "SELECT borrower_id, full_name, ltv_expected_interest_inr, bt_risk_score FROM x_360 WHERE bt_is_a_flight_risk ORDER BY ltv_expected_interest_inr DESC NULLS LAST, borrower_id LIMIT 20", "bt_risk_score")
 add("vq_deteriorating", "SELECT borrower_id, full_name, overall_sentiment_direction, any_ptp_made_then_missed FROM x_360 WHERE overall_sentiment_direction = 'DETERIORATING'")
 add("vq_pending_collections", "SELECT borrower_id, action_code, rule_basis, expected_value_inr FROM x_rec WHERE status = 'PENDING_APPROVAL' AND action_family = 'COLLECTIONS'")
 add("vq_npa_upgrade", "SELECT count(*) AS n FROM x_360 WHERE is_npa AND npa_upgrade_eligible")
-add("borrower_lookup", f"""
+for _name, _text in (("borrower_lookup", SEARCH), ("borrower_lookup_scan", SHORT_SEARCH)):
+    add(_name, f"""
 SELECT borrower_id, full_name, city, borrower_asset_class, bt_risk_score, bt_is_a_flight_risk, ltv_expected_interest_inr, overall_sentiment_direction,
-       any_ptp_made_then_missed, n_pending_recommendations FROM x_360 WHERE borrower_id ILIKE '%{SEARCH}%' OR full_name ILIKE '%{SEARCH}%' ORDER BY borrower_id LIMIT 25""", "bt_risk_score")
+       any_ptp_made_then_missed, n_pending_recommendations FROM x_360 WHERE borrower_id ILIKE '%{_text}%' OR full_name ILIKE '%{_text}%' ORDER BY borrower_id LIMIT 25""", "bt_risk_score")
 add("borrower_detail", f"SELECT * FROM x_360 WHERE borrower_id = '{DETAIL_BORROWER}'", _360d)
 add("borrower_pending", f"SELECT recommendation_id, action_code, action_family, rule_basis, expected_value_inr, bureau_disclosure, status FROM x_rec WHERE borrower_id = '{DETAIL_BORROWER}' AND status = 'PENDING_APPROVAL'")
 add("borrower_rec_history", f"SELECT action_code, rule_basis, model_contribution, expected_value_inr, status FROM x_rec WHERE borrower_id = '{DETAIL_BORROWER}'")

@@ -225,7 +225,8 @@ def trajectory_rows(summary: DataFrame) -> DataFrame:
         "last_contact_date",
         (F.col("n_broken") > 0).alias("any_ptp_made_then_missed"),
         (F.col("n_reason_changes") > 0).alias("any_reason_change"),
-        "n_reason_comparisons_possible",
+        # Without any pair there was nothing to compare: not known, rather than none.
+        F.when(F.col("n_transitions") > 0, F.col("n_reason_comparisons_possible")).alias("n_reason_comparisons_possible"),
         gap_trend().alias("days_gap_trend"),
     )
 

@@ -22,6 +22,7 @@ Query = Callable[[Portfolio], DataFrame]
 QUERIES: dict[str, Query] = {}
 
 SEARCH = "000012"
+SHORT_SEARCH = "ra"
 DETAIL_BORROWER = "BRW000002"
 CALLED_BORROWER = "BRW000000"
 
@@ -544,7 +545,13 @@ def vq_npa_upgrade(pf):
 
 @query
 def borrower_lookup(pf):
-    return reports.borrower_lookup(pf.published_360, SEARCH)
+    return reports.borrower_search(pf.published_360, pf.name_grams, pf.gram_counts, SEARCH)
+
+
+@query
+def borrower_lookup_scan(pf):
+    """A text of fewer than three characters has no postings: the names are scanned."""
+    return reports.borrower_search(pf.published_360, pf.name_grams, pf.gram_counts, SHORT_SEARCH)
 
 
 @query

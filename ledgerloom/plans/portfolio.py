@@ -20,6 +20,7 @@ from ledgerloom.operators import (
     loan_book,
     ranking,
     rules,
+    search,
     trajectory,
 )
 from ledgerloom.operators.borrower_state import build_borrower_state
@@ -45,6 +46,8 @@ PUBLISHED = {
     "recommendations": "staged",
     "recommendations_before": "earlier_staged",
     "customer_360": "published_360",
+    "name_grams": "name_grams",
+    "gram_counts": "gram_counts",
 }
 
 
@@ -307,6 +310,17 @@ class Portfolio:
         """The same rows as a table, which the application queries read."""
         return self._by_borrower(self.customer_360, "customer_360")
 
+    @published_table
+    def name_grams(self) -> DataFrame:
+        """Posting lists of the borrowers' ids and names, each in few row groups."""
+        grams = search.postings(self.published_360).repartitionByRange("gram", "borrower_id")
+        return self._table(grams.sortWithinPartitions("gram", "borrower_id"), "name_grams")
+
+    @published_table
+    def gram_counts(self) -> DataFrame:
+        counts = search.gram_counts(self.name_grams)
+        return self._table(counts.repartitionByRange("gram").sortWithinPartitions("gram"), "gram_counts")
+
     # --- a second build -----------------------------------------------------------------
     @cached_property
     def rebuilt(self) -> Portfolio:

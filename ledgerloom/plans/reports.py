@@ -14,6 +14,7 @@ from ledgerloom.config import (
     product_table,
 )
 from ledgerloom.functions.columns import lookup
+from ledgerloom.operators import search
 
 
 def product_bounds(spark: SparkSession, p: Params) -> DataFrame:
@@ -144,19 +145,21 @@ def flight_risk_topk(c360: DataFrame, k: int = 20) -> DataFrame:
     )
 
 
-def borrower_lookup(c360: DataFrame, search: str, limit: int = 25) -> DataFrame:
+LOOKUP_COLUMNS = [
+    "borrower_id", "full_name", "city", "borrower_asset_class", "bt_risk_score", "bt_is_a_flight_risk",
+    "ltv_expected_interest_inr", "overall_sentiment_direction", "any_ptp_made_then_missed",
+    "n_pending_recommendations",
+]
+
+
+def borrower_lookup(c360: DataFrame, text: str, limit: int = 25) -> DataFrame:
     """Borrowers whose id or name contains the text, any letter case."""
-    like = F.lit(f"%{search}%")
-    return (
-        c360.filter(F.ilike("borrower_id", like) | F.ilike("full_name", like))
-        .select(
-            "borrower_id", "full_name", "city", "borrower_asset_class", "bt_risk_score", "bt_is_a_flight_risk",
-            "ltv_expected_interest_inr", "overall_sentiment_direction", "any_ptp_made_then_missed",
-            "n_pending_recommendations",
-        )
-        .orderBy("borrower_id")
-        .limit(limit)
-    )
+    return c360.filter(search.contains(text)).select(*LOOKUP_COLUMNS).orderBy("borrower_id").limit(limit)
+
+
+def borrower_search(c360: DataFrame, grams: DataFrame, counts: DataFrame, text: str, limit: int = 25) -> DataFrame:
+    """The same through posting lists: only the rows of candidates are read."""
+    return borrower_lookup(search.candidates(c360, grams, counts, text), text, limit)
 
 
 def borrower_detail(spark: SparkSession, c360: DataFrame, borrower_id: str) -> DataFrame:

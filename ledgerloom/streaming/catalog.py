@@ -8,7 +8,7 @@ from pyspark.sql import functions as F
 from ledgerloom.operators.enrichment import INSIGHT_COLUMNS
 from ledgerloom.plans.portfolio import Portfolio, sample_decisions
 from ledgerloom.session import work_folder
-from ledgerloom.streaming import jobs
+from ledgerloom.streaming import jobs, maintained
 
 STREAM_QUERIES = {}
 
@@ -58,9 +58,34 @@ def run_refresh(pf: Portfolio) -> str:
     return out
 
 
+def refreshed(pf: Portfolio) -> str:
+    """One refresh per portfolio, for the queries that only read what it published."""
+    if "refreshed" not in pf.__dict__:
+        pf.__dict__["refreshed"] = run_refresh(pf)
+    return pf.__dict__["refreshed"]
+
+
 @stream_query
 def refresh_cycle(pf: Portfolio) -> DataFrame:
-    return jobs.current(pf.spark, run_refresh(pf), "customer_360")
+    return jobs.current(pf.spark, refreshed(pf), "customer_360")
+
+
+@stream_query
+def maintained_kpis(pf: Portfolio) -> DataFrame:
+    """The indicators from totals to which each refresh adds what it changes."""
+    return maintained.kpis(jobs.current(pf.spark, refreshed(pf), "portfolio_totals"))
+
+
+@stream_query
+def maintained_class_counts(pf: Portfolio) -> DataFrame:
+    kept = jobs.current(pf.spark, refreshed(pf), "portfolio_totals")
+    return kept.select("borrower_asset_class", F.col("borrowers").alias("n"))
+
+
+@stream_query
+def maintained_flight_risk_topk(pf: Portfolio) -> DataFrame:
+    """The first 20 flight risks from the reserve, without a look at the 360 table."""
+    return maintained.best(jobs.current(pf.spark, refreshed(pf), "flight_risk_reserve"), maintained.TOP)
 
 
 @stream_query

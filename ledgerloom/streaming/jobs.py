@@ -16,6 +16,7 @@ from ledgerloom.operators import actions, call_runs, customer360, enrichment, ru
 from ledgerloom.operators.loan_book import future_interest
 from ledgerloom.plans.portfolio import Portfolio
 from ledgerloom.sources.tables import ENTITY_SCHEMAS
+from ledgerloom.streaming import maintained
 from ledgerloom.streaming.store import Store, fitting_buckets
 
 LIVE = {"processingTime": "1 minute"}
@@ -173,6 +174,7 @@ class Cycle:
         self.buckets = None if touched is None else store.buckets_of(touched)
         self.tables: dict[str, DataFrame] = {}
         self.appended: dict[str, DataFrame] = {}
+        self.replaced: dict[str, DataFrame] = {}
 
     def old(self, name: str) -> DataFrame | None:
         """Rows of the touched borrowers as published before."""
@@ -199,10 +201,43 @@ class Cycle:
     def show(self, summary: DataFrame, recs: DataFrame) -> None:
         loans, state = of_borrowers(self.pf.scored_loans, self.touched), of_borrowers(self.pf.state, self.touched)
         ltv = future_interest(of_borrowers(self.pf.loans, self.touched))
-        self.put("customer_360", customer360.customer_360(state, loans, ltv, summary, recs))
+        self.maintain(self.put("customer_360", customer360.customer_360(state, loans, ltv, summary, recs)))
+
+    def whole(self, name: str) -> DataFrame:
+        """All rows as this version will publish them."""
+        own = self.tables[name]
+        if self.buckets is None:
+            return own
+        others = [b for b in range(self.store.buckets) if b not in set(self.buckets)]
+        kept = self.store.read(name, others, self.version) if others else None
+        return own if kept is None else own.unionByName(kept.select(*own.columns))
+
+    def maintain(self, now: DataFrame) -> None:
+        """Totals and the top of the flight risks, from the touched borrowers' old and new rows."""
+        store, version, before = self.store, self.version, self.old("customer_360")
+
+        def write(rows: DataFrame) -> DataFrame:
+            return store.append(version, "flight_risk_reserve", rows)
+
+        kept, reserve = (store.read(n, before=version) for n in ("portfolio_totals", "flight_risk_reserve"))
+        if self.touched is None or before is None or kept is None or reserve is None:
+            totals = store.append(version, "portfolio_totals", maintained.totals(now))
+            rows, floor = maintained.filled_reserve(now, write)
+        else:
+            change = maintained.added(kept, maintained.totals(before, -1), maintained.totals(now))
+            totals = store.append(version, "portfolio_totals", change)
+            known = totals.agg(F.sum("flight_risks")).first()[0] or 0
+            floors = store.read("flight_risk_floor", before=version).collect()
+            rows, floor, _ = maintained.kept_reserve(
+                reserve, floors[0] if floors else None, self.touched, maintained.flight_risks(now),
+                lambda: self.whole("customer_360"), write, known,
+            )
+        edge = rows.select(maintained.VALUE, "borrower_id").schema
+        floor = store.append(version, "flight_risk_floor", self.pf.spark.createDataFrame([floor] if floor else [], edge))
+        self.replaced |= {"portfolio_totals": totals, "flight_risk_reserve": rows, "flight_risk_floor": floor}
 
     def commit(self) -> None:
-        self.store.commit(self.version, self.tables, self.buckets, self.appended)
+        self.store.commit(self.version, self.tables, self.buckets, self.appended, self.replaced)
 
 
 def refresh(pf: Portfolio, store: Store, version: int, batch: DataFrame | None = None) -> None:

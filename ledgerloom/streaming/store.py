@@ -105,16 +105,19 @@ class Store:
         return self.spark.read.schema(rows.schema).parquet(path)
 
     def commit(
-        self, version: int, tables: dict[str, DataFrame], buckets: list[int] | None, appended: dict[str, DataFrame] | None = None
+        self, version: int, tables: dict[str, DataFrame], buckets: list[int] | None,
+        appended: dict[str, DataFrame] | None = None, replaced: dict[str, DataFrame] | None = None,
     ) -> None:
-        """Make ``tables`` as written the rows of ``buckets`` (None: of all), and add what was appended."""
+        """Make ``tables`` as written the rows of ``buckets`` (None: of all), and add what was appended; what was
+        appended to take the place of a small table as a whole is its only content from now on."""
         heads = self.heads(version)
         heads["", -1] = (self.buckets, "")
         for name, rows in tables.items():
             heads[name, -1] = (version, rows.schema.json())
             for b in range(self.buckets) if buckets is None else buckets:
                 heads[name, b] = (version, "")
-        for name, rows in (appended or {}).items():
+        heads = {key: v for key, v in heads.items() if key[0] not in (replaced or {})}
+        for name, rows in {**(appended or {}), **(replaced or {})}.items():
             heads[name, -1] = (version, rows.schema.json())
             heads[name, -2 - version] = (version, "")
         rows = [(name, b, v, s) for (name, b), (v, s) in sorted(heads.items())]
