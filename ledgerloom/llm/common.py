@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from contextlib import contextmanager
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -17,13 +19,40 @@ def id_and_text(docs: DataFrame, id_col: str = "doc_id") -> DataFrame:
     return docs.select(F.col(id_col).cast("bigint").alias(id_col), F.col("text").cast("string").alias("text"))
 
 
-def stored(df: DataFrame, purpose: str) -> DataFrame:
+#: Paths stored inside the ``temporary`` blocks that are open, innermost last.
+_OPEN: list[list[str]] = []
+
+
+def stored(df: DataFrame, purpose: str, lasting: bool = False) -> DataFrame:
     """Write once to the shared folder and read back: later readers prune columns, and a lost
-    executor costs its running tasks only."""
+    executor costs its running tasks only.  A ``lasting`` table outlives the innermost ``temporary`` block."""
     spark = df.sparkSession
     path = work_folder(spark, purpose)
+    around = _OPEN[:-1] if lasting else _OPEN
+    if around:
+        around[-1].append(path)
     df.write.parquet(path)
-    return spark.read.schema(df.schema).parquet(path)
+    out = spark.read.schema(df.schema).parquet(path)
+    out.stored_at = path
+    return out
+
+
+def erase(spark: SparkSession, *paths: str) -> None:
+    for name in paths:
+        path = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(name)
+        path.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(path, True)
+
+
+@contextmanager
+def temporary(spark: SparkSession):
+    """Tables stored inside the block go when it is left; its result must be stored as ``lasting``."""
+    own: list[str] = []
+    _OPEN.append(own)
+    try:
+        yield
+    finally:
+        _OPEN.remove(own)
+        erase(spark, *own)
 
 
 def text_bytes(docs: DataFrame) -> int:

@@ -40,7 +40,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from ledgerloom.llm.common import id_and_text, stored
+from ledgerloom.llm.common import erase, id_and_text, stored, temporary
 from ledgerloom.llm.components import connected_components
 from ledgerloom.llm.textblocks import mix, raw_texts, slices, window_hashes, window_starts, word_hashes, words_of
 
@@ -308,6 +308,7 @@ def near_duplicates(
     reps = signed.join(classes.select("set_key", F.col("rep").alias("doc_id")), ["set_key", "doc_id"], "left_semi")
     reps = reps.dropDuplicates(["set_key", "doc_id"]).select(F.col("doc_id").alias("node"), "bands", *WORDS)
     reps = stored(reps, "representatives")
+    erase(docs.sparkSession, signed.stored_at)  # all that is needed of it has been stored anew
     keyed = reps.select("node", F.explode("bands").alias("key"))
     shared = keyed.groupBy("key").agg(F.min("node").alias("low"), F.max("node").alias("high"))
     shared = stored(shared.filter("low < high").select("key"), "shared")
@@ -353,9 +354,10 @@ def near_duplicates(
 def drop_near_duplicates(docs: DataFrame, **options) -> DataFrame:
     """``docs`` with all its columns, of each group the document with the smallest id; rows that
     repeat an id and a text become one."""
-    found = near_duplicates(docs, **options).filter("kept")
-    kept = found.groupBy(F.col("doc_id").alias("_id"), F.col("text_hash").alias("_hash")).agg(F.count("*").alias("_n"))
-    kept = stored(kept, "kept")
+    with temporary(docs.sparkSession):
+        found = near_duplicates(docs, **options).filter("kept")
+        kept = found.groupBy(F.col("doc_id").alias("_id"), F.col("text_hash").alias("_hash")).agg(F.count("*").alias("_n"))
+        kept = stored(kept, "kept", lasting=True)
     rows = docs.withColumn("_text_hash", F.xxhash64(F.col("text").cast("string")))
     same = F.col("doc_id").cast("bigint").eqNullSafe(F.col("_id")) & (F.col("_text_hash") == F.col("_hash"))
     rows = rows.join(kept, same, "left_semi")
