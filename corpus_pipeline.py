@@ -10,7 +10,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from ledgerloom.llm.common import stored, table
+from ledgerloom.llm.common import stored, table, temporary
 from ledgerloom.llm.decontaminate import few, phrase_matches
 from ledgerloom.llm.near_dedup import drop_near_duplicates
 from ledgerloom.llm.packing import pack_documents
@@ -34,8 +34,10 @@ def near_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 def decontamination(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents without any passage of the benchmark."""
-    found = phrase_matches(docs, table(spark, sf_dir, "benchmark"))
-    hit = few(stored(found.select(F.col("doc_id").alias("_hit")).distinct(), "contaminated"), MOST_IDS)
+    with temporary(spark):
+        found = phrase_matches(docs, table(spark, sf_dir, "benchmark"))
+        hit = stored(found.select(F.col("doc_id").alias("_hit")).distinct(), "contaminated", lasting=True)
+    hit = few(hit, MOST_IDS)
     return docs.join(hit, docs["doc_id"] == hit["_hit"], "left_anti")
 
 
