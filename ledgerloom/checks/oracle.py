@@ -286,6 +286,7 @@ add("generation_difference", f"""
 SELECT {_cols}, found_in, count(*) AS times
 FROM (SELECT *, 'first' AS found_in FROM (SELECT {_cols} FROM x_rec_before EXCEPT ALL SELECT {_cols} FROM x_rec)
       UNION ALL SELECT *, 'second' AS found_in FROM (SELECT {_cols} FROM x_rec EXCEPT ALL SELECT {_cols} FROM x_rec_before)) GROUP BY ALL""")
+SQL["generation_difference_by_digest"] = SQL["generation_difference"]
 
 
 def _contract(table: str, source: str, key: str, required: list[str], enums: dict[str, list[str]]) -> list[str]:

@@ -12,7 +12,7 @@ from ledgerloom.config import DEMO_BORROWERS, economic_table, product_table, rat
 from ledgerloom.functions import text as tx
 from ledgerloom.functions.columns import bucket, strict_greatest, strict_least
 from ledgerloom.functions.finance import instalment
-from ledgerloom.operators import actions, borrower_state, customer360, documents, economics, enrichment
+from ledgerloom.operators import actions, borrower_state, customer360, digests, documents, economics, enrichment
 from ledgerloom.operators import loan_book, ranking, rules, trajectory
 from ledgerloom.plans import evaluation, quality, reports, spend
 from ledgerloom.plans.portfolio import Portfolio, sample_decisions
@@ -682,8 +682,11 @@ def document_insight(pf):
 # --- quality and evaluation ------------------------------------------------------------------------------------------
 @query
 def standing_assertions(pf):
+    """Against a second decision over the same inputs: it is the deciding half that must repeat itself.  Two whole
+    builds are compared by ``determinism``."""
+    again = pf.decided_again
     return quality.standing_assertions(
-        pf.recs, pf.rebuilt.log, pf.state, pf.loan_economics, pf.loans, pf.baseline
+        pf.recs, rules.decision_log(again), pf.state, pf.loan_economics, pf.loans, quality.baseline(again)
     )
 
 
@@ -712,6 +715,15 @@ def generation_difference(pf):
     return quality.run_difference(pf.earlier_recs, pf.recs)
 
 
+@query
+def generation_difference_by_digest(pf):
+    """The same found by descent of two digest trees; only leaves that differ are compared."""
+    depth = digests.depth_for(pf.earlier_recs.count())
+    before = pf.digested(pf.earlier_recs, depth)
+    tree = digests.tree(before, quality.DECISION_COLUMNS, depth)
+    return quality.difference_by_digest(before, tree, pf.digested(pf.recs, depth), depth)
+
+
 @query
 def data_contracts(pf):
     p = quality.contract

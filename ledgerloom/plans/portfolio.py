@@ -14,6 +14,7 @@ from ledgerloom.functions.columns import bucket, moment, pick
 from ledgerloom.operators import (
     actions,
     customer360,
+    digests,
     documents,
     economics,
     enrichment,
@@ -48,6 +49,8 @@ PUBLISHED = {
     "customer_360": "published_360",
     "name_grams": "name_grams",
     "gram_counts": "gram_counts",
+    "baseline": "baseline_rows",
+    "baseline_digests": "baseline_tree",
 }
 
 
@@ -321,7 +324,36 @@ class Portfolio:
         counts = search.gram_counts(self.name_grams)
         return self._table(counts.repartitionByRange("gram").sortWithinPartitions("gram"), "gram_counts")
 
-    # --- a second build -----------------------------------------------------------------
+    # --- the kept baseline -----------------------------------------------------------------
+    def digested(self, recs: DataFrame, depth: int) -> DataFrame:
+        return digests.with_leaf(quality.baseline(recs), quality.DECISION_KEY, depth)
+
+    @published_table
+    def baseline_rows(self) -> DataFrame:
+        """What was decided, kept with the published tables: sorted by leaf of the digest tree."""
+        rows = self.digested(self.recs, digests.depth_for(self.recs.count()))
+        return self._table(rows.repartitionByRange("leaf").sortWithinPartitions("leaf"), "baseline")
+
+    @published_table
+    def baseline_tree(self) -> DataFrame:
+        depth = digests.depth_for(self.recs.count())
+        return self._table(digests.tree(self.baseline_rows, quality.DECISION_COLUMNS, depth).coalesce(1), "baseline_digests")
+
+    def changed_since(self, earlier: Portfolio, recs: DataFrame | None = None) -> DataFrame:
+        """Decisions that differ from an earlier, published run; equal runs cost a look at two roots."""
+        depth = digests.depth_of(earlier.baseline_tree)
+        rows = self.digested(self.recs if recs is None else recs, depth)
+        return quality.difference_by_digest(earlier.baseline_rows, earlier.baseline_tree, rows, depth)
+
+    # --- a second decision and a second build ------------------------------------------------
+    @cached_property
+    def decided_again(self) -> DataFrame:
+        """The rules over the same stored inputs, dealt over another number of partitions."""
+        partitions = int(self.spark.conf.get("spark.sql.shuffle.partitions")) + 3
+        loans = self.scored_loans.repartition(partitions, "loan_id")
+        candidates = rules.nba_candidates(loans, self.state, self.mandates, self.trajectory)
+        return self._table(rules.stage_recommendations(self.spark, candidates, self.p), "decided_again")
+
     @cached_property
     def rebuilt(self) -> Portfolio:
         """The same inputs built again in another folder, with another number of partitions: what

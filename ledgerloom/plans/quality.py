@@ -8,6 +8,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from ledgerloom.config import DISCLOSED_ACTIONS
+from ledgerloom.operators import digests
 from ledgerloom.operators.economics import STANCE_DISTRESS
 
 # --- fixed values: names and intents of the nine assertions ----------------------
@@ -44,8 +45,12 @@ def _fields(name: tuple[str, str], figure: str):
     )
 
 
+DECISION_KEY = ["borrower_id", "loan_id"]
+DECISION_COLUMNS = [*DECISION_KEY, "action_code", "rule_basis"]
+
+
 def baseline(recs: DataFrame) -> DataFrame:
-    return recs.select("borrower_id", "loan_id", "action_code", "rule_basis")
+    return recs.select(*DECISION_COLUMNS)
 
 
 def changed_actions(base: DataFrame, recs: DataFrame) -> DataFrame:
@@ -103,6 +108,14 @@ def run_difference(first: DataFrame, second: DataFrame) -> DataFrame:
     )
 
 
+def difference_by_digest(first: DataFrame, first_tree: DataFrame, second: DataFrame, depth: int) -> DataFrame:
+    """``run_difference`` of two runs whose rows carry their ``leaf``: only leaves that differ are compared."""
+    leaves = digests.differing_leaves(first_tree, digests.tree(second, DECISION_COLUMNS, depth), depth)
+    if leaves is None:
+        return run_difference(first.limit(0), second.limit(0))
+    return run_difference(digests.of_leaves(first, leaves), digests.of_leaves(second, leaves))
+
+
 def contract(df: DataFrame, table: str, key: list[str], required: list[str], enums: dict[str, list[str]]) -> DataFrame:
     """Violations of a table's declared key, required columns and allowed values.
 
