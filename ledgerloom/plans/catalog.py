@@ -472,13 +472,19 @@ def earlier_queue(pf):
     return actions.create_team_tasks(recs, None, pf.p)
 
 
+def half_queue(pf):
+    """The earlier queue as a run that stopped halfway left it."""
+    return earlier_queue(pf).filter(bucket(["recommendation_id"], "queued", 2) == 0)
+
+
 @query
 def team_tasks(pf):
-    """Tasks of the earlier generation, topped up once the new generation was reviewed too."""
+    """Tasks of the earlier generation, topped up once the new generation was reviewed too: those there are stay,
+    those missing are inserted."""
     _, old_log, _ = decided_before(pf)
     recs, log = actions.carry_decision(pf.recs, pf.log, old_log)
     recs, _, _ = actions.apply_decisions(recs, log, sample_decisions(recs, pf.p))
-    return actions.create_team_tasks(recs, earlier_queue(pf), pf.p)
+    return actions.create_team_tasks(recs, half_queue(pf), pf.p)
 
 
 @query

@@ -16,7 +16,7 @@ SESSION_DEFAULTS = {
     # Split a hot borrower's rows even where that costs one more exchange.
     "spark.sql.adaptive.forceOptimizeSkewedJoin": "true",
     "spark.sql.session.timeZone": "UTC",
-    # Pairing keeps a few fields of every call; that state belongs on disk, not on the heap.
+    # Streaming state, where a caller's query keeps any, belongs on disk, not on the heap.
     "spark.sql.streaming.stateStore.providerClass": (
         "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider"
     ),

@@ -81,6 +81,13 @@ def test_other_parameters_and_unfinished_folders_are_refused(spark, pf, tmp_path
         Portfolio.open(spark, str(tmp_path), SF_DIR)
 
 
+def test_tasks_are_kept_and_inserted(pf):
+    tasks, queue = catalog.QUERIES["team_tasks"](pf), catalog.half_queue(pf)
+    kept = tasks.join(queue.select("task_id"), "task_id", "left_semi").count()
+    assert kept == queue.count() > 0 and tasks.count() > kept
+    assert tasks.select("recommendation_id").distinct().count() == tasks.count()
+
+
 def test_mandate_numbers_step_over_the_demo_ones(spark, pf, tmp_path):
     p = dataclasses.replace(Params(), demo_mandate_from=20)
     ranking.cut_by_range(loan_book.mandated_loans(pf.loans), "loan_id").write.parquet(f"{tmp_path}/cut")
