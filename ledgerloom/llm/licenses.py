@@ -4,8 +4,11 @@ DataFrame functions only.  A document's units are its lines, its sentences (cut
 and not), and all runs of consecutive lines, so also paragraphs and whole texts; a run has at most (2 - t) / t times the template's words.  Units and templates
 are normalised alike: A-Z lower-cased, everything but letters and digits taken as white space.
 With a and b different bigrams and c common ones, the coefficient is 2 c / (a + b), so it can reach
-t only if c is at least t b / (2 - t).  An inverted index of the templates' bigrams leaves the few
-texts that share so many with a template; only there units are built and compared.
+t only if c is at least t b / (2 - t).  So of any b - c + 1 of the template's bigrams a text holds one:
+those with the longest words give each template its anchors, and an inverted index of anchors leaves the
+texts that may hold it and are long enough.  There an inverted index of bigrams gives the places of each
+template's bigrams.  A run is read only from a line from which so many places lie within the run's greatest
+length; it meets the text by blocks of words, so a long text costs no more than its length.
 
 Defined cases: null and empty texts hold nothing; a unit of one word has no bigrams; units that
 occur more than once in a document count once; rows that repeat a ``doc_id`` are scanned as one
@@ -27,6 +30,8 @@ DICE = 0.8
 #: Where a text is cut into units: at line ends, and behind a full stop, question or exclamation mark.
 LINES, SENTENCES = r"[\n\r]+", r"[\n\r]+|[.!?][ \t]+"
 
+BLOCK = 128  # words
+
 #: Sentences over line ends; a blank line ends one.
 WRAPPED = r"[.!?][ \t\n\r]+|\r?\n[ \t]*\r?\n"
 
@@ -65,8 +70,14 @@ def _table(spark: SparkSession, known: list[tuple[str, str]]) -> DataFrame:
     return spark.range(1).select(F.inline(rows))
 
 
+def _pieces(text: Column) -> Column:
+    """Words, and an empty one where the text begins or ends with separators.  ``lower`` changes A-Z only if all is ASCII."""
+    lowered = F.when(F.octet_length(text) == F.length(text), F.lower(text)).otherwise(F.translate(text, UPPER, LOWER))
+    return F.split(lowered, SEPARATORS + "+")
+
+
 def _words(text: Column) -> Column:
-    return F.filter(F.split(F.translate(text, UPPER, LOWER), SEPARATORS + "+"), lambda w: w != "")
+    return F.filter(_pieces(text), lambda w: w != "")
 
 
 def _bigrams(words: str | Column) -> Column:
@@ -83,22 +94,37 @@ def find_licenses(docs: DataFrame, notices: DataFrame, least: float = DICE) -> D
     known = stored(known.dropDuplicates(["license", "template"]).withColumn("b", F.size("bigrams")), "templates")
     names = few(stored(known.select("license", "template"), "template-names"))
     own = known.select("template", "b", "n", "bigrams").dropDuplicates(["template"])
-    index = few(stored(own.select("template", "b", "n", F.explode("bigrams").alias("bigram")), "template-bigrams"))
+    need = F.ceil(share * F.col("b") - 1e-9).cast("int").alias("need")
+    index = few(stored(own.select("template", "b", "n", need, F.explode("bigrams").alias("bigram")), "template-bigrams"))
+    anchors = few(stored(_anchors(index), "template-anchors"))
 
-    # A unit shares at least ``share * b`` bigrams with its template, so its text does.
+    # A unit shares at least ``need`` bigrams with its template, so its text does.
     docs = id_and_text(docs).filter("doc_id is not null and text <> ''").withColumn("row", F.xxhash64("text"))
-    paired = docs.select("doc_id", "row", _bigrams(_words(F.col("text"))).alias("bigrams")).withColumn("a", F.size("bigrams")).filter("a > 0")
-    met = paired.select("doc_id", "row", "a", F.explode("bigrams").alias("bigram")).join(index, "bigram").filter(F.col("a") >= share * F.col("b"))
-    may = met.groupBy("doc_id", "row", "template", "b").agg(F.count("*").alias("c")).filter(F.col("c") >= share * F.col("b"))
-    may = stored(may.select("doc_id", "row", "template"), "may-hold")
-    held = docs.join(may.select("doc_id", "row").distinct(), ["doc_id", "row"], "left_semi")
+    pieces = docs.select("doc_id", "row", _pieces(F.col("text")).alias("pieces")).withColumn("size", F.size("pieces"))
+    asked = pieces.select("doc_id", "row", "size", F.explode("pieces").alias("word")).join(anchors, "word").filter("size > need")
+    asked = stored(asked.select("doc_id", "row", "template").distinct(), "asked")
+    held = docs.join(asked.select("doc_id", "row").distinct(), ["doc_id", "row"], "left_semi")
     held = stored(held.dropDuplicates(["doc_id", "row"]), "texts")
+    hits = _places(held).join(index, "bigram").join(asked, ["doc_id", "row", "template"], "left_semi")
+    hits = stored(hits.withColumn("bigram", F.xxhash64("bigram")), "hits")
+    may = hits.groupBy("doc_id", "row", "template", "need").agg(F.count_distinct("bigram").alias("c")).filter("c >= need")
+    may = stored(may.select("doc_id", "row", "template"), "may-hold")
+    held = held.join(may.select("doc_id", "row").distinct(), ["doc_id", "row"], "left_semi")
 
-    best = _of_units(held, index, least).unionByName(_of_runs(held, may, index, least))
+    best = _of_units(held, index, least).unionByName(_of_runs(held, hits.join(may, ["doc_id", "row", "template"], "left_semi"), index, least))
     found = best.groupBy("doc_id", "template").agg(F.max("dice").alias("dice"))
     return found.join(names, "template").groupBy("doc_id", "license").agg(F.max("dice").alias("dice"))
 
 
+def _anchors(index: DataFrame) -> DataFrame:
+    """``word, template, need``: a text with ``need`` of a template's bigrams holds one of its anchors."""
+    one, other = F.split("bigram", " ")[0], F.split("bigram", " ")[1]
+    longer = F.when(F.length(one) >= F.length(other), one).otherwise(other)
+    ranked = index.withColumn("word", longer)
+    rank = F.row_number().over(W.partitionBy("template").orderBy(F.length("word").desc(), "word", "bigram"))
+    return ranked.withColumn("rank", rank).filter("rank <= b - need + 1").select("word", "template", "need").distinct()
+
+
 def _of_units(held: DataFrame, index: DataFrame, least: float) -> DataFrame:
     """``doc_id, template, dice`` of lines and of sentences, also wrapped ones, however many words they repeat."""
     text = F.col("text")
@@ -112,32 +138,45 @@ def _of_units(held: DataFrame, index: DataFrame, least: float) -> DataFrame:
     return common.withColumn("dice", dice).filter(F.col("dice") >= least).select("doc_id", "template", "dice")
 
 
-def _of_runs(held: DataFrame, may: DataFrame, index: DataFrame, least: float) -> DataFrame:
-    """``doc_id, template, dice`` of runs of lines.  The best run begins in a line in which one
-    of the template's bigrams begins: without another first line it would be no worse."""
+def _places(held: DataFrame) -> DataFrame:
+    """``doc_id, row, p, bigram, k, end, first`` for every two words in a row: where they stand, the lines
+    of both, and where the first one's line begins."""
     words = F.flatten(
-        F.transform(F.split("text", LINES), lambda x, k: F.transform(_words(x), lambda w: F.struct(w.alias("word"), k.alias("k"))))
+        F.transform(F.split("text", LINES), lambda x, k: F.transform(_words(x), lambda w, i: F.struct(w.alias("word"), k.alias("k"), i.alias("i"))))
     )
     n = F.greatest(F.size("words") - 1, F.lit(0))
-    pair = lambda x, y: F.struct(F.concat(x["word"], F.lit(" "), y["word"]).alias("bigram"), x["k"].alias("k"), y["k"].alias("end"))
+    pair = lambda x, y: F.struct(F.concat(x["word"], F.lit(" "), y["word"]).alias("bigram"), x["k"].alias("k"), y["k"].alias("end"), x["i"].alias("i"))
     pairs = F.zip_with(F.slice("words", 1, n), F.slice("words", 2, n), pair)
     placed = held.select("doc_id", "row", words.alias("words")).select("doc_id", "row", F.posexplode(pairs).alias("p", "pair"))
-    placed = placed.select("doc_id", "row", "p", "pair.bigram", "pair.k", "pair.end")
-    # A bigram counts in a run unless the run holds its last occurrence too.
-    placed = placed.withColumn("last", F.lag("k").over(W.partitionBy("doc_id", "row", "bigram").orderBy("p")))
-    placed = stored(placed.withColumn("first", F.min("p").over(W.partitionBy("doc_id", "row", "k"))), "places")
+    return placed.select("doc_id", "row", "p", "pair.bigram", "pair.k", "pair.end", (F.col("p") - F.col("pair.i")).alias("first"))
 
-    most = F.floor(F.col("n") * (2 - least) / least).cast("int").alias("most")
-    starts = placed.join(index, "bigram").join(may, ["doc_id", "row", "template"], "left_semi")
-    starts = stored(starts.select("doc_id", "row", "template", "b", most, F.col("k").alias("start"), "first").distinct(), "starts")
-    ahead = placed.drop("k", "first").join(starts, ["doc_id", "row"]).filter("p between first and first + most and (last is null or last < start or p = first + most)")
+
+def _of_runs(held: DataFrame, hits: DataFrame, index: DataFrame, least: float) -> DataFrame:
+    """``doc_id, template, dice`` of runs of lines.  The best run begins in a line in which one
+    of the template's bigrams begins: without another first line it would be no worse."""
+    text = ["doc_id", "row"]
+    hits = hits.withColumn("most", F.floor(F.col("n") * (2 - least) / least + 1e-9).cast("int"))
+    # From a line's first hit the ``need``-th must lie in the longest run.
+    hits = hits.withColumn("r", F.row_number().over(W.partitionBy(*text, "template").orderBy("p")))
+    lines = hits.groupBy(*text, "template", "b", "most", "need", "k", "first").agg(F.min("r").alias("r"))
+    reached = hits.select(*text, "template", F.col("r").alias("reached"), F.col("p").alias("at"))
+    lines = lines.withColumn("reached", F.col("r") + F.col("need") - 1).join(reached, [*text, "template", "reached"])
+    starts = lines.filter("at < first + most - 1").select(*text, "template", "b", "most", F.col("k").alias("start"), "first")
+    starts = stored(starts, "starts")
+
+    # A bigram counts in a run unless the run holds its last occurrence too.
+    placed = _places(held.join(starts.select(*text).distinct(), text, "left_semi")).withColumn("key", F.xxhash64("bigram"))
+    placed = placed.select(*text, "p", "key", "k", "end").withColumn("last", F.lag("k").over(W.partitionBy(*text, "key").orderBy("p")))
+    placed = placed.withColumn("block", F.expr(f"p div {BLOCK}"))
+    blocks = F.sequence(F.expr(f"first div {BLOCK}"), F.expr(f"(first + most - 1) div {BLOCK}"))
+    ahead = placed.drop("k").join(starts.withColumn("block", F.explode(blocks)), [*text, "block"])
+    ahead = ahead.filter("p between first and first + most - 1 and (last is null or last < start or p = first + most - 1)")
     ahead = ahead.withColumn("new", F.expr("int(last is null or last < start)"))
-    mine = index.select("template", "bigram", F.lit(1).alias("mine"))
-    group = ["doc_id", "row", "template", "b", "most", "start", "first"]
-    ends = ahead.join(mine, ["template", "bigram"], "left").groupBy(*group, "end")
+    mine = index.select("template", F.xxhash64("bigram").alias("key"), F.lit(1).alias("mine"))
+    ends = ahead.join(mine, ["template", "key"], "left").groupBy(*text, "template", "b", "most", "start", "first", "end")
     ends = ends.agg(F.sum("new").alias("a"), F.sum(F.col("new") * F.coalesce("mine", F.lit(0))).alias("c"), F.max("p").alias("p"))
-    so_far = W.partitionBy("doc_id", "row", "template", "start").orderBy("end").rowsBetween(W.unboundedPreceding, 0)
-    runs = ends.withColumn("a", F.sum("a").over(so_far)).withColumn("c", F.sum("c").over(so_far)).filter("p < first + most")
+    so_far = W.partitionBy(*text, "template", "start").orderBy("end").rowsBetween(W.unboundedPreceding, 0)
+    runs = ends.withColumn("a", F.sum("a").over(so_far)).withColumn("c", F.sum("c").over(so_far)).filter("p < first + most - 1")
     return runs.withColumn("dice", 2 * F.col("c") / (F.col("a") + F.col("b"))).filter(F.col("dice") >= least).select("doc_id", "template", "dice")
 
 

@@ -49,3 +49,15 @@ def test_report_and_defined_cases(spark):
     assert got == [(1, 1, "MIT", 1.0), (2, 0, "", None)]
     assert license_report(docs.limit(0), templates(spark)).count() == 0
     assert find_licenses(docs, templates(spark).limit(0)).count() == 0
+
+
+def test_a_long_text_and_a_hot_row(spark):
+    words = "the work is under terms of this license version licensed and a public".split()
+    rng = random.Random(3)
+    filler = lambda n: "\n".join(" ".join(rng.choice(words) for _ in range(9)) for _ in range(n))
+    notice = TEMPLATES[6][1]
+    rows = [(1, f"{filler(3000)}\n{notice}\n{filler(3000)}")] + [(2, notice)] * 300
+    got = {}
+    for r in find_licenses(spark.createDataFrame([(d, t, "x", 0) for d, t in rows], SCHEMA), templates(spark)).collect():
+        got.setdefault(r["doc_id"], {})[r["license"]] = r["dice"]
+    assert got[1]["GPL-3.0"] == 1 and got[2] == brute_force(notice)
