@@ -5,10 +5,11 @@ and not), and all runs of consecutive lines, so also paragraphs and whole texts;
 are normalised alike: A-Z lower-cased, everything but letters and digits taken as white space.
 With a and b different bigrams and c common ones, the coefficient is 2 c / (a + b), so it can reach
 t only if c is at least t b / (2 - t).  So of any b - c + 1 of the template's bigrams a text holds one:
-those with the longest words give each template its anchors, and an inverted index of anchors leaves the
-texts that may hold it and are long enough.  There an inverted index of bigrams gives the places of each
-template's bigrams.  A run is read only from a line from which so many places lie within the run's greatest
-length; it meets the text by blocks of words, so a long text costs no more than its length.
+those with the longest words give each template its anchors, and a text is read on only if it holds an
+anchor of a template that it is long enough for.  An inverted index of bigrams then leaves the texts that
+share so many with a template, and gives the places of its bigrams in texts of several lines.  A run is read
+only from a line from which so many places lie within the run's greatest length; it meets the text by
+blocks of words, so a long text costs no more than its length.
 
 Defined cases: null and empty texts hold nothing; a unit of one word has no bigrams; units that
 occur more than once in a document count once; rows that repeat a ``doc_id`` are scanned as one
@@ -31,6 +32,8 @@ DICE = 0.8
 LINES, SENTENCES = r"[\n\r]+", r"[\n\r]+|[.!?][ \t]+"
 
 BLOCK = 128  # words
+ANCHORS = 20_000  # words that are sent with the tasks
+SIZES = [0, 16, 128, 1024]  # templates of like size share a test for anchors
 
 #: Sentences over line ends; a blank line ends one.
 WRAPPED = r"[.!?][ \t\n\r]+|\r?\n[ \t]*\r?\n"
@@ -96,22 +99,17 @@ def find_licenses(docs: DataFrame, notices: DataFrame, least: float = DICE) -> D
     own = known.select("template", "b", "n", "bigrams").dropDuplicates(["template"])
     need = F.ceil(share * F.col("b") - 1e-9).cast("int").alias("need")
     index = few(stored(own.select("template", "b", "n", need, F.explode("bigrams").alias("bigram")), "template-bigrams"))
-    anchors = few(stored(_anchors(index), "template-anchors"))
 
     # A unit shares at least ``need`` bigrams with its template, so its text does.
     docs = id_and_text(docs).filter("doc_id is not null and text <> ''").withColumn("row", F.xxhash64("text"))
-    pieces = docs.select("doc_id", "row", _pieces(F.col("text")).alias("pieces")).withColumn("size", F.size("pieces"))
-    asked = pieces.select("doc_id", "row", "size", F.explode("pieces").alias("word")).join(anchors, "word").filter("size > need")
-    asked = stored(asked.select("doc_id", "row", "template").distinct(), "asked")
-    held = docs.join(asked.select("doc_id", "row").distinct(), ["doc_id", "row"], "left_semi")
+    held = docs.filter(_may_hold(stored(_anchors(index), "template-anchors")))
     held = stored(held.dropDuplicates(["doc_id", "row"]), "texts")
-    hits = _places(held).join(index, "bigram").join(asked, ["doc_id", "row", "template"], "left_semi")
-    hits = stored(hits.withColumn("bigram", F.xxhash64("bigram")), "hits")
-    may = hits.groupBy("doc_id", "row", "template", "need").agg(F.count_distinct("bigram").alias("c")).filter("c >= need")
-    may = stored(may.select("doc_id", "row", "template"), "may-hold")
+    paired = held.select("doc_id", "row", F.explode(_bigrams(_words(F.col("text")))).alias("bigram")).join(index, "bigram")
+    may = paired.groupBy("doc_id", "row", "template", "need").agg(F.count("*").alias("c")).filter("c >= need")
+    may = few(stored(may.select("doc_id", "row", "template"), "may-hold"))
     held = held.join(may.select("doc_id", "row").distinct(), ["doc_id", "row"], "left_semi")
 
-    best = _of_units(held, index, least).unionByName(_of_runs(held, hits.join(may, ["doc_id", "row", "template"], "left_semi"), index, least))
+    best = _of_units(held, index, least).unionByName(_of_runs(held, may, index, least))
     found = best.groupBy("doc_id", "template").agg(F.max("dice").alias("dice"))
     return found.join(names, "template").groupBy("doc_id", "license").agg(F.max("dice").alias("dice"))
 
@@ -125,6 +123,23 @@ def _anchors(index: DataFrame) -> DataFrame:
     return ranked.withColumn("rank", rank).filter("rank <= b - need + 1").select("word", "template", "need").distinct()
 
 
+def _may_hold(anchors: DataFrame) -> Column:
+    """Whether a text holds an anchor of templates that it has words enough for; more than ``ANCHORS`` rule out nothing."""
+    known = anchors.limit(ANCHORS + 1).collect()
+    if len(known) > ANCHORS:
+        return F.lit(True)
+    tiers = [(low, sorted({r["word"] for r in known if low <= r["need"] < high})) for low, high in zip(SIZES, [*SIZES[1:], float("inf")])]
+
+    def tests(pieces: Column) -> Column:
+        found = F.lit(False)
+        for low, words in tiers:
+            if words:
+                found |= (F.size(pieces) > low) & F.arrays_overlap(pieces, F.array(*map(F.lit, words)))
+        return found
+
+    return F.exists(F.array(_pieces(F.col("text"))), tests)  # cuts a text once for all tests
+
+
 def _of_units(held: DataFrame, index: DataFrame, least: float) -> DataFrame:
     """``doc_id, template, dice`` of lines and of sentences, also wrapped ones, however many words they repeat."""
     text = F.col("text")
@@ -151,10 +166,12 @@ def _places(held: DataFrame) -> DataFrame:
     return placed.select("doc_id", "row", "p", "pair.bigram", "pair.k", "pair.end", (F.col("p") - F.col("pair.i")).alias("first"))
 
 
-def _of_runs(held: DataFrame, hits: DataFrame, index: DataFrame, least: float) -> DataFrame:
+def _of_runs(held: DataFrame, may: DataFrame, index: DataFrame, least: float) -> DataFrame:
     """``doc_id, template, dice`` of runs of lines.  The best run begins in a line in which one
     of the template's bigrams begins: without another first line it would be no worse."""
     text = ["doc_id", "row"]
+    held = held.filter(F.col("text").rlike(LINES))  # one line is a unit
+    hits = _places(held).join(index, "bigram").join(may, [*text, "template"], "left_semi").drop("bigram", "end")
     hits = hits.withColumn("most", F.floor(F.col("n") * (2 - least) / least + 1e-9).cast("int"))
     # From a line's first hit the ``need``-th must lie in the longest run.
     hits = hits.withColumn("r", F.row_number().over(W.partitionBy(*text, "template").orderBy("p")))
