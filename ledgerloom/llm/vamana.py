@@ -7,13 +7,17 @@ edges point in different directions.  Back edges are pruned alike.  Two passes,
 the relaxed ``alpha``.  A shard's graph is one stored row.  Queries go in blocks to every shard,
 search it with a beam, and the exact distances of what the beams found are merged.
 
+Graphs hold single precision, of vectors shifted to the shard's mean and scaled in double precision,
+and take distances from differences, so neither the origin nor the unit matters.  A query further
+than ``FAR`` times the shard's extent from its mean is compared with the whole shard in double precision.
+
 Equal vectors are one point of the graph.  Their ids are looked up behind the search, of each
 point the ``k + 1`` smallest, which is all that can be among the ``k`` nearest.
 
 Defined cases: vectors that are null, zero, empty, or hold null or non-finite numbers take no part;
 vectors of different lengths are never compared; rows that repeat an id and a vector count once;
 rows without an id are no candidates and no queries; fewer candidates than ``k`` are all returned;
-an empty table gives an empty result.
+an empty table gives an empty result; neighbours whose distance overflows a double are not returned.
 """
 
 from __future__ import annotations
@@ -33,35 +37,56 @@ BUILD_BEAM, SEARCH_BEAM = 64, 128
 ALPHA = 1.2
 EXPANDED = 4  # points that a beam opens at a time
 SALTS = 256
+FAR = 1000
 
 
-def _squared(x: np.ndarray, norms: np.ndarray, q: np.ndarray, ids: np.ndarray) -> np.ndarray:
+def _squared(x: np.ndarray, q: np.ndarray, ids: np.ndarray) -> np.ndarray:
     """Squared distances of each query to its own list of points."""
-    inner = np.matmul(x[ids], q[:, :, None])[:, :, 0]
-    return np.maximum(norms[ids] - 2 * inner + np.einsum("bd,bd->b", q, q)[:, None], 0)
+    apart = x[ids] - q[:, None, :]
+    return np.einsum("bmd,bmd->bm", apart, apart)
 
 
 class Graph:
     """The directed graph of one shard; ``edges`` is padded with -1."""
 
     def __init__(self, x: np.ndarray, edges: np.ndarray | None = None, start: int | None = None):
-        self.x = x.astype(np.float32)
-        self.norms = np.einsum("nd,nd->n", self.x, self.x)
+        x = x.astype(np.float64)
+        self.unit = np.abs(x).max(initial=0) or 1.0
+        self.mean = (x / self.unit).mean(axis=0)
+        self.extent = np.abs(x / self.unit - self.mean).max(initial=0) or 1.0
+        self.x = self.scaled(x).astype(np.float32)
         self.start = int(np.argmin(((self.x - self.x.mean(axis=0)) ** 2).sum(axis=1))) if start is None else start
         self.edges = edges
 
+    def scaled(self, q: np.ndarray) -> np.ndarray:
+        with np.errstate(over="ignore"):
+            return (q.astype(np.float64) / self.unit - self.mean) / self.extent
+
     def search(self, q: np.ndarray, beam: int) -> np.ndarray:
         """For each query the ``beam`` best points that it met, nearest first; -1 pads."""
+        q = self.scaled(q)
+        far = np.abs(q).max(axis=1, initial=0) > FAR
+        found = self._search(np.where(far[:, None], 0, q).astype(np.float32), beam)
+        for i in np.flatnonzero(far):
+            # Less the part that is equal for all points: |x|^2 - 2 x q.
+            own, top = self.x.astype(np.float64), np.abs(q[i]).max()
+            nearness = (own * own).sum(axis=1) / top - 2 * (own @ (q[i] / top)) if np.isfinite(top) else np.zeros(len(own))
+            order = nearness.argsort(kind="stable")[: found.shape[1]]
+            found[i, : len(order)] = order
+        return found
+
+    def _search(self, q: np.ndarray, beam: int) -> np.ndarray:
+        """Of queries that are scaled."""
         n, rows = len(self.x), np.arange(len(q))[:, None]
         if n <= beam:  # the beam holds every point
-            ids = np.broadcast_to(np.arange(n), (len(q), n))
-            return np.take_along_axis(ids, _squared(self.x, self.norms, q, ids).argsort(axis=1, kind="stable"), axis=1)
+            ids = np.tile(np.arange(n), (len(q), 1))
+            return np.take_along_axis(ids, _squared(self.x, q, ids).argsort(axis=1, kind="stable"), axis=1)
         ids = np.full((len(q), beam), -1)
         near = np.full((len(q), beam), np.inf, np.float32)
         opened = np.zeros((len(q), beam), bool)
         seen = np.zeros((len(q), n + 1), bool)
         ids[:, 0], seen[:, self.start] = self.start, True
-        near[:, 0] = _squared(self.x, self.norms, q, ids[:, :1])[:, 0]
+        near[:, 0] = _squared(self.x, q, ids[:, :1])[:, 0]
         while True:
             waiting = np.where(opened, np.inf, near)
             if not np.isfinite(waiting).any():
@@ -74,7 +99,7 @@ class Graph:
             fresh = (met >= 0) & ~seen[rows, met]
             fresh[:, 1:] &= met[:, 1:] != met[:, :-1]
             seen[rows, np.where(fresh, met, n)] = True
-            far = np.where(fresh, _squared(self.x, self.norms, q, met), np.inf).astype(np.float32)
+            far = np.where(fresh, _squared(self.x, q, met), np.inf).astype(np.float32)
             ids, near = np.concatenate((ids, met), axis=1), np.concatenate((near, far), axis=1)
             opened = np.concatenate((opened, ~fresh), axis=1)
             best = near.argsort(axis=1, kind="stable")[:, :beam]
@@ -83,14 +108,15 @@ class Graph:
 
     def prune(self, points: np.ndarray, candidates: np.ndarray, alpha: float) -> np.ndarray:
         """Robust pruning of each point's candidates (-1 pads) to at most ``DEGREE`` neighbours."""
-        far = _squared(self.x, self.norms, self.x[points], candidates)
+        far = _squared(self.x, self.x[points], candidates)
         far[(candidates < 0) | (candidates == points[:, None])] = np.inf
         order = far.argsort(axis=1, kind="stable")
         rows = np.arange(len(points))[:, None]
         candidates, far = candidates[rows, order], far[rows, order]
         alive = np.isfinite(far)
         alive[:, 1:] &= candidates[:, 1:] != candidates[:, :-1]
-        y, norms = self.x[candidates], self.norms[candidates]
+        y = self.x[candidates] - self.x[points][:, None, :]  # seen from the point, so that near ones stay apart
+        norms = np.einsum("bmd,bmd->bm", y, y)
         between = norms[:, :, None] - 2 * np.matmul(y, y.transpose(0, 2, 1)) + norms[:, None, :]
         out = np.full((len(points), DEGREE), -1)
         for r in range(DEGREE):
@@ -135,7 +161,7 @@ class Graph:
             order = rng.permutation(n)
             for at in range(0, n, batch):
                 points = order[at : at + batch]
-                met = self.search(self.x[points], BUILD_BEAM)
+                met = self._search(self.x[points], BUILD_BEAM)
                 self._pruned(points, np.concatenate((met, self.edges[points]), axis=1), alpha)
                 self._add_back_edges(points, alpha)
         return self
@@ -200,7 +226,7 @@ def search_index(index: DataFrame, queries: DataFrame, k: int) -> DataFrame:
                 q = _matrix(asked.field("vector")).astype(np.float64)
                 step = int(np.clip((1 << 22) // len(x), 16, 512))
                 for at in range(0, len(q), step):
-                    found = graph.search(q[at : at + step].astype(np.float32), SEARCH_BEAM)
+                    found = graph.search(q[at : at + step], SEARCH_BEAM)
                     exact = np.sqrt(((x[found] - q[at : at + step, None, :]) ** 2).sum(axis=2))
                     exact[found < 0] = np.inf
                     best = np.lexsort((ids[found], exact), axis=1)[:, :k]

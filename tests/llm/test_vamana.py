@@ -16,16 +16,28 @@ def brute_force(rows, queries, k):
     return out
 
 
-def test_graph_finds_what_a_scan_finds():
+@pytest.mark.parametrize("shift, scale", [(0, 1), (1e4, 1), (-1e6, 1), (0, 1e25), (0, 1e-25), (3e30, 1e25)])
+def test_graph_finds_what_a_scan_finds(shift, scale):
     rng = np.random.default_rng(4)
-    x = rng.normal(size=(3000, 48)).astype(np.float32)
+    x = rng.normal(size=(3000, 48)) * scale + shift
     graph = Graph(x).build()
-    q = x[::30] + rng.normal(size=(100, 48)).astype(np.float32) * 0.3
+    q = x[::30] + rng.normal(size=(100, 48)) * 0.3 * scale
     found = graph.search(q, 128)[:, :10]
     exact = ((x[None] - q[:, None]) ** 2).sum(axis=2).argsort(axis=1)[:, :10]
     assert np.mean([len(set(a) & set(b)) / 10 for a, b in zip(found, exact)]) >= 0.95
 
 
+def test_clusters_far_apart_and_queries_from_afar():
+    rng = np.random.default_rng(6)
+    x = rng.normal(size=(2000, 24)) + np.where(np.arange(2000) % 2, 1e4, -1e4)[:, None]
+    graph = Graph(x).build()
+    q = np.concatenate((x[::40] + 0.1, rng.normal(size=(20, 24)) * 1e9))
+    found = graph.search(q, 128)[:, :10]
+    exact = ((x[None] - q[:, None]) ** 2).sum(axis=2).argsort(axis=1)[:, :10]
+    hits = [len(set(a) & set(b)) / 10 for a, b in zip(found, exact)]
+    assert np.mean(hits[:50]) >= 0.9 and np.mean(hits[50:]) >= 0.9
+
+
 @pytest.mark.parametrize("shard_points", [60, 600])
 def test_recall_ties_and_copies(spark, shard_points):
     rng = np.random.default_rng(5)
