@@ -176,3 +176,11 @@ def hashed_share(docs: DataFrame, rows: int, salt: int) -> DataFrame:
     """About ``rows`` rows, chosen by a hash of the id: the bounded sample a model is fitted on."""
     share = min(1.0, rows / max(1, docs.count()))
     return docs.filter(F.pmod(F.xxhash64("doc_id", F.lit(salt)), F.lit(1 << 30)) < int(share * (1 << 30)))
+
+
+def hashed_rows(found: DataFrame, rows: int) -> list[tuple]:
+    """About ``rows`` different rows, chosen by a hash of the whole row, in order; all, if they are fewer."""
+    found = found.distinct()
+    share = min(1.0, rows / max(1, found.count()))
+    chosen = found.filter(F.pmod(F.xxhash64(*found.columns), F.lit(1 << 30)) < int(share * (1 << 30)))
+    return sorted(tuple(r) for r in chosen.collect())

@@ -7,7 +7,7 @@ from hypothesis import given, settings
 from hypothesis import strategies as st
 
 from ledgerloom.llm import pii, secret_scan
-from ledgerloom.llm.spans import PERSONAL, SECRET, base_spans, digest, digits_of, luhn, redacted
+from ledgerloom.llm.spans import PERSONAL, SECRET, base_spans, digest, digits_of, hashed_rows, luhn, redacted
 
 SCHEMA = "doc_id long, text string, spans string, kind int"
 
@@ -114,3 +114,10 @@ def test_tables(spark, judge, detector):
     assert tuple(shown) == (1, 1, 1, 0, 0, base, "email:7:16,ip:18:25")
     assert pii.find_personal_data(docs.limit(0)).count() == 0
     assert secret_scan.find_secrets(docs.limit(0)).count() == 0
+
+
+def test_samples_do_not_follow_the_order_of_files(spark):
+    rows = spark.range(4000).selectExpr("id % 3000 as id", "string(id % 3000) as text")
+    one, other = hashed_rows(rows.repartition(7), 500), hashed_rows(rows.orderBy("text").coalesce(1), 500)
+    assert one == other and 400 < len(one) < 600 and max(one)[0] > 2500
+    assert len(hashed_rows(rows, 5000)) == 3000 and hashed_rows(rows.limit(0), 5) == []
