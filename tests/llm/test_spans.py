@@ -121,3 +121,22 @@ def test_samples_do_not_follow_the_order_of_files(spark):
     one, other = hashed_rows(rows.repartition(7), 500), hashed_rows(rows.orderBy("text").coalesce(1), 500)
     assert one == other and 400 < len(one) < 600 and max(one)[0] > 2500
     assert len(hashed_rows(rows, 5000)) == 3000 and hashed_rows(rows.limit(0), 5) == []
+
+
+def test_values_behind_a_key_are_candidates():
+    find = lambda t: [t[a:b] for a, b in secret_scan.candidates(t)]
+    assert find("pwd: hunter2x, passphrase: correcthorsebattery") == ["hunter2x", "correcthorsebattery"]
+    assert find("x = abcdefghijkl0123456789 https://example.com/a b:12345") == ["abcdefghijkl0123456789"]
+    assert find("key=abc.defghijklmn0123 :" + " " * 9 + "valueone") == ["defghijklmn0123", "valueone"]
+    secret_scan.candidates(": " * 100_000 + "=" * 100_000)
+
+
+def test_network_tells_keys_of_secrets_from_other_labels(spark):
+    docs = spark.read.parquet("/root/testdata/sf0.01/documents.parquet").select("doc_id", "text")
+    fitted = secret_scan.fit_detector(docs.filter("doc_id % 2 = 0"))
+    rng = random.Random(5)
+    words = sorted({w for r in docs.filter("doc_id % 2 = 1").collect() for w in re.findall("[A-Za-z]{2,14}", r["text"] or "")})
+    texts = {b: ["the words {}{} and of".format(*secret_scan._behind_a_key(rng, words, b)) for _ in range(300)] for b in (True, False)}
+    found, wrong = (sum(bool(fitted.find(t)) for t in texts[b]) for b in (True, False))
+    assert found >= 270 and wrong <= 30
+    assert fitted.held_out["recall"] >= 0.97
