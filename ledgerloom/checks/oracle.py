@@ -11,6 +11,7 @@ from ledgerloom.functions import text as tx
 from ledgerloom.operators import actions as act
 from ledgerloom.operators import economics as eco
 from ledgerloom.operators import loan_book as book
+from ledgerloom.operators import reasons as rs
 from ledgerloom.operators import rules as r
 from ledgerloom.plans import evaluation as ev
 from ledgerloom.plans import quality as qa
@@ -47,6 +48,9 @@ SELECT interaction_id, CASE WHEN days_since_previous_contact IS NOT NULL THEN gr
        CASE WHEN days_since_previous_contact IS NOT NULL THEN least(days_since_previous_contact, 5) END AS at_most_five FROM x_call""")
 add("json_extract", """
 SELECT event_id, event_type, json_extract_string(props, '$.k') AS k_text, TRY_CAST(json_extract_string(props, '$.k') AS BIGINT) AS k FROM events""")
+add("variant_extract", """
+SELECT event_id, CASE WHEN json_valid(props) THEN TRY_CAST(json_extract_string(props, '$.k') AS BIGINT) END AS k,
+       props IS NOT NULL AND NOT json_valid(props) AS is_malformed FROM events""")
 add("contact_window", """
 SELECT event_id, hour(ts + INTERVAL 330 MINUTE) AS ist_hour, hour(ts + INTERVAL 330 MINUTE) BETWEEN 8 AND 18 AS in_window FROM events""")
 
@@ -129,6 +133,10 @@ add("nba_growth", "SELECT borrower_id, action_code, rule_basis, borrower_facing_
 add("nba_candidates", "SELECT * FROM x_candidate", "rate_gap_vs_bank_pct")
 add("expected_value", "SELECT recommendation_id, action_code, margin_impact_bps, expected_value_inr FROM x_rec", "margin_impact_bps")
 add("inputs_snapshot", "SELECT recommendation_id, inputs_snapshot FROM x_rec")
+add("snapshot_fields", f"""
+SELECT recommendation_id, {', '.join(f"CAST(json_extract_string(inputs_snapshot, '$.{n}') AS {t}) AS {n}" for n, t in (
+    ('current_dpd', 'BIGINT'), ('arrears_amount_inr', 'BIGINT'), ('rate_gap_vs_bank_pct', 'DOUBLE'), ('residual_months', 'BIGINT'),
+    ('bt_stance', 'VARCHAR'), ('product_code', 'VARCHAR')))} FROM x_rec""")
 add("nba_recommendations", f"SELECT {', '.join(r.RECOMMENDATION_COLUMNS)} FROM x_rec", "margin_impact_bps", "created_at")
 add("decision_log", """
 SELECT md5('log|' || recommendation_id) AS log_id, recommendation_id, rule_basis AS rule_fired, CAST(NULL AS VARCHAR) AS model_used,
@@ -331,5 +339,17 @@ FROM ({' UNION ALL '.join(f"SELECT '{n}' AS signal, count(*) FILTER (wilful) AS
 add("extract_null_rates", " UNION ALL ".join(
     f"SELECT ground_truth_label, '{f}' AS field, count(*) AS n_calls, count(*) FILTER ({f} = 'None') AS n_missing, {pct(f'count(*) FILTER ({f} = {q(MISSING)})', 'count(*)')} AS null_rate_pct FROM x_labelled GROUP BY 1"
     for f in tx.EXTRACT_FIELDS))
-
-
+_tokens = "list_distinct(regexp_extract_all(lower(reason), '[\\p{L}\\p{M}\\p{N}]+'))"
+add("reason_similarity", f"""SELECT * FROM (
+WITH given AS (SELECT interaction_id, stated_reason AS reason FROM x_scored_call WHERE stated_reason <> {q(MISSING)}),
+held AS (SELECT *, unnest({_tokens}) AS word FROM given),
+rare AS (SELECT word, count(*) AS n, (SELECT count(DISTINCT interaction_id) FROM held) AS total FROM held GROUP BY word),
+weighed AS (SELECT interaction_id, word, CAST({rs.SCALE} + round({rs.SCALE} * ln((total + 1) / (n + 1))) AS BIGINT) AS w FROM held JOIN rare USING (word)),
+norms AS (SELECT interaction_id, CAST(sum(w * w) AS DOUBLE) AS norm FROM weighed GROUP BY 1),
+shared AS (SELECT t.to_interaction_id, CAST(sum(a.w * a.w) AS DOUBLE) AS dot FROM x_transition t
+           JOIN weighed a ON a.interaction_id = t.from_interaction_id JOIN weighed b ON b.interaction_id = t.to_interaction_id AND b.word = a.word GROUP BY 1)
+SELECT borrower_id, from_interaction_id, to_interaction_id, similarity, similarity < {rs.SAME_FROM} AS reason_changed
+FROM (SELECT t.borrower_id, t.from_interaction_id, t.to_interaction_id,
+             CAST(round({rs.SCALE} * coalesce(dot, 0) / (sqrt(a.norm) * sqrt(b.norm))) AS BIGINT) AS similarity
+      FROM x_transition t LEFT JOIN norms a ON a.interaction_id = t.from_interaction_id
+      LEFT JOIN norms b ON b.interaction_id = t.to_interaction_id LEFT JOIN shared USING (to_interaction_id)))""")

@@ -13,9 +13,10 @@ from ledgerloom.functions import text as tx
 from ledgerloom.functions.columns import bucket, strict_greatest, strict_least
 from ledgerloom.functions.finance import instalment
 from ledgerloom.operators import actions, borrower_state, customer360, digests, documents, economics, enrichment
-from ledgerloom.operators import loan_book, ranking, rules, trajectory
+from ledgerloom.operators import loan_book, ranking, reading, reasons, rules, trajectory
 from ledgerloom.plans import evaluation, quality, reports, spend
 from ledgerloom.plans.portfolio import Portfolio, sample_decisions
+from ledgerloom.session import work_folder
 from ledgerloom.sources import entities
 
 Query = Callable[[Portfolio], DataFrame]
@@ -86,6 +87,17 @@ def json_extract(pf):
     return pf.base("events").select("event_id", "event_type", k.alias("k_text"), k.try_cast("bigint").alias("k"))
 
 
+@query
+def variant_extract(pf):
+    """The events' properties as VARIANT: any JSON is kept with its types, what is no JSON is NULL."""
+    props = F.try_parse_json("props")
+    return pf.base("events").select(
+        "event_id",
+        F.try_variant_get(props, "$.k", "bigint").alias("k"),
+        (F.col("props").isNotNull() & props.isNull()).alias("is_malformed"),
+    )
+
+
 @query
 def contact_window(pf):
     hour = F.hour(F.convert_timezone(F.lit("UTC"), F.lit("Asia/Kolkata"), F.col("ts")))
@@ -410,6 +422,28 @@ def inputs_snapshot(pf):
     return pf.staged.select("recommendation_id", "inputs_snapshot")
 
 
+@query
+def snapshot_fields(pf):
+    """What the rules saw, stored as VARIANT beside the id and read back by path."""
+    stored = pf.staged.select("recommendation_id", F.parse_json("inputs_snapshot").alias("inputs"))
+    path = f"{work_folder(pf.spark, 'snapshots')}/inputs"
+    stored.write.parquet(path)
+    inputs = pf.spark.read.schema(stored.schema).parquet(path)
+
+    def field(name, kind):
+        return F.try_variant_get("inputs", f"$.{name}", kind).alias(name)
+
+    return inputs.select(
+        "recommendation_id",
+        field("current_dpd", "bigint"),
+        field("arrears_amount_inr", "bigint"),
+        field("rate_gap_vs_bank_pct", "decimal(8,3)"),
+        field("residual_months", "bigint"),
+        field("bt_stance", "string"),
+        field("product_code", "string"),
+    )
+
+
 @query
 def nba_recommendations(pf):
     return pf.recs
@@ -781,3 +815,18 @@ def signal_combination(pf):
 @query
 def extract_null_rates(pf):
     return evaluation.extract_null_rates(_labelled(pf))
+
+
+@query
+def trained_reading(pf):
+    labels = _labelled(pf).select("interaction_id", "ground_truth_label", "expected_intent", "predicted_intent")
+    calls = pf.calls.select("interaction_id", "borrower_id", "transcript_text").join(labels, "interaction_id")
+    folder = work_folder(pf.spark, "reading")
+    return evaluation.trained_reading(
+        reading.read_by_other_folds(calls, "transcript_text", "expected_intent", folder)
+    )
+
+
+@query
+def reason_similarity(pf):
+    return reasons.compare_reasons(pf.transitions, pf.scored_calls)

@@ -160,3 +160,37 @@ def extract_null_rates(joined: DataFrame) -> DataFrame:
         "n_missing",
         _pct(F.col("n_missing"), F.col("n_calls")).alias("null_rate_pct"),
     )
+
+
+def trained_reading(read: DataFrame) -> DataFrame:
+    """Per label, and over all labels alike (``MACRO``): accuracy of the rules and of the trained reader, and
+    how far the reader's mean confidence lies from its accuracy.
+
+    ``read`` are labelled calls with ``trained_intent`` and ``confidence``, each read by a model that saw
+    no call of its borrower.
+    """
+    per_label = read.groupBy("ground_truth_label").agg(
+        F.count("*").alias("n_calls"),
+        F.count_if(F.col("predicted_intent") == F.col("expected_intent")).alias("_rules"),
+        F.count_if(F.col("trained_intent") == F.col("expected_intent")).alias("_trained"),
+        F.avg("confidence").alias("_confidence"),
+    )
+    shares = per_label.select(
+        "ground_truth_label",
+        "n_calls",
+        (F.col("_rules") / F.col("n_calls")).alias("_rules"),
+        (F.col("_trained") / F.col("n_calls")).alias("_trained"),
+        "_confidence",
+    )
+    macro = shares.agg(
+        F.lit("MACRO").alias("ground_truth_label"),
+        F.coalesce(F.sum("n_calls"), F.lit(0)).alias("n_calls"),
+        *[F.avg(c).alias(c) for c in ("_rules", "_trained", "_confidence")],
+    )
+    return shares.unionByName(macro).select(
+        "ground_truth_label",
+        "n_calls",
+        F.round(F.col("_rules") * 100, 1).alias("rules_accuracy_pct"),
+        F.round(F.col("_trained") * 100, 1).alias("trained_accuracy_pct"),
+        F.round(F.abs(F.col("_confidence") - F.col("_trained")) * 100, 1).alias("calibration_gap_pct"),
+    )

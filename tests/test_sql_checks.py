@@ -13,6 +13,7 @@ from ledgerloom.streaming.catalog import STREAM_QUERIES
 
 SF_DIR = os.environ.get("TEST_SF_DIR", "/root/testdata/sf0.01")
 ALL = {**QUERIES, **STREAM_QUERIES}
+FITTED = {"trained_reading"}  # hold a fitted model; tested in test_reading.py
 
 
 @pytest.fixture(scope="module")
@@ -26,9 +27,9 @@ def tables():
 
 
 def test_every_query_has_its_statement():
-    assert set(ALL) == set(SQL)
+    assert set(ALL) == set(SQL) | FITTED
 
 
-@pytest.mark.parametrize("name", list(ALL))
+@pytest.mark.parametrize("name", [n for n in ALL if n not in FITTED])
 def test_query_equals_sql(name, portfolio, tables):
     assert differences(comparable(ALL[name](portfolio)), tables, SQL[name]) is None
