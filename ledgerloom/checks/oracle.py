@@ -317,6 +317,20 @@ add("data_contracts", " UNION ALL ".join(
     + _contract("trajectory", "x_trajectory", "borrower_id", ["n_calls"], {"overall_sentiment_direction": ["IMPROVING", "DETERIORATING", "STABLE", "MIXED"]})
     + _contract("repayment_schedule", "x_schedule", "schedule_id", ["loan_id", "due_date"], {})
     + _contract("customer_360", "x_360", "borrower_id", ["borrower_asset_class"], {})))
+_kept_as = {"loan_account": "x_loan", "mandate": "x_mandate", "borrower_state": "x_state", "scored_calls": "x_scored_call",
+            "trajectory": "x_trajectory", "recommendations": "x_rec", "customer_360": "x_360"}
+
+
+def _row_rules(table: str) -> list[str]:
+    required, allowed, faulty = qa.ROW_RULES[table]
+    tests = [(f"required {x}", f"{x} IS NULL") for x in required]
+    tests += [(f"allowed {x}", f"{x} NOT IN ({', '.join(q(v) for v in vals)})") for x, vals in allowed.items()]
+    tests += list(faulty.items())
+    return [f"SELECT '{table}' AS table_name, {q(n)} AS \"check\", count(*) AS n_rows, count(*) FILTER ({t}) AS violation_count FROM {_kept_as[table]}"
+            for n, t in tests]
+
+
+add("written_contracts", " UNION ALL ".join(s for table in qa.ROW_RULES for s in _row_rules(table)))
 _signals = "sentiment, predicted_intent, is_credible_hardship, " + ", ".join(tx.EXTRACT_FIELDS)
 add("conversation_insight", f"SELECT conv_id, turn, {_signals} FROM ({scored_text('(SELECT *, text AS transcript_text FROM conversations)')})")
 add("document_insight", f"SELECT doc_id, {_signals} FROM ({scored_text('(SELECT *, text AS transcript_text FROM documents)')})")

@@ -15,7 +15,7 @@ from ledgerloom.functions.finance import instalment
 from ledgerloom.operators import actions, borrower_state, customer360, digests, documents, economics, enrichment
 from ledgerloom.operators import loan_book, ranking, reading, reasons, rules, trajectory
 from ledgerloom.plans import evaluation, quality, reports, spend
-from ledgerloom.plans.portfolio import Portfolio, sample_decisions
+from ledgerloom.plans.portfolio import PUBLISHED, Portfolio, sample_decisions
 from ledgerloom.session import work_folder
 from ledgerloom.sources import entities
 
@@ -791,6 +791,17 @@ def data_contracts(pf):
     return reduce(DataFrame.unionByName, checks)
 
 
+@query
+def written_contracts(pf):
+    """Rules of single rows as counted by the writing of the tables: nothing is scanned again."""
+    found = []
+    for name in quality.ROW_RULES:
+        getattr(pf, PUBLISHED[name])
+        counts = pf.written_faults(name)
+        found += [(name, check, counts["rows"], n) for check, n in counts.items() if check != "rows"]
+    return pf.spark.createDataFrame(found, "table_name string, check string, n_rows bigint, violation_count bigint")
+
+
 def _labelled(pf):
     return evaluation.labelled(pf.ground_truth, pf.scored_calls)
 

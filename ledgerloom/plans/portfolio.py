@@ -5,7 +5,7 @@ from __future__ import annotations
 import json
 from functools import cached_property
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.types import StructType
 
@@ -100,6 +100,7 @@ class Portfolio:
         self.given = dict(given or {})
         self._partitions = partitions
         self._published: dict[str, str] = {}
+        self._watched: dict[str, Observation] = {}
         unknown = set(self.given) - GIVEN
         if unknown:
             raise ValueError(f"no such entity table: {sorted(unknown)}")
@@ -114,12 +115,21 @@ class Portfolio:
         before = self.spark.conf.get(setting)
         if self._partitions is not None:
             self.spark.conf.set(setting, self._partitions)
+        rows, seen = quality.watched(df, name)
         try:
-            df.write.mode("overwrite").parquet(path)
+            rows.write.mode("overwrite").parquet(path)
         finally:
             self.spark.conf.set(setting, before)
+        if seen is not None:
+            self._watched[name] = seen
         return self.spark.read.schema(df.schema).parquet(path)
 
+    def written_faults(self, name: str) -> dict[str, int]:
+        """``rows`` and the faulty rows per check, counted while the table was written; empty if it has no
+        rules or was not written by this portfolio."""
+        seen = self._watched.get(name)
+        return {} if seen is None else {check: n or 0 for check, n in seen.get.items()}
+
     def _by_borrower(self, df: DataFrame, name: str) -> DataFrame:
         """A table whose files and row groups hold ranges of borrowers, so a lookup reads few."""
         return self._table(df.repartitionByRange("borrower_id").sortWithinPartitions("borrower_id"), name)
@@ -138,10 +148,17 @@ class Portfolio:
         return {"params": repr(self.p), "given": repr(sorted(given.items())), "inputs": repr(sorted(inputs.items()))}
 
     def publish(self) -> str:
-        """Write every table that has several readers, then the manifest; returns the folder."""
+        """Write every table that has several readers, then the manifest; returns the folder.
+
+        Rules of single rows are counted by the writing itself; the first table that breaks one ends
+        the publication, and without a manifest the folder cannot be opened.
+        """
         tables = {}
         for name in PUBLISHED:
             tables[name] = getattr(self, PUBLISHED[name]).schema.json()
+            broken = {check: n for check, n in self.written_faults(name).items() if check != "rows" and n}
+            if broken:
+                raise ValueError(f"{name} breaks its rules and nothing was published: {broken}")
         write_manifest(self.spark, self.folder, self._facts() | {f"table {n}": s for n, s in tables.items()})
         return self.folder
 

@@ -4,10 +4,11 @@ from __future__ import annotations
 
 from functools import reduce
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame, Observation
 from pyspark.sql import functions as F
 
 from ledgerloom.config import DISCLOSED_ACTIONS
+from ledgerloom.functions import text as tx
 from ledgerloom.operators import digests
 from ledgerloom.operators.economics import STANCE_DISTRESS
 
@@ -135,3 +136,57 @@ def contract(df: DataFrame, table: str, key: list[str], required: list[str], enu
         ]
     )
     return doubles.unionByName(counted.select(F.inline(rows)))
+
+
+#: Per published table: columns that every row needs, allowed values, and conditions of a faulty row.
+ROW_RULES = {
+    "loan_account": (
+        ["borrower_id", "product_code", "emi_amount_inr"],
+        {"rate_type": ["FIXED", "FLOATING"]},
+        {"unpaid within elapsed": "unpaid_emi_count > months_elapsed"},
+    ),
+    "mandate": (
+        ["loan_id", "mandate_status"],
+        {"failure_attribution": ["NONE", "TECHNICAL", "CAPACITY", "INTENT"]},
+        {"failures not negative": "consecutive_failures < 0"},
+    ),
+    "borrower_state": (
+        ["max_dpd_own"],
+        {"borrower_asset_class": ["STANDARD", "SMA-0", "SMA-1", "SMA-2", "NPA"]},
+        {},
+    ),
+    "scored_calls": (
+        ["predicted_intent"],
+        {"sentiment": list(tx.SENTIMENTS), "predicted_intent": list(tx.INTENTS)},
+        {"number within sequence": "transcript_sequence_number > total_sequence_length"},
+    ),
+    "trajectory": (
+        ["n_calls"],
+        {"overall_sentiment_direction": ["IMPROVING", "DETERIORATING", "STABLE", "MIXED"]},
+        {},
+    ),
+    "recommendations": (
+        ["rule_basis", "status"],
+        {"status": ["PENDING_APPROVAL", "APPROVED", "REJECTED"]},
+        {},
+    ),
+    "customer_360": (["borrower_asset_class"], {}, {}),
+}
+
+
+def row_faults(table: str) -> dict[str, Column]:
+    """Check and condition of a faulty row, of one published table; none without rules."""
+    required, allowed, faulty = ROW_RULES.get(table, ([], {}, {}))
+    faults = {f"required {c}": F.col(c).isNull() for c in required}
+    faults |= {f"allowed {c}": F.col(c).isNotNull() & ~F.col(c).isin(*values) for c, values in allowed.items()}
+    return faults | {name: F.expr(condition) for name, condition in faulty.items()}
+
+
+def watched(df: DataFrame, table: str) -> tuple[DataFrame, Observation | None]:
+    """The table with its faulty rows counted by whatever writes it, so that no second scan is needed."""
+    faults = row_faults(table)
+    if not faults:
+        return df, None
+    seen = Observation(f"rules of {table}")
+    counts = [F.count_if(condition).alias(check) for check, condition in faults.items()]
+    return df.observe(seen, F.count(F.lit(1)).alias("rows"), *counts), seen

@@ -112,6 +112,26 @@ def test_assertions_notice_planted_faults(spark, pf):
     assert counts(pf.recs.withColumn("rule_basis", F.when(~hit, F.col("rule_basis"))), pf.log, base)[quality.A2[0]] == 1
 
 
+def test_rules_counted_while_writing_stop_the_publication(spark, pf, tmp_path):
+    loans = pf.loans.withColumn("rate_type", F.when(F.col("loan_id").endswith("3"), "ODD").otherwise(F.col("rate_type")))
+    loans = loans.withColumn("product_code", F.when(~F.col("loan_id").endswith("4"), F.col("product_code")))
+    own = Portfolio(spark, SF_DIR, folder=str(tmp_path / "own"), given={"loan_account": loans})
+    with pytest.raises(ValueError, match="loan_account breaks its rules.*allowed rate_type"):
+        own.publish()
+    faults = own.written_faults("loan_account")
+    assert faults["rows"] == loans.count() and faults["allowed rate_type"] == loans.filter("rate_type = 'ODD'").count() > 0
+    assert faults["required product_code"] == loans.filter("product_code IS NULL").count() > 0
+    assert faults["required borrower_id"] == faults["unpaid within elapsed"] == 0
+    with pytest.raises(Exception, match="PATH_NOT_FOUND"):
+        Portfolio.open(spark, own.folder, SF_DIR, given={"loan_account": loans})
+    assert own.written_faults("borrower_slices") == {} and own.written_faults("mandate") == {}
+
+
+def test_rules_of_an_empty_table(spark, pf, tmp_path):
+    own = Portfolio(spark, SF_DIR, folder=str(tmp_path / "none"), given={"loan_account": pf.loans.limit(0)})
+    assert own.loans.count() == 0 and set(own.written_faults("loan_account").values()) == {0}
+
+
 def test_contracts_notice_planted_faults(spark):
     df = spark.createDataFrame([(1, "a"), (1, None), (2, "z")], "id int, kind string")
     got = {r["check"]: r.violation_count for r in quality.contract(df, "t", ["id"], ["kind"], {"kind": ["a"]}).collect()}
