@@ -833,8 +833,10 @@ def trained_reading(pf):
     labels = _labelled(pf).select("interaction_id", "ground_truth_label", "expected_intent", "predicted_intent")
     calls = pf.calls.select("interaction_id", "borrower_id", "transcript_text").join(labels, "interaction_id")
     folder = work_folder(pf.spark, "reading")
+    asked = ("transcript_text", "expected_intent")
     return evaluation.trained_reading(
-        reading.read_by_other_folds(calls, "transcript_text", "expected_intent", folder)
+        reading.read_by_other_folds(calls, *asked, f"{folder}/borrowers"),
+        reading.read_by_other_folds(calls, *asked, f"{folder}/wordings", reading.wording_fold("transcript_text")),
     )
 
 

@@ -111,7 +111,32 @@ def test_held_out_accuracy_beside_the_rules(spark):
     assert set(rows) <= set(evaluation.EXPECTED_INTENT) | {"MACRO"}
     macro = rows["MACRO"]
     assert macro.n_calls == sum(r.n_calls for k, r in rows.items() if k != "MACRO")
-    assert macro.trained_accuracy_pct >= 80
+    # The sentences are few, so other borrowers say them too; new wordings show what is really read, and no
+    # accuracy is asked of them here: with three sentences a label it depends on which ones are set aside.
+    assert macro.new_borrower_accuracy_pct >= 80
+    assert macro.new_wording_accuracy_pct <= macro.new_borrower_accuracy_pct
+
+
+def test_folds_without_two_labels_and_empty_tables_are_not_read(spark, tmp_path):
+    one = calls(spark).filter("label = 'genuine_hardship'")
+    got = reading.read_by_other_folds(one, "text", "label", str(tmp_path / "one"))
+    assert got.count() == 120 and got.filter("confidence IS NOT NULL OR trained_intent <> '" + FALLBACK_INTENT + "'").count() == 0
+    assert reading.read_by_other_folds(one.limit(0), "text", "label", str(tmp_path / "none")).count() == 0
+
+
+def test_a_filled_in_sentence_is_one_wording(spark):
+    said = [("I will pay Rs 12,500 by 3 March, said Lotus Bank",), ("I will pay Rs 900 by 14 January, said Tulip Finance",), (None,), ("",)]
+    folds = [r.f for r in spark.createDataFrame(said, "t string").select(reading.wording_fold("t").alias("f")).collect()]
+    assert folds[0] == folds[1] and folds[2] == folds[3]
+
+
+def test_no_wording_is_read_by_a_model_that_saw_it(spark, tmp_path):
+    """One wording whose label nothing else has is never found when its own fold is set aside."""
+    odd = spark.createDataFrame([(f"O{i}", f"B{i}", "quite unlike the rest", "odd") for i in range(30)], CALL)
+    both = calls(spark).unionByName(odd)
+    found = reading.read_by_other_folds(both, "text", "label", str(tmp_path), reading.wording_fold("text"))
+    assert found.count() == both.count()
+    assert found.filter("label = 'odd' AND trained_intent = 'odd'").count() == 0
 
 
 # --- reasons ----------------------------------------------------------------------------------------------------
