@@ -39,34 +39,35 @@ def frequencies(counts: DataFrame) -> DataFrame:
     return counts.select("n", F.explode("words").alias("word")).groupBy("word").agg(F.sum("n").alias("held_by"))
 
 
-def weighted(texts: DataFrame, held: DataFrame, total: DataFrame) -> DataFrame:
-    """``reason, weights, norm`` of different reasons; ``total`` is one row ``total``: how many reasons were counted."""
+def weighed(rows: DataFrame, held: DataFrame, total: DataFrame) -> DataFrame:
+    """Rows with a ``word``, and the square of its weight; ``total`` is one row ``total``: how many reasons were counted."""
     rarity = F.log((F.col("total") + 1) / (F.coalesce("held_by", F.lit(0)) + 1))
     weight = (SCALE + F.round(SCALE * rarity)).cast("bigint")
     return (
-        texts.select("reason", F.explode("words").alias("word"))
-        .join(held, "word", "left")
+        rows.join(held, "word", "left")
         .withColumn("total", total.select("total").scalar())
         .withColumn("square", weight * weight)
-        .groupBy("reason")
-        .agg(
-            F.map_from_entries(F.collect_list(F.struct("word", "square"))).alias("weights"),
-            F.sum("square").alias("norm"),
-        )
+        .drop("held_by", "total")
     )
 
 
-def similarity(pairs: DataFrame, vectors: DataFrame) -> DataFrame:
-    """Different pairs ``from_reason, to_reason`` with ``similarity``, in thousandths."""
-    a = vectors.select(F.col("reason").alias("from_reason"), F.col("weights").alias("_a"), F.col("norm").alias("_na"))
-    b = vectors.select(F.col("reason").alias("to_reason"), F.col("weights").alias("_b"), F.col("norm").alias("_nb"))
-    shared = F.array_intersect(F.map_keys("_a"), F.map_keys("_b"))
-    dot = F.aggregate(shared, F.lit(0).cast("bigint"), lambda s, w: s + F.element_at("_a", w))
-    cosine = dot / (F.sqrt("_na") * F.sqrt("_nb"))
+def similarity(pairs: DataFrame, held: DataFrame, total: DataFrame) -> DataFrame:
+    """Different pairs ``from_reason, to_reason`` with ``similarity``, in thousandths.  Words are joined and
+    summed as rows, so a long reason is many small rows."""
+    key = ["from_reason", "to_reason"]
+    pairs = pairs.select(*key).distinct().withColumns({"_a": words("from_reason"), "_b": words("to_reason")})
+    pairs = pairs.filter("_a IS NOT NULL AND _b IS NOT NULL")
+    told = pairs.select(F.explode(F.array(*key)).alias("reason")).distinct()
+    told = told.select("reason", F.explode(words("reason")).alias("word"))
+    norms = weighed(told, held, total).groupBy("reason").agg(F.sum("square").alias("norm"))
+    shared = pairs.select(*key, F.explode(F.array_intersect("_a", "_b")).alias("word"))
+    dots = weighed(shared, held, total).groupBy(*key).agg(F.sum("square").alias("dot"))
+    a = norms.select(F.col("reason").alias("from_reason"), F.col("norm").alias("_na"))
+    b = norms.select(F.col("reason").alias("to_reason"), F.col("norm").alias("_nb"))
+    cosine = F.coalesce("dot", F.lit(0)) / (F.sqrt("_na") * F.sqrt("_nb"))
     return (
-        pairs.select("from_reason", "to_reason").distinct()
-        .join(a, "from_reason").join(b, "to_reason")
-        .select("from_reason", "to_reason", F.round(cosine * SCALE).cast("bigint").alias("similarity"))
+        pairs.select(*key).join(a, "from_reason").join(b, "to_reason").join(dots, key, "left")
+        .select(*key, F.round(cosine * SCALE).cast("bigint").alias("similarity"))
     )
 
 
@@ -74,9 +75,7 @@ def compare_reasons(transitions: DataFrame, reasons: DataFrame, column: str = "s
     """Transitions with the similarity of their two reasons, weighed by all ``reasons``."""
     counts = counted(reasons, column)
     total = counts.agg(F.coalesce(F.sum("n"), F.lit(0)).alias("total"))
-    both = transitions.select(F.explode(F.array("from_reason", "to_reason")).alias("reason")).distinct()
-    vectors = weighted(both.withColumn("words", words("reason")), frequencies(counts), total)
-    told = similarity(transitions, vectors)
+    told = similarity(transitions, frequencies(counts), total)
     return transitions.join(told, ["from_reason", "to_reason"], "left").select(
         "borrower_id", "from_interaction_id", "to_interaction_id", "similarity",
         (F.col("similarity") < SAME_FROM).alias("reason_changed"),
