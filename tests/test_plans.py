@@ -45,3 +45,7 @@ def test_scans_read_only_what_they_need(pf):
     assert "ReadSchema: struct<o_custkey:bigint,o_orderstatus:string,o_totalprice:double>" in text
     events = plan(entities.call_events(pf.spark, pf.sf_dir).select("interaction_id"))
     assert "PushedFilters" in text and "EqualTo(event_type,error)" in events
+
+
+def test_lifetime_value_sends_neither_loans_nor_schedule_through_the_driver(pf):
+    assert "BroadcastExchange" not in plan(QUERIES["ltv"](pf))
