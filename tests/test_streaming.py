@@ -9,6 +9,7 @@ from ledgerloom.operators import enrichment, trajectory
 from ledgerloom.plans.portfolio import Portfolio
 from ledgerloom.sources.tables import ENTITY_SCHEMAS, append_missing, write_version
 from ledgerloom.streaming import jobs
+from ledgerloom.streaming.store import Store
 
 TEXTS = {
     1: "I am late because the business is slow. I will pay Rs 500 by 2 March.",
@@ -102,3 +103,20 @@ def test_sinks_are_repeatable(spark, tmp_path):
     append_missing(df, None, ["id"], target)
     append_missing(spark.range(7), spark.read.schema("id bigint").parquet(target), ["id"], target)
     assert spark.read.parquet(target).count() == 7
+
+
+def test_a_small_bucket_is_one_file_and_a_large_one_several(spark, tmp_path):
+    rows = spark.range(20_000).select(F.format_string("B%06d", F.col("id") % 900).alias("borrower_id"), F.md5(F.col("id").cast("string")).alias("x"))
+    rows = rows.repartition(12)
+    small = Store(spark, f"{tmp_path}/small", 6)
+    got = small.write(0, "t", rows)
+    assert got.count() == 20_000 and got.exceptAll(rows).isEmpty()
+    files = got.select(F.input_file_name().alias("f")).distinct()
+    assert files.count() == 6
+    setting = "spark.sql.adaptive.advisoryPartitionSizeInBytes"
+    spark.conf.set(setting, "64k")
+    try:
+        got = Store(spark, f"{tmp_path}/large", 1).write(0, "t", rows)
+    finally:
+        spark.conf.unset(setting)
+    assert got.count() == 20_000 and got.select(F.input_file_name()).distinct().count() > 1
