@@ -49,3 +49,8 @@ def test_scans_read_only_what_they_need(pf):
 
 def test_lifetime_value_sends_neither_loans_nor_schedule_through_the_driver(pf):
     assert "BroadcastExchange" not in plan(QUERIES["ltv"](pf))
+
+
+@pytest.mark.parametrize("name", ["customer_360", "carry_decision_log", "team_tasks", "semantic_cross_entity"])
+def test_tables_that_grow_are_not_sent_through_the_driver(pf, name):
+    assert "BroadcastExchange" not in plan(QUERIES[name](pf))
