@@ -33,6 +33,7 @@ END_ID = 2
 DIMENSIONS, BITS = 4, 8
 CACHED_RUNS = 300_000
 CACHED_BYTES = 64
+SLICE = 1 << 20  # bytes of text, or of ids, that a worker has in hand at a time
 
 PIECES = "doc_id long, start long, length long, ids binary, doc_tokens long, sequence_id long, offset long"
 
@@ -161,26 +162,30 @@ def document_points(words: Words, hashes: np.ndarray) -> np.ndarray:
     return out
 
 
+def token_batches(batches, tokenizer: str):
+    """Batches of ``doc_id, text`` as ``doc_id, curve, n_tokens, ids``, by slices of bounded size: a worker
+    shares its executor's memory with a grown heap."""
+    known = _run_ids(tokenizer)
+    end = np.array([END_ID], known.kind).tobytes()
+    for batch in batches:
+        for part in slices(batch, limit=SLICE):
+            words = runs_of(raw_texts(part))
+            hashes = word_hashes(words)
+            ids = [i + end for i in known.of(words, hashes)]
+            keys = hilbert_keys(document_points(words, hashes), BITS)
+            del words, hashes
+            n = pa.array([len(i) // known.kind.itemsize for i in ids], pa.int64())
+            yield pa.RecordBatch.from_arrays(
+                [part.column("doc_id"), pa.array(keys), n, pa.array(ids, pa.binary())],
+                names=["doc_id", "curve", "n_tokens", "ids"],
+            )
+        pa.default_memory_pool().release_unused()
+    known.known.clear()  # the worker goes on to other tasks, of other stages too
+
+
 def _tokenised(docs: DataFrame, tokenizer: str) -> DataFrame:
     """``row, doc_id, curve, n_tokens, ids``, stored: row numbers must not change any more."""
-
-    def tokenise(batches):
-        known = _run_ids(tokenizer)
-        end = np.array([END_ID], known.kind).tobytes()
-        for batch in batches:
-            for part in slices(batch):
-                words = runs_of(raw_texts(part))
-                hashes = word_hashes(words)
-                ids = [i + end for i in known.of(words, hashes)]
-                keys = hilbert_keys(document_points(words, hashes), BITS)
-                n = pa.array([len(i) // known.kind.itemsize for i in ids], pa.int64())
-                yield pa.RecordBatch.from_arrays(
-                    [part.column("doc_id"), pa.array(keys), n, pa.array(ids, pa.binary())],
-                    names=["doc_id", "curve", "n_tokens", "ids"],
-                )
-        known.known.clear()  # the worker goes on to other tasks, of other stages too
-
-    tokens = docs.mapInArrow(tokenise, "doc_id long, curve long, n_tokens long, ids binary")
+    tokens = docs.mapInArrow(lambda batches: token_batches(batches, tokenizer), "doc_id long, curve long, n_tokens long, ids binary")
     tokens = tokens.withColumn("row", F.monotonically_increasing_id())
     path = work_folder(docs.sparkSession, "tokens")
     tokens.write.option("compression", "zstd").parquet(path)
@@ -206,7 +211,7 @@ def pack_documents(docs: DataFrame, tokenizer: str, length: int = LENGTH) -> Dat
         kind = _run_ids(tokenizer).kind
         names = ["doc_id", "start", "length", "ids", "doc_tokens", "sequence_id", "offset"]
         for batch in batches:
-            for part in slices(batch, ("ids",)):
+            for part in slices(batch, ("ids",), SLICE):
                 before, n = part.column("before").to_numpy(), part.column("n_tokens").to_numpy()
                 sequences = (before + n - 1) // length - before // length + 1
                 of = np.repeat(np.arange(len(n)), sequences)
@@ -222,6 +227,7 @@ def pack_documents(docs: DataFrame, tokenizer: str, length: int = LENGTH) -> Dat
                     pa.array(ids, pa.binary()), pa.array(n[of]), pa.array(sequence), pa.array(low - sequence * length),
                 ]
                 yield pa.RecordBatch.from_arrays(columns, names=names)
+            pa.default_memory_pool().release_unused()
 
     rows = tokens.select("row", "doc_id", "n_tokens", "ids").join(placed.select("row", "before"), "row")
     return rows.select("doc_id", "n_tokens", "ids", "before").mapInArrow(cut, PIECES)

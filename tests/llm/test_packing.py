@@ -1,10 +1,12 @@
 import random
+import tracemalloc
 
 import numpy as np
 import public_tokenizers
+import pyarrow as pa
 from tokenizers import Tokenizer
 
-from ledgerloom.llm.packing import hilbert_keys, pack_documents, sequences
+from ledgerloom.llm.packing import hilbert_keys, pack_documents, sequences, token_batches
 
 SCHEMA = "doc_id long, text string, start string, ids int"
 PATH = public_tokenizers.path("word_bpe_49k.json")
@@ -57,3 +59,18 @@ def test_every_id_lies_in_exactly_one_piece(spark):
 
 def test_empty_table(spark):
     assert pack_documents(spark.createDataFrame([], SCHEMA), PATH).count() == 0
+
+
+def test_a_worker_holds_little_at_a_time():
+    rng = random.Random(4)
+    texts = [" ".join(rng.choice(["the", "of", "zebra", f"{rng.randrange(10**6)}"]) for _ in range(1500)) for _ in range(1000)]
+    batch = pa.record_batch([pa.array(range(len(texts))), pa.array(texts)], names=["doc_id", "text"])
+    whole = sum(b.num_rows for b in token_batches([batch.slice(0, 1)], PATH))  # the tokenizer is loaded before
+    tracemalloc.start()
+    try:
+        whole += sum(b.num_rows for b in token_batches([batch], PATH))
+        most = tracemalloc.get_traced_memory()[1]
+    finally:
+        tracemalloc.stop()
+    assert whole == len(texts) + 1
+    assert most < 80 << 20
