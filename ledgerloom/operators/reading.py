@@ -35,7 +35,7 @@ FEATURES = 1 << 12  # buckets each of words and of pairs
 FOLDS = 3
 SCALES = [2.0 ** (k / 4) for k in range(-12, 13)]  # from an eighth to eight
 TEXT, LABEL, WEIGHT = "_text", "_label", "_weight"
-SCRATCH = ["_words", "_pairs", "_word_counts", "_pair_counts", "_features", "_margins", "_p"]
+SCRATCH = ["_words", "_pairs", "_word_counts", "_pair_counts", "_features", "_margins", "_p", "_m", "_top"]
 
 
 def fold_of(borrower_id: str = "borrower_id", call_id: str = "interaction_id") -> Column:
@@ -53,11 +53,17 @@ def _readable(text) -> Column:
     return F.coalesce(F.col(text).rlike(WORD), F.lit(False))
 
 
-def examples(calls: DataFrame, text: str, label: str, *keep: str) -> DataFrame:
-    """Different (text, label, kept columns) with their number."""
+def told(calls: DataFrame, fold: Column, *columns: str) -> DataFrame:
+    """Different rows of the columns in each ``_fold`` with their number ``n_calls``: what many calls say alike
+    is read once."""
+    return calls.groupBy(*columns, fold.alias("_fold")).agg(F.count("*").alias("n_calls"))
+
+
+def examples(calls: DataFrame, text: str, label: str, *keep: str, number: str | None = None) -> DataFrame:
+    """Different (text, label, kept columns) with their number; a row stands for ``number`` calls, or for one."""
     rows = calls.filter(_readable(text) & F.col(label).isNotNull())
     return rows.groupBy(F.col(text).alias(TEXT), F.col(label).alias(LABEL), *keep).agg(
-        F.count("*").cast("double").alias(WEIGHT)
+        (F.sum(number) if number else F.count("*")).cast("double").alias(WEIGHT)
     )
 
 
@@ -91,24 +97,22 @@ def fit(train: DataFrame, calibrate: DataFrame, iterations: int = 25, penalty: f
     return PipelineModel(stages=[*counted.stages, reader, scaled, names])
 
 
-def _log_sum_exp(margins: Column) -> Column:
-    top = F.array_max(margins)
-    return top + F.log(F.aggregate(margins, F.lit(0.0), lambda s, m: s + F.exp(m - top)))
+def _with_margins(scored: DataFrame, margins: str) -> DataFrame:
+    """``_m`` and ``_top``, the margins as an array and the highest, as columns: inside the functions below the
+    vector would be unpacked anew for each margin of each scale."""
+    return scored.withColumn("_m", vector_to_array(margins)).withColumn("_top", F.array_max("_m"))
 
 
-def _times(margins: Column, factor: float) -> Column:
-    return F.transform(margins, lambda m: m * factor)
+def _log_sum_exp(scale: float = 1.0) -> Column:
+    top = F.col("_top") * scale
+    return top + F.log(F.aggregate("_m", F.lit(0.0), lambda s, m: s + F.exp(m * scale - top)))
 
 
 def best_scale(seen: DataFrame) -> float:
     """The factor for all margins that makes the labels of ``seen`` likeliest, of ``SCALES``: one pass, one row."""
-    margins = vector_to_array("_margins")
-    losses = []
-    for i, scale in enumerate(SCALES):
-        stretched = _times(margins, scale)
-        loss = _log_sum_exp(stretched) - F.get(stretched, F.col("_index").cast("int"))
-        losses.append(F.sum(F.col(WEIGHT) * loss).alias(f"l{i}"))
-    row = seen.agg(*losses).first()
+    own = F.get(F.col("_m"), F.col("_index").cast("int"))
+    losses = [F.sum(F.col(WEIGHT) * (_log_sum_exp(scale) - own * scale)).alias(f"l{i}") for i, scale in enumerate(SCALES)]
+    row = _with_margins(seen.select("_margins", "_index", WEIGHT), "_margins").agg(*losses).first()
     found = [(loss, abs(scale - 1), scale) for loss, scale in zip(row, SCALES) if loss is not None]
     return min(found)[2] if found else 1.0
 
@@ -126,9 +130,8 @@ def fit_and_save(calls: DataFrame, text: str, label: str, path: str) -> Pipeline
 
 def read(model: PipelineModel, calls: DataFrame, text: str = "transcript_text") -> DataFrame:
     """The calls, batch or stream, with ``trained_intent`` and ``confidence`` (probability of that label)."""
-    scored = model.transform(calls.withColumn(TEXT, F.coalesce(F.col(text), F.lit(""))))
-    margins = vector_to_array("_scaled")
-    sure = F.exp(F.array_max(margins) - _log_sum_exp(margins))
+    scored = _with_margins(model.transform(calls.withColumn(TEXT, F.coalesce(F.col(text), F.lit("")))), "_scaled")
+    sure = F.exp(F.col("_top") - _log_sum_exp())
     return scored.withColumns({
         "trained_intent": F.when(_readable(text), F.col("_intent")).otherwise(F.lit(FALLBACK_INTENT)),
         "confidence": F.when(_readable(text), sure),
@@ -136,15 +139,15 @@ def read(model: PipelineModel, calls: DataFrame, text: str = "transcript_text")
 
 
 def read_by_other_folds(
-    calls: DataFrame, text: str, label: str, folder: str, fold: Column | None = None
+    calls: DataFrame, text: str, label: str, folder: str, fold: Column | None = None, number: str | None = None
 ) -> DataFrame:
     """Every call read by a model that saw no call of its fold (by default: of its borrower): per fold one
     model, fitted on the next fold and calibrated on the one after.  Where the next fold shows fewer than two
     labels there is no model, and its calls get the fallback label with confidence NULL.  Calls and examples are written below ``folder``, one part a fold, so
-    that each model reads its own part only."""
+    that each model reads its own part only.  A row stands for ``number`` calls, or for one."""
     fold = fold_of() if fold is None else fold
     dealt = _by_fold(calls.withColumn("_fold", fold), f"{folder}/calls")
-    rows = _by_fold(examples(dealt, text, label, "_fold"), f"{folder}/examples")
+    rows = _by_fold(examples(dealt, text, label, "_fold", number=number), f"{folder}/examples")
     whole = None
     for f in range(FOLDS):
         learnt, set_aside = (f + 1) % FOLDS, (f + 2) % FOLDS

@@ -10,7 +10,7 @@ from pyspark.sql import functions as F
 from ledgerloom.functions.text import FALLBACK_INTENT
 from ledgerloom.operators import reading, reasons
 from ledgerloom.plans import evaluation
-from ledgerloom.plans.catalog import QUERIES
+from ledgerloom.plans.catalog import QUERIES, trained_reading_of
 from ledgerloom.plans.portfolio import Portfolio
 
 SAID = {
@@ -117,6 +117,33 @@ def test_held_out_accuracy_beside_the_rules(spark):
     assert macro.new_wording_accuracy_pct <= macro.new_borrower_accuracy_pct
 
 
+def test_what_many_calls_say_alike_is_read_once(spark, tmp_path):
+    odd = [("O1", None, "no wages", "genuine_hardship"), ("O2", "B1", None, "genuine_hardship")]
+    said = calls(spark, odd).selectExpr(
+        "interaction_id", "borrower_id", "text AS transcript_text", "upper(label) AS ground_truth_label",
+        "label AS expected_intent", "if(text LIKE '%server%', label, 'other') AS predicted_intent")
+    got = {r.ground_truth_label: r for r in trained_reading_of(said, str(tmp_path / "once")).collect()}
+    written = spark.read.parquet(str(tmp_path / "once" / "borrowers" / "calls"))
+    assert written.agg(F.sum("n_calls")).first()[0] == said.count() == 362
+    assert written.count() <= 9 * reading.FOLDS + 2
+    rows = reading.read_by_other_folds(said, "transcript_text", "expected_intent", str(tmp_path / "each")).collect()
+    shares = {}
+    for label in {r.ground_truth_label for r in rows}:
+        own = [r for r in rows if r.ground_truth_label == label]
+        sure = [r.confidence for r in own if r.confidence is not None]
+        trained = sum(r.trained_intent == r.expected_intent for r in own) / len(own)
+        shares[label] = sum(r.predicted_intent == r.expected_intent for r in own) / len(own), trained, sum(sure) / len(sure)
+        assert got[label].n_calls == len(own)
+    shares["MACRO"] = [sum(x) / len(shares) for x in zip(*shares.values())]
+    assert set(got) == set(shares) and got["MACRO"].n_calls == len(rows)
+    for label, (rules, trained, sure) in shares.items():
+        assert got[label].rules_accuracy_pct == pytest.approx(100 * rules, abs=0.051)
+        assert got[label].new_borrower_accuracy_pct == pytest.approx(100 * trained, abs=0.051)
+        assert got[label].new_borrower_gap_pct == pytest.approx(100 * abs(sure - trained), abs=0.051)
+    none = trained_reading_of(said.limit(0), str(tmp_path / "none")).collect()
+    assert [(r.ground_truth_label, r.n_calls) for r in none] == [("MACRO", 0)]
+
+
 def test_folds_without_two_labels_and_empty_tables_are_not_read(spark, tmp_path):
     one = calls(spark).filter("label = 'genuine_hardship'")
     got = reading.read_by_other_folds(one, "text", "label", str(tmp_path / "one"))
