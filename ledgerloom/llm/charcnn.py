@@ -2,7 +2,8 @@
 
 Characters become vectors, a convolution looks at five in a row, the strongest response of each
 filter over the candidate and over its surroundings is kept, and a hidden layer joins them.
-Trained with Adam on the logistic loss.
+Trained with Adam on the logistic loss, one epoch a call: networks that started alike and learned from
+different parts of the examples are put together by averaging their states.
 """
 
 from __future__ import annotations
@@ -13,8 +14,9 @@ from ledgerloom.llm.boosting import sigmoid
 
 #: The characters told apart; all others share one code, and 0 pads.
 ALPHABET = "abcdefghijklmnopqrstuvwxyzABCDEFGHIJKLMNOPQRSTUVWXYZ0123456789 \n\"'=:;,.+/_-()[]{}<>@#$%&*!?"
-CODES = {c: i + 2 for i, c in enumerate(ALPHABET)}
 SIZE = len(ALPHABET) + 2
+_CODES = np.ones(129, np.uint8)
+_CODES[[ord(c) for c in ALPHABET]] = np.arange(2, SIZE)
 
 
 class CharCNN:
@@ -23,7 +25,6 @@ class CharCNN:
         ``around`` behind it; a longer candidate gives further windows, of which the best counts."""
         self.inside, self.around, self.width = inside, around, width
         rng = np.random.default_rng(seed)
-        self.rng = rng
 
         def normal(*shape):
             return rng.normal(0, 1 / np.sqrt(shape[0]), shape)
@@ -38,22 +39,37 @@ class CharCNN:
             "out": normal(hidden, 1),
             "out0": np.zeros(1),
         }
+        self.step = np.zeros(1)
+        self.moved = {**self.w, "step": self.step}
+        self.moved |= {f"{moment} {k}": np.zeros_like(v) for k, v in self.w.items() for moment in ("mean", "square")}
 
-    def encode(self, text: str, start: int, end: int) -> list[tuple[list[int], list[int]]]:
-        """One window for each ``inside`` characters of the candidate: codes, and which are its own."""
-        windows = []
-        for at in range(start, max(end, start + 1), self.inside):
-            stop = min(end, at + self.inside)
-            low = max(0, at - self.around)
-            shown = text[low : stop + self.around]
-            own = [0] * (self.around - (at - low)) + [0] * (at - low) + [1] * (stop - at)
-            codes = [0] * (self.around - (at - low)) + [CODES.get(c, 1) for c in shown]
-            length = self.inside + 2 * self.around
-            windows.append((codes + [0] * (length - len(codes)), own + [0] * (length - len(own))))
-        return windows
+    def encode(self, text: str, start: int, end: int) -> tuple[np.ndarray, np.ndarray]:
+        """One window for each ``inside`` characters of the candidate: its codes, and how many characters are its own."""
+        own = np.minimum(self.inside, end - np.arange(start, max(end, start + 1), self.inside))
+        shown = text[max(0, start - self.around) : end + self.around].encode("utf-32-le", "surrogatepass")
+        points = np.minimum(np.frombuffer(shown, "<u4"), 128)
+        length = self.inside + 2 * self.around
+        codes = np.zeros((len(own) - 1) * self.inside + length, np.uint8)
+        lead = max(0, self.around - start)
+        codes[lead : lead + len(points)] = _CODES[points]
+        return np.lib.stride_tricks.sliding_window_view(codes, length)[:: self.inside], own
+
+    def windows(self, asked: list[tuple[str, int, int]]) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+        """Codes, own characters and owners of the windows of several candidates."""
+        coded = [self.encode(*a) for a in asked]
+        length = self.inside + 2 * self.around
+        return (
+            np.concatenate([np.zeros((0, length), np.uint8), *[c for c, _ in coded]]),
+            np.concatenate([np.zeros(0, int), *[o for _, o in coded]]),
+            np.repeat(np.arange(len(coded)), [len(o) for _, o in coded]),
+        )
+
+    def _marked(self, own: np.ndarray) -> np.ndarray:
+        at = np.arange(self.inside + 2 * self.around) - self.around
+        return ((at >= 0) & (at < own[:, None])).astype(float)
 
     def _forward(self, codes: np.ndarray, own: np.ndarray):
-        w = self.w
+        w, own = self.w, self._marked(own)
         x = np.concatenate((w["embed"][codes] * (codes > 0)[..., None], own[..., None]), axis=2)
         rows = np.lib.stride_tricks.sliding_window_view(x, self.width, axis=1).transpose(0, 1, 3, 2)
         rows = rows.reshape(len(x), x.shape[1] - self.width + 1, -1)
@@ -93,17 +109,26 @@ class CharCNN:
         g["embed"][0] = 0
         return g
 
-    def fit(self, codes: np.ndarray, own: np.ndarray, y: np.ndarray, epochs: int = 8, batch: int = 128, rate: float = 4e-3) -> CharCNN:
-        mean = {k: np.zeros_like(v) for k, v in self.w.items()}
-        square = {k: np.zeros_like(v) for k, v in self.w.items()}
-        step = 0
-        for _ in range(epochs):
-            order = self.rng.permutation(len(y))
-            for at in range(0, len(y), batch):
-                rows = order[at : at + batch]
-                step += 1
-                for k, g in self._gradients(codes[rows], own[rows], y[rows]).items():
-                    mean[k] = 0.9 * mean[k] + 0.1 * g
-                    square[k] = 0.999 * square[k] + 0.001 * g * g
-                    self.w[k] -= rate * (mean[k] / (1 - 0.9**step)) / (np.sqrt(square[k] / (1 - 0.999**step)) + 1e-8)
+    def state(self) -> np.ndarray:
+        """Weights, Adam's moments and its number of steps, as one row of numbers."""
+        return np.concatenate([self.moved[k].ravel() for k in self.moved])
+
+    def restored(self, state: np.ndarray) -> CharCNN:
+        at = 0
+        for v in self.moved.values():
+            v[...] = state[at : at + v.size].reshape(v.shape)
+            at += v.size
+        return self
+
+    def epoch(self, codes: np.ndarray, own: np.ndarray, y: np.ndarray, seed: list[int], batch: int = 128, rate: float = 4e-3) -> CharCNN:
+        """Every example once, in an order that ``seed`` fixes."""
+        order = np.random.default_rng(seed).permutation(len(y))
+        for at in range(0, len(y), batch):
+            rows = order[at : at + batch]
+            self.step += 1
+            for k, g in self._gradients(codes[rows], own[rows], y[rows]).items():
+                mean, square = self.moved["mean " + k], self.moved["square " + k]
+                mean[...] = 0.9 * mean + 0.1 * g
+                square[...] = 0.999 * square + 0.001 * g * g
+                self.w[k] -= rate * (mean / (1 - 0.9**self.step)) / (np.sqrt(square / (1 - 0.999**self.step)) + 1e-8)
         return self

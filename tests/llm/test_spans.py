@@ -2,11 +2,13 @@ import hashlib
 import random
 import re
 
+import numpy as np
 import pytest
 from hypothesis import given, settings
 from hypothesis import strategies as st
 
 from ledgerloom.llm import pii, secret_scan
+from ledgerloom.llm.boosting import platt
 from ledgerloom.llm.spans import PERSONAL, SECRET, base_spans, digest, digits_of, hashed_rows, luhn, redacted
 
 SCHEMA = "doc_id long, text string, spans string, kind int"
@@ -140,3 +142,34 @@ def test_network_tells_keys_of_secrets_from_other_labels(spark):
     found, wrong = (sum(bool(fitted.find(t)) for t in texts[b]) for b in (True, False))
     assert found >= 270 and wrong <= 30
     assert fitted.held_out["recall"] >= 0.97
+
+
+def test_network_learns_from_every_finding_of_all_documents(spark):
+    rng = random.Random(3)
+    many = " and ".join(f"token={secret_scan._random(rng, '0123456789abcdef', 20)}" for _ in range(300))
+    assert sum(label for *_, label in secret_scan._snippets(many)) == 300
+    long = "secret: " + secret_scan._random(rng, "abcXYZ0189", 500)
+    rows = [(1, many), (2, many), (3, None), (4, long), *((i, f"words {i} note: value{i}a here") for i in range(5, 205))]
+    docs = spark.createDataFrame(rows, "doc_id long, text string")
+    snippets = secret_scan.all_snippets(docs)
+    assert snippets.filter("label").count() == 301 and snippets.filter("not label").count() == 200
+    assert snippets.selectExpr("max(end - start)").first()[0] == len(long)
+    examples = secret_scan.dealt_examples(snippets, 4, invented=40).collect()
+    assert len(examples) == 501 + 4 * 160 and {r.part for r in examples} == {0, 1, 2, 3}
+    assert sum(len(r.codes) == 80 * -(-len(long) // 48) for r in examples) == 1
+    one, other = (secret_scan.fit_detector(d, size=150, invented=40) for d in (docs.repartition(5), docs.orderBy("text").coalesce(1)))
+    assert (one.net.state() == other.net.state()).all() and one.least == other.least and one.held_out == other.held_out
+    assert one.held_out["recall"] >= 0.98
+    assert len(secret_scan.dealt_examples(snippets.limit(0), 2, invented=40).collect()) == 320
+
+
+def test_threshold_and_calibration_are_those_of_all_margins(spark):
+    rng = np.random.default_rng(1)
+    margin = np.concatenate([rng.normal(0, 2, 3000), np.full(500, 0.25), [1e9, -1e9]])
+    label = rng.random(len(margin)) < 1 / (1 + np.exp(-margin.clip(-9, 9)))
+    rows = spark.createDataFrame([(float(m), bool(y)) for m, y in zip(margin, label)], "margin double, label boolean")
+    for n in (0, 1, 1700, 1800, len(margin) - 1):
+        assert secret_scan.nth_smallest(rows, "margin", n, few=10) == np.sort(margin)[n]
+    near = rows.filter("abs(margin) < 9")
+    within = np.abs(margin) < 9
+    assert secret_scan._calibrated(near) == pytest.approx(platt(margin[within], label[within].astype(float)), abs=1e-6)
