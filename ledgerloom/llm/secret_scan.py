@@ -7,7 +7,7 @@ highest that still keeps ``RECALL`` of the held-out labelled findings.  Candidat
 
 The network learns from all documents and whole texts: findings of the rules are the labelled
 positives, other candidates are negative, and each counts once with its surroundings, however many
-copies there are.  They are dealt by a hash into parts of about ``PART``; each part adds ``INVENTED`` rounds of invented
+copies there are.  They are dealt by a hash into parts of about ``PART`` windows; each part adds ``INVENTED`` rounds of invented
 ones: positives with other key names, prefixes, alphabets, short and letters-only values behind a key, and as negatives
 long words, addresses, numbers and paths.  In an epoch every part learns from all its examples, starting from the same network, and
 the parts' states are averaged.  Calibration and threshold come from the margins of all held-out examples of all parts.
@@ -35,7 +35,7 @@ from ledgerloom.llm.charcnn import CharCNN
 from ledgerloom.llm.common import id_and_text, stored, temporary
 from ledgerloom.llm.spans import SECRET, base_spans, find_spans, redact_spans
 
-PART = 12_000  # findings and candidates that one task learns from
+PART = 12_000  # windows of findings and candidates that one task learns from
 INVENTED = 2500  # rounds of four invented examples, in each part
 EPOCHS = 8
 HELD_OUT = 0.3
@@ -300,6 +300,12 @@ def dealt_examples(snippets: DataFrame, parts: int, seed: int = SEED, invented:
     return _by_part(dealt.unionByName(empty), parts).mapInArrow(coded, schema)
 
 
+def parts_of(snippets: DataFrame, size: int = PART) -> int:
+    """So many that each has about ``size`` windows: of long runs fewer go into one part."""
+    windows = snippets.agg(F.sum(F.ceil((F.col("end") - F.col("start")) / CharCNN().inside))).first()[0] or 0
+    return max(1, -(-windows // size))
+
+
 def _by_part(rows: DataFrame, parts: int) -> DataFrame:
     """A task for each part."""
     return rows.repartitionById(parts, F.col("part").cast("int"))
@@ -376,7 +382,7 @@ def _calibrated(judged: DataFrame) -> tuple[float, float]:
 def fit_detector(docs: DataFrame, seed: int = SEED, size: int = PART, invented: int = INVENTED) -> Detector:
     with temporary(docs.sparkSession):
         snippets = stored(all_snippets(id_and_text(docs)), "snippets")
-        parts = max(1, -(-snippets.count() // size))
+        parts = parts_of(snippets, size)
         examples = stored(dealt_examples(snippets, parts, seed, invented), "examples")
         net = CharCNN(seed=seed)
         for epoch in range(EPOCHS):

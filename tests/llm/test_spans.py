@@ -157,6 +157,7 @@ def test_network_learns_from_every_finding_of_all_documents(spark):
     examples = secret_scan.dealt_examples(snippets, 4, invented=40).collect()
     assert len(examples) == 501 + 4 * 160 and {r.part for r in examples} == {0, 1, 2, 3}
     assert sum(len(r.codes) == 80 * -(-len(long) // 48) for r in examples) == 1
+    assert secret_scan.parts_of(snippets, 512) == 1 and secret_scan.parts_of(snippets.filter("end - start > 100"), 2) == 6
     one, other = (secret_scan.fit_detector(d, size=150, invented=40) for d in (docs.repartition(5), docs.orderBy("text").coalesce(1)))
     assert (one.net.state() == other.net.state()).all() and one.least == other.least and one.held_out == other.held_out
     assert one.held_out["recall"] >= 0.98
