@@ -12,7 +12,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from ledgerloom.llm.common import stored
+from ledgerloom.llm.common import let_go, stored
 
 
 def _large_star(edges: DataFrame) -> DataFrame:
@@ -47,5 +47,6 @@ def connected_components(links: DataFrame) -> DataFrame:
     edges = stored(_small_star(edges), "links")
     while not _is_stars(edges):
         edges = stored(_small_star(_large_star(edges)), "links")
+        let_go(edges.sparkSession)
     roots = edges.select(F.col("v").alias("node"), F.col("v").alias("component")).distinct()
     return edges.select(F.col("u").alias("node"), F.col("v").alias("component")).unionByName(roots)

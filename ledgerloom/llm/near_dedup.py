@@ -40,7 +40,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from ledgerloom.llm.common import erase, id_and_text, stored, temporary
+from ledgerloom.llm.common import erase, id_and_text, let_go, stored, temporary
 from ledgerloom.llm.components import connected_components
 from ledgerloom.llm.textblocks import mix, raw_texts, slices, window_hashes, window_starts, word_hashes, words_of
 
@@ -315,6 +315,7 @@ def near_duplicates(
     buckets = stored(keyed.join(shared, "key", "left_semi").join(reps.select("node", *WORDS), "node"), "buckets")
     nodes = buckets.select(F.col("node").alias("doc_id")).distinct()
     texts = stored(docs.join(nodes, "doc_id", "left_semi"), "texts")
+    let_go(docs.sparkSession)
     like = alike(per_cent)
 
     def linked(pairs: DataFrame, tested: DataFrame | None) -> tuple[DataFrame, DataFrame]:
@@ -322,8 +323,11 @@ def near_duplicates(
         if tested is not None:
             pairs = pairs.join(tested, ["a", "b"], "left_anti")
         found = stored(_confirmed(pairs, texts, size, per_cent), "pairs")
+        let_go(docs.sparkSession)
         found = found if tested is None else tested.unionByName(found)
-        return found, stored(connected_components(found.filter("linked")), "components")
+        components = stored(connected_components(found.filter("linked")), "components")
+        let_go(docs.sparkSession)
+        return found, components
 
     tested, components = linked(_around_pivots(_labelled(buckets, None), F.col("node"), like), None)
     split = stored(_split(_labelled(buckets, components)), "split")
@@ -334,6 +338,7 @@ def near_duplicates(
         own = texts.join(parts.select(F.col("node").alias("doc_id")), "doc_id", "left_semi")
         parts = parts.join(_deep_sketches(own, size), "node").join(reps.select("node", "bands").dropDuplicates(["node"]), "node")
         buckets = stored(split.select("key", "node", *WORDS).join(parts, "node"), "left")
+        let_go(docs.sparkSession)
         central, like = -F.col("shared") / F.col("n"), f"{like} and {much_alike(per_cent)} and {_fit(per_cent)}"
         tested, components = linked(_around_pivots(_labelled(buckets, components), central, like), tested)
         split = stored(_split(_labelled(buckets, components)), "split")

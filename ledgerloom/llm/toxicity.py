@@ -24,6 +24,7 @@ from __future__ import annotations
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -36,6 +37,7 @@ POSITIVES = 6_000
 UNLABELLED = 12_000
 PLACES_USED = 4_096
 PLACE_BITS = 22
+PART = 1 << 18  # pairs that the fit works on at once
 BEGINNINGS = (4, 5, 6)  # bytes
 THRESHOLD = 0.7
 RIDGE = 1e-4
@@ -87,13 +89,22 @@ def _chosen_places(p: tuple, u: tuple, n_p: int, n_u: int, prior: float) -> np.n
 
     A place that toxic texts alone have is 1 / pi times as frequent in P as in U.
     """
-    in_p = np.bincount(p[1], minlength=1 << PLACE_BITS)
-    in_u = np.bincount(u[1], minlength=1 << PLACE_BITS)
+    in_p, in_u = _frequencies(p[1]), _frequencies(u[1])
+    some = np.flatnonzero(in_p >= 3)
+    in_p, in_u = in_p[some], in_u[some]
     share = (in_p + in_u + 0.5) / (n_p + n_u + 1)
     z = (in_p / n_p - in_u / n_u) / np.sqrt(share * (1 - share).clip(1e-9) * (1 / n_p + 1 / n_u))
-    z[(in_p < 3) | (in_p / n_p * prior < 0.4 * in_u / n_u)] = 0
+    z[in_p / n_p * prior < 0.4 * in_u / n_u] = 0
     best = np.argsort(-z, kind="stable")[:PLACES_USED]
-    return np.sort(best[z[best] > 5])
+    return some[np.sort(best[z[best] > 5])]
+
+
+def _frequencies(place: np.ndarray) -> np.ndarray:
+    """In how many texts each place is; in parts, since numpy widens what it counts."""
+    out = np.zeros(1 << PLACE_BITS, np.int32)
+    for low in range(0, len(place), PART):
+        np.add.at(out, place[low : low + PART], 1)
+    return out
 
 
 def train(p: tuple[np.ndarray, np.ndarray], n_p: int, u: tuple[np.ndarray, np.ndarray], n_u: int, prior: float) -> ToxicityModel:
@@ -106,9 +117,14 @@ def train(p: tuple[np.ndarray, np.ndarray], n_p: int, u: tuple[np.ndarray, np.nd
         return ToxicityModel(used, np.zeros(0), float(np.log(prior / (1 - prior))))
 
     def known(pairs):
-        slot = np.minimum(np.searchsorted(used, pairs[1]), len(used) - 1)
-        hit = used[slot] == pairs[1]
-        return pairs[0][hit], slot[hit]
+        owners, slots = [], []
+        for low in range(0, max(1, len(pairs[1])), PART):
+            owner, place = pairs[0][low : low + PART], pairs[1][low : low + PART]
+            slot = np.minimum(np.searchsorted(used, place), len(used) - 1)
+            hit = used[slot] == place
+            owners.append(owner[hit])
+            slots.append(slot[hit])
+        return np.concatenate(owners), np.concatenate(slots)
 
     (owner_p, slot_p), (owner_u, slot_u) = known(p), known(u)
     w, b = np.zeros(len(used)), float(np.log(prior / (1 - prior)))
@@ -150,10 +166,14 @@ def fit_toxicity(docs: DataFrame, labels: DataFrame) -> ToxicityModel:
                 yield pa.RecordBatch.from_arrays([pa.ListArray.from_arrays(pa.array(ends), pa.array(place.astype(np.int32)))], names=["places"])
 
     def sampled(rows: DataFrame):
-        column = rows.select("doc_id", "text").mapInArrow(pairs, "places array<int>").toArrow().column("places").combine_chunks()
-        column = pa.concat_arrays(column.chunks) if isinstance(column, pa.ChunkedArray) else column
-        counts = np.diff(column.offsets.to_numpy())
-        return (np.repeat(np.arange(len(column), dtype=np.int32), counts), column.flatten().to_numpy()), len(column)
+        column = rows.select("doc_id", "text").mapInArrow(pairs, "places array<int>").toArrow().column("places")
+        counts = pc.list_value_length(column).to_numpy()
+        place, low = np.empty(counts.sum(), np.int32), 0
+        for chunk in column.chunks:  # one after the other: the table is not copied whole
+            own = chunk.flatten().to_numpy()
+            place[low : low + len(own)] = own
+            low += len(own)
+        return (np.repeat(np.arange(len(counts), dtype=np.int32), counts), place), len(counts)
 
     # At most POSITIVES ids (and a few by chance), so the broadcast side is bounded.
     positive = hashed_share(labels.filter("toxic = 1").select("doc_id"), POSITIVES, 1)

@@ -1,10 +1,11 @@
 import random
+import tracemalloc
 import zlib
 
 import numpy as np
 import pytest
 
-from ledgerloom.llm.toxicity import drop_toxic, fit_toxicity, held_out, places, score_toxicity
+from ledgerloom.llm.toxicity import drop_toxic, fit_toxicity, held_out, places, score_toxicity, train
 
 SCHEMA = "doc_id long, text string, score double, toxic int"
 BAD = ["blarg", "snorfle", "quibbish"]
@@ -57,3 +58,27 @@ def test_beginnings_are_shared():
     owner, place = places([b"blarging", b"blargs", b"other"])
     sets = [set(place[owner == i]) for i in range(3)]
     assert len(sets[0] & sets[1]) == 2 and not sets[0] & sets[2]
+
+
+def test_the_fit_holds_little_beside_its_pairs():
+    """Counts and scores of all 2 ** 22 places as whole numbers and doubles took some 300 MB of the driver."""
+    rng = np.random.default_rng(3)
+
+    def pairs(texts, often):
+        owner = np.repeat(np.arange(texts, dtype=np.int32), 301)
+        place = rng.integers(0, 1 << 22, len(owner)).astype(np.int32)
+        place[::301] = np.where(rng.random(texts) < often, 77, 78)
+        return owner, place
+
+    p, u = pairs(800, 0.9), pairs(1600, 0.2)
+    tracemalloc.start()
+    model = train(p, 800, u, 1600, 0.2)
+    peak = tracemalloc.get_traced_memory()[1]
+    tracemalloc.stop()
+    assert 77 in model.used and 78 not in model.used
+    in_p, in_u = (np.bincount(x[1], minlength=1 << 22) for x in (p, u))
+    share = (in_p + in_u + 0.5) / 2401
+    z = (in_p / 800 - in_u / 1600) / np.sqrt(share * (1 - share) * (1 / 800 + 1 / 1600))
+    z[(in_p < 3) | (in_p / 800 * 0.2 < 0.4 * in_u / 1600)] = 0
+    assert model.used.tolist() == np.flatnonzero(z > 5).tolist()
+    assert peak < 60e6
