@@ -37,7 +37,8 @@ POSITIVES = 6_000
 UNLABELLED = 12_000
 PLACES_USED = 4_096
 PLACE_BITS = 22
-PART = 1 << 18  # pairs that the fit works on at once
+LEAST = 3  # texts of P that a place must be in
+TEXTS = -1  # stands for all texts among the places
 BEGINNINGS = (4, 5, 6)  # bytes
 THRESHOLD = 0.7
 RIDGE = 1e-4
@@ -67,6 +68,14 @@ def _distinct(owner: np.ndarray, place: np.ndarray) -> tuple[np.ndarray, np.ndar
     return both >> PLACE_BITS, both & ((1 << PLACE_BITS) - 1)
 
 
+def _known(texts: list[bytes | None], used: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Distinct ``(text, slot)`` of the places that are in ``used``."""
+    owner, place = places(texts)
+    slot = np.minimum(np.searchsorted(used, place), len(used) - 1)
+    known = used[slot] == place
+    return _distinct(owner[known], slot[known])
+
+
 class ToxicityModel:
     """Places in use, their weights, the intercept; some 100 kB, sent to every task."""
 
@@ -76,57 +85,26 @@ class ToxicityModel:
     def score(self, texts: list[bytes | None]) -> np.ndarray:
         total = np.full(len(texts), self.intercept)
         if len(self.used):
-            owner, place = places(texts)
-            slot = np.minimum(np.searchsorted(self.used, place), len(self.used) - 1)
-            known = self.used[slot] == place
-            owner, slot = _distinct(owner[known], slot[known])
+            owner, slot = _known(texts, self.used)
             np.add.at(total, owner, self.weights[slot])
         return sigmoid(total)
 
 
-def _chosen_places(p: tuple, u: tuple, n_p: int, n_u: int, prior: float) -> np.ndarray:
-    """Places whose share of texts differs most between P and U, in standard errors.
+def _chosen_places(place: np.ndarray, in_p: np.ndarray, in_u: np.ndarray, n_p: int, n_u: int, prior: float) -> np.ndarray:
+    """Places, given in order, whose share of texts differs most between P and U, in standard errors.
 
     A place that toxic texts alone have is 1 / pi times as frequent in P as in U.
     """
-    in_p, in_u = _frequencies(p[1]), _frequencies(u[1])
-    some = np.flatnonzero(in_p >= 3)
-    in_p, in_u = in_p[some], in_u[some]
     share = (in_p + in_u + 0.5) / (n_p + n_u + 1)
     z = (in_p / n_p - in_u / n_u) / np.sqrt(share * (1 - share).clip(1e-9) * (1 / n_p + 1 / n_u))
-    z[in_p / n_p * prior < 0.4 * in_u / n_u] = 0
+    z[(in_p < LEAST) | (in_p / n_p * prior < 0.4 * in_u / n_u)] = 0
     best = np.argsort(-z, kind="stable")[:PLACES_USED]
-    return some[np.sort(best[z[best] > 5])]
-
-
-def _frequencies(place: np.ndarray) -> np.ndarray:
-    """In how many texts each place is; in parts, since numpy widens what it counts."""
-    out = np.zeros(1 << PLACE_BITS, np.int32)
-    for low in range(0, len(place), PART):
-        np.add.at(out, place[low : low + PART], 1)
-    return out
+    return place[np.sort(best[z[best] > 5])]
 
 
-def train(p: tuple[np.ndarray, np.ndarray], n_p: int, u: tuple[np.ndarray, np.ndarray], n_u: int, prior: float) -> ToxicityModel:
-    """``p`` and ``u`` are distinct ``(text, place)`` pairs of the two samples."""
-    if not n_p or not n_u:
-        return ToxicityModel(np.zeros(0, np.int64), np.zeros(0), -1e9)
-    prior = float(np.clip(prior, 1e-3, 0.999))
-    used = _chosen_places(p, u, n_p, n_u, prior)
-    if not len(used):
-        return ToxicityModel(used, np.zeros(0), float(np.log(prior / (1 - prior))))
-
-    def known(pairs):
-        owners, slots = [], []
-        for low in range(0, max(1, len(pairs[1])), PART):
-            owner, place = pairs[0][low : low + PART], pairs[1][low : low + PART]
-            slot = np.minimum(np.searchsorted(used, place), len(used) - 1)
-            hit = used[slot] == place
-            owners.append(owner[hit])
-            slots.append(slot[hit])
-        return np.concatenate(owners), np.concatenate(slots)
-
-    (owner_p, slot_p), (owner_u, slot_u) = known(p), known(u)
+def train(used: np.ndarray, p: tuple[np.ndarray, np.ndarray], n_p: int, u: tuple[np.ndarray, np.ndarray], n_u: int, prior: float) -> ToxicityModel:
+    """``p`` and ``u`` are distinct ``(text, slot)`` pairs of the two samples, slots being those of ``used``."""
+    (owner_p, slot_p), (owner_u, slot_u) = p, u
     w, b = np.zeros(len(used)), float(np.log(prior / (1 - prior)))
     mean, square = np.zeros(len(used) + 1), np.zeros(len(used) + 1)
     for step in range(1, 401):
@@ -158,28 +136,54 @@ def fit_toxicity(docs: DataFrame, labels: DataFrame) -> ToxicityModel:
     labels = labels.filter(~held_out(F.col("doc_id"))).groupBy("doc_id").agg(F.max(F.col("toxic").cast("int")).alias("toxic"))
     prior = labels.agg(F.avg("toxic")).first()[0] or 0.0
 
-    def pairs(batches):
+    # At most POSITIVES ids (and a few by chance), so the broadcast side is bounded.
+    positive = hashed_share(labels.filter("toxic = 1").select("doc_id"), POSITIVES, 1)
+    p, u = docs.join(F.broadcast(positive), "doc_id", "left_semi"), hashed_share(docs, UNLABELLED, 2)
+
+    # Places are counted and texts reduced to the chosen ones in tasks: the driver gets some 1 MB of each.
+    common = _frequencies(p).filter(f"n >= {LEAST} or place = {TEXTS}").withColumnRenamed("n", "in_p")
+    counts = common.join(_frequencies(u).withColumnRenamed("n", "in_u"), "place", "left").select("place", "in_p", F.coalesce("in_u", F.lit(0)).alias("in_u"))
+    place, in_p, in_u = (c.to_numpy() for c in counts.toArrow().columns)
+    order = np.argsort(place)
+    place, in_p, in_u = place[order].astype(np.int64), in_p[order], in_u[order]
+    n_p, n_u = (int(n[place == TEXTS].sum()) for n in (in_p, in_u))
+    if not n_p or not n_u:
+        return ToxicityModel(np.zeros(0, np.int64), np.zeros(0), -1e9)
+    prior = float(np.clip(prior, 1e-3, 0.999))
+    used = _chosen_places(place[1:], in_p[1:], in_u[1:], n_p, n_u, prior)
+    if not len(used):
+        return ToxicityModel(used, np.zeros(0), float(np.log(prior / (1 - prior))))
+
+    def slots(batches):
         for batch in batches:
             for part in slices(batch):
-                owner, place = _distinct(*places(raw_texts(part)))
+                owner, slot = _known(raw_texts(part), used)
                 ends = np.searchsorted(owner, np.arange(part.num_rows + 1)).astype(np.int32)
-                yield pa.RecordBatch.from_arrays([pa.ListArray.from_arrays(pa.array(ends), pa.array(place.astype(np.int32)))], names=["places"])
+                yield pa.RecordBatch.from_arrays([pa.ListArray.from_arrays(pa.array(ends), pa.array(slot.astype(np.int32)))], names=["slots"])
 
-    def sampled(rows: DataFrame):
-        column = rows.select("doc_id", "text").mapInArrow(pairs, "places array<int>").toArrow().column("places")
+    def reduced(rows: DataFrame):
+        column = rows.select("doc_id", "text").mapInArrow(slots, "slots array<int>").toArrow().column("slots")
         counts = pc.list_value_length(column).to_numpy()
-        place, low = np.empty(counts.sum(), np.int32), 0
-        for chunk in column.chunks:  # one after the other: the table is not copied whole
-            own = chunk.flatten().to_numpy()
-            place[low : low + len(own)] = own
-            low += len(own)
-        return (np.repeat(np.arange(len(counts), dtype=np.int32), counts), place), len(counts)
+        slot = np.concatenate([np.zeros(0, np.int64), *(c.flatten().to_numpy() for c in column.chunks)])
+        return (np.repeat(np.arange(len(counts)), counts), slot), len(counts)
 
-    # At most POSITIVES ids (and a few by chance), so the broadcast side is bounded.
-    positive = hashed_share(labels.filter("toxic = 1").select("doc_id"), POSITIVES, 1)
-    p, n_p = sampled(docs.join(F.broadcast(positive), "doc_id", "left_semi"))
-    u, n_u = sampled(hashed_share(docs, UNLABELLED, 2))
-    return train(p, n_p, u, n_u, prior)
+    p, n_p = reduced(p)
+    u, n_u = reduced(u)
+    return train(used, p, n_p, u, n_u, prior)
+
+
+def _frequencies(rows: DataFrame) -> DataFrame:
+    """``place, n``: in how many texts each place is; and at place ``TEXTS`` how many texts there are."""
+
+    def counted(batches):
+        for batch in batches:
+            for part in slices(batch):
+                found, n = np.unique(_distinct(*places(raw_texts(part)))[1], return_counts=True)
+                place = pa.array(np.insert(found, 0, TEXTS).astype(np.int32))
+                yield pa.RecordBatch.from_arrays([place, pa.array(np.insert(n, 0, part.num_rows))], names=["place", "n"])
+
+    found = rows.select("doc_id", "text").mapInArrow(counted, "place int, n long")
+    return found.groupBy("place").agg(F.sum("n").alias("n"))
 
 
 def score_toxicity(docs: DataFrame, model: ToxicityModel) -> DataFrame:

@@ -5,7 +5,7 @@ import zlib
 import numpy as np
 import pytest
 
-from ledgerloom.llm.toxicity import drop_toxic, fit_toxicity, held_out, places, score_toxicity, train
+from ledgerloom.llm.toxicity import drop_toxic, fit_toxicity, held_out, places, score_toxicity
 
 SCHEMA = "doc_id long, text string, score double, toxic int"
 BAD = ["blarg", "snorfle", "quibbish"]
@@ -60,25 +60,29 @@ def test_beginnings_are_shared():
     assert len(sets[0] & sets[1]) == 2 and not sets[0] & sets[2]
 
 
-def test_the_fit_holds_little_beside_its_pairs():
-    """Counts and scores of all 2 ** 22 places as whole numbers and doubles took some 300 MB of the driver."""
-    rng = np.random.default_rng(3)
-
-    def pairs(texts, often):
-        owner = np.repeat(np.arange(texts, dtype=np.int32), 301)
-        place = rng.integers(0, 1 << 22, len(owner)).astype(np.int32)
-        place[::301] = np.where(rng.random(texts) < often, 77, 78)
-        return owner, place
-
-    p, u = pairs(800, 0.9), pairs(1600, 0.2)
+def test_the_driver_gets_little_of_the_samples(spark):
+    """All pairs of text and place, and arrays over all 2 ** 22 places, took some 300 MB of the driver."""
+    rows, labels = made(random.Random(4), 1500)
+    docs = spark.createDataFrame(rows, SCHEMA).repartition(4)
+    marked = spark.createDataFrame(labels, "doc_id long, toxic int")
     tracemalloc.start()
-    model = train(p, 800, u, 1600, 0.2)
+    model = fit_toxicity(docs, marked)
     peak = tracemalloc.get_traced_memory()[1]
     tracemalloc.stop()
-    assert 77 in model.used and 78 not in model.used
-    in_p, in_u = (np.bincount(x[1], minlength=1 << 22) for x in (p, u))
-    share = (in_p + in_u + 0.5) / 2401
-    z = (in_p / 800 - in_u / 1600) / np.sqrt(share * (1 - share) * (1 / 800 + 1 / 1600))
-    z[(in_p < 3) | (in_p / 800 * 0.2 < 0.4 * in_u / 1600)] = 0
-    assert model.used.tolist() == np.flatnonzero(z > 5).tolist()
-    assert peak < 60e6
+
+    def learnable(d):
+        return zlib.crc32(str(d).encode()) % 3 != 1
+
+    def counts(texts):
+        out = np.zeros(1 << 22, int)
+        for t in texts:
+            out[np.unique(places([t.encode()])[1])] += 1
+        return out, len(texts)
+
+    known = {d: toxic for d, toxic in labels if learnable(d)}
+    (in_p, n_p), (in_u, n_u) = counts([r[1] for r in rows if known.get(r[0])]), counts([r[1] for r in rows if learnable(r[0])])
+    prior, share = np.mean(list(known.values())), (in_p + in_u + 0.5) / (n_p + n_u + 1)
+    z = (in_p / n_p - in_u / n_u) / np.sqrt(share * (1 - share) * (1 / n_p + 1 / n_u))
+    z[(in_p < 3) | (in_p / n_p * prior < 0.4 * in_u / n_u)] = 0
+    assert len(model.used) and model.used.tolist() == np.flatnonzero(z > 5).tolist()
+    assert peak < 10e6
